@@ -1,0 +1 @@
+"""Left empty on purpose: all work here is daily batch over closed days."""
