@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.functions.calendar import days_to_seconds, night_flag, weekend_flag
 from cardwatch.functions.numeric import money_units, ratio_or_zero
-from cardwatch.operators.rolling import add_frame_sums
+from cardwatch.operators.rolling import BLOCK_DAYS, ROWS_PER_TASK, add_frame_sums, choose_plans
 from cardwatch.schema import (
     DELAY_DAYS,
     TRANSACTION_COLUMNS,
@@ -105,13 +105,37 @@ def feature_table(
     delay: int = DELAY_DAYS,
     *,
     amount_scale: int = 2,
-    **rolling,
+    context: DataFrame | None = None,
+    customer_context: DataFrame | None = None,
+    plan: str = "auto",
+    rows_per_task: int = ROWS_PER_TASK,
+    block_days: int = BLOCK_DAYS,
 ) -> DataFrame:
-    """Transactions with flags, customer and terminal columns, in the order the model reads."""
+    """Transactions with flags, customer and terminal columns, in the order the model reads.
+
+    ``context`` holds earlier transactions that count in the windows and are not in the result;
+    ``customer_context`` a shorter part of it that is enough for the customer windows.
+    """
     base = df.select(*TRANSACTION_COLUMNS)
-    out = add_calendar_flags(base)
-    out = add_customer_spending(out, windows, amount_scale=amount_scale, source=base, **rolling)
-    out = add_terminal_risk(out, windows, delay, source=base, **rolling)
+    keys = ["customer_id", "terminal_id"]
+    plans = dict.fromkeys(keys, plan)
+    if plan == "auto":
+        counted = base.select(*keys)
+        if context is not None:
+            counted = counted.unionAll(context.select(*keys))
+        plans = choose_plans(counted, keys, rows_per_task)
+    shared = {"source": base, "block_days": block_days}
+    spent = add_customer_spending(
+        add_calendar_flags(base),
+        windows,
+        amount_scale=amount_scale,
+        context=context if customer_context is None else customer_context,
+        plan=plans["customer_id"],
+        **shared,
+    )
+    out = add_terminal_risk(
+        spent, windows, delay, context=context, plan=plans["terminal_id"], **shared
+    )
     return out.select(
         *TRANSACTION_COLUMNS,
         "tx_during_weekend",

@@ -49,6 +49,15 @@ def with_lookback(
     return between_days(df, start, last, closed=closed)
 
 
+def days_before(df: DataFrame, first: Day, days: int) -> DataFrame:
+    """Rows of the ``days`` calendar days before ``first``."""
+    start = as_date(first)
+    day = dt.timedelta(days=1)
+    if days < 1:
+        return df.filter(F.lit(False))
+    return between_days(df, start - days * day, start - day)
+
+
 def trailing_days(df: DataFrame, days: int, *, ts: str = "tx_datetime") -> DataFrame:
     """Rows no older than ``days`` days before the latest row of the data itself."""
     latest = df.agg(F.max(ts)).scalar()

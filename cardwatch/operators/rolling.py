@@ -14,7 +14,8 @@ Two plans give the same rows:
             rows the key has. The sums return to the rows by a join on (key, second), which
             adaptive execution can split further where one second alone is hot.
 
-``auto`` counts the rows per key (one column, combined before the shuffle) and picks one.
+``auto`` picks by the rows of the most frequent key, estimated from a sample of the key column. The
+sample only chooses the plan; both plans read every row.
 """
 
 from __future__ import annotations
@@ -32,16 +33,29 @@ Frame = tuple[int, int]
 
 ROWS_PER_TASK = 5_000_000
 BLOCK_DAYS = 30
+# Rows a key at the limit is expected to have in the sample.
+_SAMPLED_ROWS = 1_000
 _SECOND = "_second"
 
 
-def largest_group(df: DataFrame, key: str) -> int:
-    """Rows of the most frequent key."""
-    return df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+def choose_plans(
+    df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK
+) -> dict[str, str]:
+    """``direct`` or ``split`` for each key column.
 
-
-def choose_plan(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> str:
-    return "direct" if largest_group(df, key) <= rows_per_task else "split"
+    A table that fits one task as a whole needs no look at its keys. Otherwise a key is hot from
+    half the limit on, so that a key at the limit cannot slip through the sample.
+    """
+    if df.count() <= rows_per_task:
+        return dict.fromkeys(keys, "direct")
+    fraction = min(1.0, _SAMPLED_ROWS / rows_per_task)
+    hot = fraction * rows_per_task / 2 if fraction < 1 else rows_per_task
+    plans = {}
+    for key in keys:
+        sampled = df.select(key) if fraction == 1 else df.select(key).sample(fraction, seed=1)
+        largest = sampled.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+        plans[key] = "split" if largest > hot else "direct"
+    return plans
 
 
 def add_frame_sums(
@@ -55,21 +69,27 @@ def add_frame_sums(
     rows_per_task: int = ROWS_PER_TASK,
     block_days: int = BLOCK_DAYS,
     source: DataFrame | None = None,
+    context: DataFrame | None = None,
 ) -> DataFrame:
     """Add one long column ``{measure}_{frame}`` per measure and frame; 0 for an empty frame.
 
-    Rows without an event time are in no frame and get 0; the interval filters drop them.
+    ``source`` holds the same rows as ``df`` but is cheaper to read the measures from, where
+    ``df`` already carries the columns of another key. ``context`` holds further rows, such as
+    earlier days, that count in the frames and are not in the result; only the key, the time and
+    the measures of these rows are read and shuffled.
 
-    ``source`` is a cheaper frame with the same rows to read the measures from, where ``df``
-    already carries the columns of another key.
+    Rows without an event time are in no frame and get 0; the interval filters drop them.
     """
     source = df if source is None else source
     if plan == "auto":
-        plan = choose_plan(source, key, rows_per_task)
+        counted = source.select(key)
+        if context is not None:
+            counted = counted.unionAll(context.select(key))
+        plan = choose_plans(counted, [key], rows_per_task)[key]
     if plan == "direct":
-        return _direct(df, key, measures, frames, ts)
+        return _direct(df, context, key, measures, frames, ts)
     if plan == "split":
-        return _split(df, source, key, measures, frames, ts, block_days)
+        return _split(df, source, context, key, measures, frames, ts, block_days)
     raise ValueError(f"unknown plan {plan!r}: use auto, direct or split")
 
 
@@ -102,26 +122,32 @@ def _differences(names: Mapping[str, Column], frames: Mapping[str, Frame]) -> li
     ]
 
 
-def _direct(df, key, measures, frames, ts):
-    totals = {name: F.sum(f"_{name}") for name in measures}
-    rows = df.select(
-        "*",
+def _measured(df, columns, ts, measures):
+    return df.select(
+        *columns,
         event_seconds(ts).alias(_SECOND),
         *[m.cast("long").alias(f"_{name}") for name, m in measures.items()],
     )
+
+
+def _direct(df, context, key, measures, frames, ts):
+    totals = {name: F.sum(f"_{name}") for name in measures}
+    rows = _measured(df, ["*"], ts, measures)
+    if context is not None:
+        earlier = _measured(context, [key], ts, measures).withColumn("_own", F.lit(False))
+        rows = rows.withColumn("_own", F.lit(True)).unionByName(earlier, allowMissingColumns=True)
     rows = _running_totals(rows, [key], totals, frames)
+    if context is not None:
+        rows = rows.filter("_own")
     return rows.select(*df.columns, *_differences(measures, frames))
 
 
-def _split(df, source, key, measures, frames, ts, block_days):
-    cells = (
-        source.select(
-            F.col(key).alias("_key"),
-            event_seconds(ts).alias(_SECOND),
-            *[m.cast("long").alias(f"_{name}") for name, m in measures.items()],
-        )
-        .groupBy("_key", _SECOND)
-        .agg(*[F.sum(f"_{name}").alias(f"_{name}") for name in measures])
+def _split(df, source, context, key, measures, frames, ts, block_days):
+    parts = [source] if context is None else [source, context]
+    narrow = [_measured(p, [F.col(key).alias("_key")], ts, measures) for p in parts]
+    narrow = narrow[0] if context is None else narrow[0].unionByName(narrow[1])
+    cells = narrow.groupBy("_key", _SECOND).agg(
+        *[F.sum(f"_{name}").alias(f"_{name}") for name in measures]
     )
     length = block_days * SECONDS_PER_DAY
     reach = max(start for start, _ in frames.values())

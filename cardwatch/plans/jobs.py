@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.functions.calendar import Day, as_date
+from cardwatch.functions.calendar import Day, as_date, day_end
 from cardwatch.operators import model as ml
 from cardwatch.operators.features import feature_table
-from cardwatch.operators.filters import PARTITION_DAY, between_days, lookback_days, with_lookback
+from cardwatch.operators.filters import PARTITION_DAY, between_days, days_before, lookback_days
 from cardwatch.operators.labels import label_by_daily_sample, label_by_lists
 from cardwatch.operators.metrics import quality, roc_auc
 from cardwatch.operators.sampling import active_entities
@@ -47,13 +47,21 @@ def features_for_days(
 ) -> DataFrame:
     """Feature rows of the output days.
 
-    The history filter comes before the windows and the day filter after them, because a filter
-    on time cannot pass through a window.
+    Only the output days travel through the shuffles as whole rows. The days before them take
+    part as context: the columns a window needs, and only the days it can reach. ``lookback``
+    shortens that history.
     """
     reach = lookback_days(windows, delay) if lookback is None else lookback
-    history = with_lookback(transactions, first, last, reach, closed=closed)
-    table = feature_table(history, windows, delay, **rolling)
-    return between_days(table, first, last, closed=closed)
+    rows = between_days(transactions, first, last, closed=closed)
+    table = feature_table(
+        rows,
+        windows,
+        delay,
+        context=days_before(transactions, first, reach),
+        customer_context=days_before(transactions, first, min(reach, max(windows))),
+        **rolling,
+    )
+    return table.filter(F.col("tx_datetime") <= day_end("tx_datetime")) if closed else table
 
 
 def feature_job(
