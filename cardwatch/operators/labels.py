@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardwatch.functions.numeric import hash_draw
 from cardwatch.operators.filters import over_limit
-from cardwatch.operators.sampling import sample_rows_per_group, sample_share_per_group
+from cardwatch.operators.sampling import sample_rows_per_group, share_cutoffs, within_cut
 from cardwatch.schema import (
     AMOUNT_LIMIT,
     CUSTOMER_SCENARIO_DAYS,
@@ -18,6 +19,7 @@ from cardwatch.schema import (
     DAILY_SAMPLE_ROWS,
     TERMINAL_SCENARIO_DAYS,
 )
+from cardwatch.session import stored
 
 
 def covered_days(listed: DataFrame, entity: str, length: int) -> DataFrame:
@@ -59,7 +61,7 @@ def compromised_customer_matches(
     return df.join(days, _match(df, days, "customer_id")).select("list_day", *df.columns)
 
 
-def compromised_customer_transactions(
+def drawn_customer_days(
     df: DataFrame,
     listed: DataFrame,
     length: int = CUSTOMER_SCENARIO_DAYS,
@@ -67,11 +69,48 @@ def compromised_customer_transactions(
     *,
     seed: int = 11,
 ) -> DataFrame:
-    """Ids of a random third of each list day's matches, each id once."""
+    """Per listed customer and covered day, the list days with the cut of their random third.
+
+    ``cuts`` holds at most ``length`` entries. A transaction is drawn if it lies within one of
+    them, which a row can tell by itself.
+    """
     ids = df.select("transaction_id", "customer_id", "tx_time_days")
     matches = compromised_customer_matches(ids, listed, length)
-    drawn = sample_share_per_group(matches, ["list_day"], share, seed=seed)
-    return drawn.select("transaction_id").distinct()
+    cuts = share_cutoffs(matches, ["list_day"], share, seed=seed)
+    return (
+        covered_days(listed, "customer_id", length)
+        .join(cuts, "list_day")
+        .groupBy("_entity", "_day")
+        .agg(F.collect_list(F.struct("list_day", "cut_draw", "cut_id")).alias("cuts"))
+    )
+
+
+def is_drawn(cuts: Column | str = "cuts", id_column: str = "transaction_id", seed: int = 11):
+    """Whether the row lies within one of the cuts of its customer and day."""
+    row_id = F.col(id_column)
+    return F.exists(
+        cuts,
+        lambda c: within_cut(
+            hash_draw(seed, c["list_day"], row_id), row_id, c["cut_draw"], c["cut_id"]
+        ),
+    )
+
+
+def compromised_customer_transactions(
+    df: DataFrame,
+    listed: DataFrame,
+    length: int = CUSTOMER_SCENARIO_DAYS,
+    share: tuple[int, int] = CUSTOMER_SCENARIO_SHARE,
+    *,
+    seed: int = 11,
+) -> DataFrame:
+    """A random third of each list day's matches; a transaction drawn several times comes once."""
+    days = drawn_customer_days(df, listed, length, share, seed=seed)
+    return (
+        df.join(days, _match(df, days, "customer_id"))
+        .filter(is_drawn(days["cuts"], seed=seed))
+        .select(*[df[c] for c in df.columns])
+    )
 
 
 def scenario_priority(*scenarios: Column) -> Column:
@@ -90,52 +129,57 @@ def label_by_lists(
     """Label by amount (1), compromised terminal (2) and compromised customer (3).
 
     Every scenario that applies is kept in ``over_limit``, ``on_terminal`` and ``on_customer``.
-    ``transaction_id`` must be unique.
+    The lists turn into tables per entity and day, written once; the transactions themselves are
+    matched with these and need no shuffle while the lists are small enough to broadcast.
     """
-    days = (
+    terminal_days = stored(
         covered_days(terminals, "terminal_id", TERMINAL_SCENARIO_DAYS)
         .select("_entity", "_day")
-        .distinct()
-        .withColumn("on_terminal", F.lit(1))
-    )
-    drawn = compromised_customer_transactions(df, customers, seed=seed).select(
-        F.col("transaction_id").alias("_drawn"), F.lit(1).alias("on_customer")
+        .distinct(),
+        "terminal-days",
     )
+    customer_days = stored(drawn_customer_days(df, customers, seed=seed), "customer-days")
+    on_terminal = F.when(terminal_days["_entity"].isNotNull(), 1).otherwise(0)
+    on_customer = F.when(is_drawn(customer_days["cuts"], seed=seed), 1).otherwise(0)
+    flags = {
+        "over_limit": over_limit(limit),
+        "on_terminal": on_terminal.cast("long"),
+        "on_customer": on_customer.cast("long"),
+    }
     marked = (
-        df.join(days, _match(df, days, "terminal_id"), "left")
-        .join(drawn, df["transaction_id"] == drawn["_drawn"], "left")
-        .withColumn("over_limit", over_limit(limit))
+        df.join(terminal_days, _match(df, terminal_days, "terminal_id"), "left")
+        .join(customer_days, _match(df, customer_days, "customer_id"), "left")
+        .select(*_unlabelled(df), *[c.alias(n) for n, c in flags.items()])
     )
-    keep = [c for c in df.columns if c not in ("tx_fraud", "tx_fraud_scenario")]
-    return _with_label(
-        marked,
-        keep,
-        {
-            "over_limit": F.col("over_limit"),
-            "on_terminal": F.coalesce("on_terminal", F.lit(0)).cast("long"),
-            "on_customer": F.coalesce("on_customer", F.lit(0)).cast("long"),
-        },
-        scenario_priority(F.col("over_limit"), F.col("on_terminal") * 2, F.col("on_customer") * 3),
+    scenario = scenario_priority(
+        F.col("over_limit"), F.col("on_terminal") * 2, F.col("on_customer") * 3
     )
+    return _with_label(marked, scenario)
 
 
 def label_by_daily_sample(
     df: DataFrame, rows: int = DAILY_SAMPLE_ROWS, *, limit: float = AMOUNT_LIMIT, seed: int = 7
 ) -> DataFrame:
-    """Label by amount (1) and ``rows`` random transactions of each day (2)."""
-    drawn = sample_rows_per_group(
-        df.select("transaction_id", "tx_time_days"), ["tx_time_days"], rows, seed=seed
-    ).select(F.col("transaction_id").alias("_drawn"), F.lit(1).alias("_sampled"))
-    marked = df.join(drawn, df["transaction_id"] == drawn["_drawn"], "left")
-    keep = [c for c in df.columns if c not in ("tx_fraud", "tx_fraud_scenario")]
-    return _with_label(
-        marked, keep, {}, scenario_priority(over_limit(limit), F.col("_sampled") * 2)
-    )
+    """Label by amount (1) and ``rows`` random transactions of each day (2).
 
+    The last drawn row of each day is its cut; one row per calendar day is broadcast.
+    """
+    ids = df.select("transaction_id", "tx_time_days")
+    drawn = sample_rows_per_group(ids, ["tx_time_days"], rows, seed=seed)
+    last = F.max(F.struct(hash_draw(seed, "transaction_id"), "transaction_id"))
+    cuts = drawn.groupBy(F.col("tx_time_days").alias("_day")).agg(last.alias("_last"))
+    mine = F.struct(hash_draw(seed, "transaction_id"), "transaction_id")
+    marked = df.join(F.broadcast(cuts), df["tx_time_days"] == cuts["_day"], "left")
+    sampled = F.when(mine <= F.col("_last"), 2).otherwise(0)
+    scenario = scenario_priority(over_limit(limit), sampled).alias("_scenario")
+    marked = marked.select(*_unlabelled(df), scenario)
+    return _with_label(marked, F.col("_scenario")).drop("_scenario")
 
-def _with_label(df, keep, flags, scenario):
-    out = df.select(
-        *keep, *[c.alias(n) for n, c in flags.items()], scenario.alias("tx_fraud_scenario")
-    )
-    fraud = F.when(F.col("tx_fraud_scenario") > 0, 1).otherwise(0).cast("long")
-    return out.select(*keep, *flags, fraud.alias("tx_fraud"), "tx_fraud_scenario")
+
+def _unlabelled(df: DataFrame) -> list[Column]:
+    return [df[c] for c in df.columns if c not in ("tx_fraud", "tx_fraud_scenario")]
+
+
+def _with_label(df: DataFrame, scenario: Column) -> DataFrame:
+    fraud = F.when(scenario > 0, 1).otherwise(0).cast("long")
+    return df.select("*", fraud.alias("tx_fraud"), scenario.alias("tx_fraud_scenario"))

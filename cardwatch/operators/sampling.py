@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from cardwatch.functions.numeric import draw_below, hash_draw
 from cardwatch.schema import DAILY_SAMPLE_ROWS
 
-# Hex digits of a draw that name its slice: 4 096 even slices per group.
-_SLICE_DIGITS = 3
+# Hex digits of a draw that name its slice: 65 536 even slices per group.
+_SLICE_DIGITS = 4
 
 
 def in_stratified_sample(
@@ -56,7 +56,7 @@ def sample_rows_per_group(
     )
 
 
-def sample_share_per_group(
+def share_cutoffs(
     df: DataFrame,
     group: Sequence[str],
     share: tuple[int, int],
@@ -64,41 +64,77 @@ def sample_share_per_group(
     id_column: str = "transaction_id",
     seed: int = 11,
 ) -> DataFrame:
-    """``floor(n * a / b)`` random rows without replacement of each group of n rows.
+    """Per group of n rows, draw and id of the row number ``floor(n * a / b)`` in draw order.
 
-    The rows with the smallest draws are taken. Draws are cut into even slices, the slice counts
-    tell where the cut lies, and rows are numbered within their slice only, so a group of any size
-    is spread over thousands of tasks.
+    Columns ``cut_draw`` and ``cut_id`` beside the group; a group with nothing to take has no row.
+    Draws are cut into even slices. The slice counts tell in which slice the cut lies, and only
+    the rows of that one slice are put in order, so no group has to fit one task.
     """
     keep_of, out_of = share
-    sliced = df.withColumn("_draw", hash_draw(seed, *group, id_column)).withColumn(
-        "_slice", F.substring("_draw", 1, _SLICE_DIGITS)
-    )
+    drawn = df.select(
+        *group, id_column, hash_draw(seed, *group, id_column).alias("_draw")
+    ).withColumn("_slice", F.substring("_draw", 1, _SLICE_DIGITS))
     per_group = Window.partitionBy(*group)
     before = per_group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    cuts = (
-        sliced.groupBy(*group, "_slice")
+    cut_slices = (
+        drawn.groupBy(*group, "_slice")
         .count()
         .select(
             *[F.col(g).alias(f"_{g}") for g in group],
             F.col("_slice").alias("_cut_slice"),
+            "count",
             F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"),
             F.floor(F.sum("count").over(per_group) * keep_of / out_of).alias("_wanted"),
         )
-        .filter(F.col("_before") < F.col("_wanted"))
+        .filter(
+            (F.col("_before") < F.col("_wanted"))
+            & (F.col("_wanted") <= F.col("_before") + F.col("count"))
+        )
     )
-    match = sliced["_slice"] == cuts["_cut_slice"]
+    match = drawn["_slice"] == cut_slices["_cut_slice"]
     for g in group:
-        match &= sliced[g].eqNullSafe(cuts[f"_{g}"])
-    order = Window.partitionBy(*group, "_slice").orderBy("_draw", id_column)
+        match &= drawn[g].eqNullSafe(cut_slices[f"_{g}"])
+    order = Window.partitionBy(*[drawn[g] for g in group]).orderBy("_draw", id_column)
     return (
-        sliced.join(cuts, match)
+        drawn.join(cut_slices, match)
         .withColumn("_position", F.row_number().over(order))
-        .filter(F.col("_before") + F.col("_position") <= F.col("_wanted"))
-        .select(*[sliced[c] for c in df.columns])
+        .filter(F.col("_before") + F.col("_position") == F.col("_wanted"))
+        .select(
+            *[drawn[g] for g in group],
+            F.col("_draw").alias("cut_draw"),
+            F.col(id_column).alias("cut_id"),
+        )
     )
 
 
+def within_cut(draw: Column, id_column: Column, cut_draw: Column, cut_id: Column) -> Column:
+    return (draw < cut_draw) | (draw == cut_draw) & (id_column <= cut_id)
+
+
+def sample_share_per_group(
+    df: DataFrame,
+    group: Sequence[str],
+    share: tuple[int, int],
+    *,
+    id_column: str = "transaction_id",
+    seed: int = 11,
+) -> DataFrame:
+    """``floor(n * a / b)`` random rows without replacement of each group of n rows.
+
+    The rows up to the group's cut are taken, so the rows themselves are only filtered. Ids must
+    be unique within a group.
+    """
+    cuts = share_cutoffs(df, group, share, id_column=id_column, seed=seed).withColumnsRenamed(
+        {g: f"_{g}" for g in group}
+    )
+    match = F.lit(True)
+    for g in group:
+        match &= df[g].eqNullSafe(cuts[f"_{g}"])
+    draw = hash_draw(seed, *[df[g] for g in group], df[id_column])
+    inside = within_cut(draw, df[id_column], F.col("cut_draw"), F.col("cut_id"))
+    return df.join(cuts, match & inside, "left_semi")
+
+
 def active_entities(
     df: DataFrame, entity: str, per_day: int, *, day: str = "tx_time_days", seed: int = 5
 ) -> DataFrame:

@@ -22,7 +22,7 @@ from cardwatch.schema import (
     TRANSACTION_SCHEMA,
     WINDOW_DAYS,
 )
-from cardwatch.session import use_utc
+from cardwatch.session import stored, use_utc
 from cardwatch.sources.readers import Paths, scan
 from cardwatch.sources.writers import convert_csv, write_day_copies
 
@@ -103,6 +103,7 @@ def label_job(
         customers = active_entities(
             rows, "customer_id", COMPROMISED_CUSTOMERS_PER_DAY, seed=seed + 2
         )
+        customers = stored(customers, "customers")
         labelled = label_by_lists(rows, terminals, customers, seed=seed + 3)
     else:
         labelled = label_by_daily_sample(rows, seed=seed)

@@ -22,6 +22,7 @@ from cardwatch.plans.tables import (
     transactions,
 )
 from cardwatch.schema import COMPROMISED_CUSTOMERS_PER_DAY, TRANSACTION_COLUMNS
+from cardwatch.session import stored
 
 TERMINALS_PER_DAY = 1
 
@@ -56,26 +57,27 @@ lab AS (SELECT * REPLACE (greatest(over_limit, on_terminal * 2, on_customer * 3)
     AS tx_fraud_scenario) FROM f)"""
 
 
-def _lists(rows):
-    return (
-        sm.active_entities(rows, "terminal_id", TERMINALS_PER_DAY, seed=1),
-        sm.active_entities(rows, "customer_id", COMPROMISED_CUSTOMERS_PER_DAY, seed=2),
-    )
+def _terminals(rows):
+    return sm.active_entities(rows, "terminal_id", TERMINALS_PER_DAY, seed=1)
+
+
+def _customers(rows):
+    return sm.active_entities(rows, "customer_id", COMPROMISED_CUSTOMERS_PER_DAY, seed=2)
 
 
 def _labelled(spark, sf):
     rows = transactions(spark, sf)
-    return lb.label_by_lists(rows, *_lists(rows))
+    return lb.label_by_lists(rows, _terminals(rows), stored(_customers(rows), "customers"))
 
 
 @query("active_terminal_sample", f"WITH {TX_SQL}, {_TERMINALS_SQL} SELECT * FROM lt")
 def active_terminal_sample(spark, sf):
-    return _lists(transactions(spark, sf))[0]
+    return _terminals(transactions(spark, sf))
 
 
 @query("active_customer_sample", f"WITH {TX_SQL}, {_CUSTOMERS_SQL} SELECT * FROM lc")
 def active_customer_sample(spark, sf):
-    return _lists(transactions(spark, sf))[1]
+    return _customers(transactions(spark, sf))
 
 
 @query(
@@ -84,7 +86,7 @@ def active_customer_sample(spark, sf):
 )
 def compromised_terminal_transactions(spark, sf):
     rows = transactions(spark, sf)
-    return plain(lb.compromised_terminal_transactions(rows, _lists(rows)[0]))
+    return plain(lb.compromised_terminal_transactions(rows, _terminals(rows)))
 
 
 @query(
@@ -93,16 +95,17 @@ def compromised_terminal_transactions(spark, sf):
 )
 def compromised_customer_matches(spark, sf):
     rows = transactions(spark, sf)
-    return plain(lb.compromised_customer_matches(rows, _lists(rows)[1]))
+    return plain(lb.compromised_customer_matches(rows, stored(_customers(rows), "customers")))
 
 
 @query(
     "compromised_customer_transactions",
-    f"WITH {TX_SQL}, {_CUSTOMERS_SQL}, {_MATCHES_SQL}, {_DRAWN_SQL} SELECT * FROM drawn",
+    f"""WITH {TX_SQL}, {_CUSTOMERS_SQL}, {_MATCHES_SQL}, {_DRAWN_SQL}
+SELECT {TX_LIST} FROM tx WHERE transaction_id IN (SELECT transaction_id FROM drawn)""",
 )
 def compromised_customer_transactions(spark, sf):
     rows = transactions(spark, sf)
-    return lb.compromised_customer_transactions(rows, _lists(rows)[1])
+    return plain(lb.compromised_customer_transactions(rows, stored(_customers(rows), "customers")))
 
 
 @query(

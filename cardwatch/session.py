@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
 
@@ -45,3 +45,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
                 raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
             shared = _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="cardwatch-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a derived table to scratch and read it back.
+
+    It is computed once, its lineage ends at the files, and Spark knows its true size when it
+    chooses between a broadcast and a shuffle.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
