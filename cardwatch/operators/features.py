@@ -8,8 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.functions.calendar import days_to_seconds, night_flag, weekend_flag
-from cardwatch.functions.numeric import money_units, ratio_or_zero
-from cardwatch.operators.rolling import BLOCK_DAYS, ROWS_PER_TASK, add_frame_sums, choose_plans
+from cardwatch.functions.numeric import money_units
+from cardwatch.operators.rolling import (
+    BLOCK_DAYS,
+    ROWS_PER_TASK,
+    add_frame_sums,
+    choose_plans,
+    quoted,
+)
 from cardwatch.schema import (
     DELAY_DAYS,
     TRANSACTION_COLUMNS,
@@ -50,12 +56,12 @@ def add_customer_spending(
     sums = add_frame_sums(df, "customer_id", measures, frames, **rolling)
     columns = []
     for d in windows:
-        mean = F.try_divide(F.col(f"_units_{d}"), F.col(f"_priced_{d}")) / (10**amount_scale)
+        mean = f"try_divide(_units_{d}, _priced_{d}) / {10**amount_scale}"
         columns += [
-            F.col(f"_n_{d}").alias(customer_count(d)),
-            (F.coalesce(mean, F.lit(0.0)) if fill else mean).alias(customer_average(d)),
+            f"_n_{d} AS {customer_count(d)}",
+            f"{f'coalesce({mean}, 0D)' if fill else mean} AS {customer_average(d)}",
         ]
-    return sums.select(*df.columns, *columns)
+    return sums.selectExpr(*quoted(df.columns), *columns)
 
 
 def add_terminal_risk(
@@ -72,10 +78,10 @@ def add_terminal_risk(
     columns = []
     for d in windows:
         columns += [
-            F.col(f"_known_{d}").alias(terminal_count(d)),
-            ratio_or_zero(F.col(f"_fraud_{d}"), F.col(f"_known_{d}")).alias(terminal_risk(d)),
+            f"_known_{d} AS {terminal_count(d)}",
+            f"coalesce(try_divide(_fraud_{d}, _known_{d}), 0D) AS {terminal_risk(d)}",
         ]
-    return sums.select(*df.columns, *columns)
+    return sums.selectExpr(*quoted(df.columns), *columns)
 
 
 def add_terminal_label_sums(
@@ -93,10 +99,10 @@ def add_terminal_label_sums(
     columns = []
     for label in frames:
         columns += [
-            F.col(f"_fraud_{label}").alias(f"nb_fraud_{label}"),
-            F.col(f"_known_{label}").alias(f"nb_tx_{label}"),
+            f"_fraud_{label} AS nb_fraud_{label}",
+            f"_known_{label} AS nb_tx_{label}",
         ]
-    return sums.select(*df.columns, *columns)
+    return sums.selectExpr(*quoted(df.columns), *columns)
 
 
 def feature_table(

@@ -20,9 +20,9 @@ sample only chooses the plan; both plans read every row.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.functions.calendar import event_seconds
@@ -98,30 +98,30 @@ def _bounds(frames: Mapping[str, Frame]) -> list[int]:
 
 
 def _running_totals(
-    df: DataFrame, keys: list[str], totals: Mapping[str, Column], frames: Mapping[str, Frame]
+    df: DataFrame, keys: list[str], measures: Mapping[str, Column], frames: Mapping[str, Frame]
 ) -> DataFrame:
     """Running totals up to each frame edge: one Window node, one sort."""
-    order = Window.partitionBy(*keys).orderBy(_SECOND)
-    return df.select(
-        "*",
-        *[
-            F.coalesce(
-                total.over(order.rangeBetween(Window.unboundedPreceding, -edge)), F.lit(0)
-            ).alias(f"_{name}_{edge}")
-            for edge in _bounds(frames)
-            for name, total in totals.items()
-        ],
-    )
+    order = f"PARTITION BY {', '.join(f'`{k}`' for k in keys)} ORDER BY {_SECOND}"
+    totals = []
+    for edge in _bounds(frames):
+        until = f"{edge} PRECEDING" if edge else "CURRENT ROW"
+        over = f"({order} RANGE BETWEEN UNBOUNDED PRECEDING AND {until})"
+        totals += [f"coalesce(sum(_{m}) OVER {over}, 0) AS _{m}_{edge}" for m in measures]
+    return df.selectExpr("*", *totals)
 
 
-def _differences(names: Mapping[str, Column], frames: Mapping[str, Frame]) -> list[Column]:
+def _differences(measures: Mapping[str, Column], frames: Mapping[str, Frame]) -> list[str]:
     return [
-        (F.col(f"_{name}_{end}") - F.col(f"_{name}_{start + 1}")).alias(f"{name}_{label}")
+        f"_{m}_{end} - _{m}_{start + 1} AS {m}_{label}"
         for label, (start, end) in frames.items()
-        for name in names
+        for m in measures
     ]
 
 
+def quoted(columns: Sequence[str]) -> list[str]:
+    return [f"`{c}`" for c in columns]
+
+
 def _measured(df, columns, ts, measures):
     return df.select(
         *columns,
@@ -131,15 +131,14 @@ def _measured(df, columns, ts, measures):
 
 
 def _direct(df, context, key, measures, frames, ts):
-    totals = {name: F.sum(f"_{name}") for name in measures}
     rows = _measured(df, ["*"], ts, measures)
     if context is not None:
         earlier = _measured(context, [key], ts, measures).withColumn("_own", F.lit(False))
         rows = rows.withColumn("_own", F.lit(True)).unionByName(earlier, allowMissingColumns=True)
-    rows = _running_totals(rows, [key], totals, frames)
+    rows = _running_totals(rows, [key], measures, frames)
     if context is not None:
         rows = rows.filter("_own")
-    return rows.select(*df.columns, *_differences(measures, frames))
+    return rows.selectExpr(*quoted(df.columns), *_differences(measures, frames))
 
 
 def _split(df, source, context, key, measures, frames, ts, block_days):
@@ -156,15 +155,10 @@ def _split(df, source, context, key, measures, frames, ts, block_days):
     blocks = cells.select("*", home.alias("_home")).select(
         "*", F.explode(F.sequence("_home", last)).alias("_block")
     )
-    totals = {name: F.sum(f"_{name}") for name in measures}
     sums = (
-        _running_totals(blocks, ["_key", "_block"], totals, frames)
-        .filter(F.col("_block") == F.col("_home"))
-        .select(
-            "_key",
-            F.col(_SECOND).alias("_cell_second"),
-            *_differences(measures, frames),
-        )
+        _running_totals(blocks, ["_key", "_block"], measures, frames)
+        .filter("_block = _home")
+        .selectExpr("_key", f"{_SECOND} AS _cell_second", *_differences(measures, frames))
     )
     rows = df.select("*", event_seconds(ts).alias(_SECOND))
     matched = rows.join(
@@ -173,7 +167,6 @@ def _split(df, source, context, key, measures, frames, ts, block_days):
         "left",
     )
     added = [
-        F.coalesce(sums[name], F.lit(0)).alias(name)
-        for name in (f"{measure}_{label}" for label in frames for measure in measures)
+        f"coalesce({m}_{label}, 0) AS {m}_{label}" for label in frames for m in measures
     ]
-    return matched.select(*[rows[c] for c in df.columns], *added)
+    return matched.selectExpr(*quoted(df.columns), *added)

@@ -51,7 +51,7 @@ WHERE o_orderdate >= (SELECT max(o_orderdate) FROM orders) - INTERVAL 90 DAY""",
 )
 def trailing_days(spark, sf):
     orders = read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return fl.trailing_days(orders, 90, ts="o_orderdate")
+    return plain(fl.trailing_days(orders, 90, ts="o_orderdate"))
 
 
 @query("single_day", _where("tx_time_days = 12"))
