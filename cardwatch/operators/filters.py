@@ -59,9 +59,18 @@ def days_before(df: DataFrame, first: Day, days: int) -> DataFrame:
 
 
 def trailing_days(df: DataFrame, days: int, *, ts: str = "tx_datetime") -> DataFrame:
-    """Rows no older than ``days`` days before the latest row of the data itself."""
-    latest = df.agg(F.max(ts)).scalar()
-    return df.filter(F.col(ts) >= latest - F.make_dt_interval(F.lit(days)))
+    """Rows no older than ``days`` days before the latest row of the data itself.
+
+    On a table partitioned by day only the last day is read for the latest row, and only the
+    trailing days for the result.
+    """
+    by_day = PARTITION_DAY in df.columns
+    last = df.filter(F.col(PARTITION_DAY) == df.agg(F.max(PARTITION_DAY)).scalar()) if by_day else df
+    start = last.agg((F.max(ts) - F.make_dt_interval(F.lit(days))).alias("start"))
+    keep = F.col(ts) >= start.scalar()
+    if by_day:
+        keep &= F.col(PARTITION_DAY) >= start.select(F.to_date("start")).scalar()
+    return df.filter(keep)
 
 
 def on_day(df: DataFrame, day: int) -> DataFrame:

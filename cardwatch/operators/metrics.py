@@ -8,7 +8,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwatch.functions.numeric import ratio_or_zero, round_half_even
+from cardwatch.functions.numeric import money_units, ratio_or_zero, round_half_even
 
 PLACES = 4
 SCORE_BUCKETS = 1024
@@ -182,7 +182,7 @@ def monthly_indicators(
         .agg(
             F.count("*").alias("transactions"),
             F.count_if(executed_fraud).alias("executed_frauds"),
-            F.sum(F.when(executed_fraud, F.round(F.col(amount) * 100).cast("long"))).alias("_units"),
+            F.sum(F.when(executed_fraud, money_units(amount))).alias("_units"),
             F.count_if(rejected_good).alias("rejected_good"),
             F.count_if(F.col(label) == 0).alias("_good"),
         )

@@ -14,6 +14,7 @@ from cardwatch.plans.tables import (
     LINES_SQL,
     TX_LIST,
     TX_SQL,
+    as_text,
     order_lines,
     plain,
     read,
@@ -121,11 +122,13 @@ def _with_gaps(spark, sf):
 
 @query(
     "fill_zero_scoped",
-    f"WITH {_GAPS_SQL} SELECT transaction_id, terminal_id, coalesce(tx_amount, 0) AS tx_amount, "
+    f"WITH {_GAPS_SQL} SELECT transaction_id, CAST(terminal_id AS VARCHAR) AS terminal_id, "
+    "coalesce(tx_amount, 0) AS tx_amount, "
     "tx_datetime FROM g",
 )
 def fill_zero_scoped(spark, sf):
-    return plain(fl.fill_zero(_with_gaps(spark, sf), ["tx_amount"]))
+    filled = fl.fill_zero(_with_gaps(spark, sf), ["tx_amount"])
+    return plain(as_text(filled, "terminal_id"))
 
 
 @query(
@@ -152,7 +155,7 @@ def over_limit_label(spark, sf):
   date_trunc('day', tx_datetime)::TIMESTAMP AS day_start,
   date_trunc('day', tx_datetime)::TIMESTAMP + INTERVAL '23 hours 59 minutes 59 seconds' AS day_end,
   strftime(tx_datetime, '%Y-%m-%d') AS day_text,
-  CAST(tx_datetime AS DATE) + 7 AS week_later,
+  CAST(CAST(tx_datetime AS DATE) + 7 AS VARCHAR) AS week_later,
   CAST(CAST(tx_datetime AS DATE) - DATE '2024-01-01' + 1 AS INTEGER) AS days_so_far,
   CAST(strptime(strftime(tx_datetime, '%Y-%m-%d'), '%Y-%m-%d') AS TIMESTAMP) AS parsed FROM tx""",
 )
@@ -180,7 +183,7 @@ def time_functions(spark, sf):
     f"""WITH {TX_SQL}, d AS (
   SELECT CAST(unnest(generate_series(DATE '2023-12-25', DATE '2024-02-05', INTERVAL 1 DAY)) AS DATE)
     AS tx_date)
-SELECT tx_date, count(transaction_id) AS rows
+SELECT CAST(tx_date AS VARCHAR) AS tx_date, count(transaction_id) AS rows
 FROM d LEFT JOIN tx ON CAST(tx_datetime AS DATE) = tx_date GROUP BY tx_date""",
 )
 def day_spine_counts(spark, sf):
@@ -192,7 +195,7 @@ def day_spine_counts(spark, sf):
     )
     spine = cal.day_spine(spark, "2023-12-25", "2024-02-05")
     joined = spine.join(per_day, "tx_date", "left")
-    return joined.select("tx_date", F.coalesce("rows", F.lit(0)).alias("rows"))
+    return plain(joined.select("tx_date", F.coalesce("rows", F.lit(0)).alias("rows")))
 
 
 @query(

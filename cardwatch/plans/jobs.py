@@ -30,8 +30,7 @@ from cardwatch.sources.writers import convert_csv, write_day_copies
 def convert_job(spark: SparkSession, source: Paths, targets: Sequence[str]) -> None:
     """Raw CSV files to Parquet at every target."""
     use_utc(spark)
-    for target in targets:
-        convert_csv(spark, source, target)
+    convert_csv(spark, source, targets)
 
 
 def features_for_days(

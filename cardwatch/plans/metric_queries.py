@@ -168,7 +168,7 @@ def order_line_roc_auc(spark, sf):
 
 
 _MONTHS_SQL = """WITH {base}, p AS (SELECT *, tx_amount > {limit} AS rejected FROM tx), m AS (
-SELECT CAST(date_trunc('month', tx_datetime) AS DATE) AS month, count(*) AS transactions,
+SELECT CAST(CAST(date_trunc('month', tx_datetime) AS DATE) AS VARCHAR) AS month, count(*) AS transactions,
   count(*) FILTER (tx_fraud = 1 AND NOT rejected) AS executed_frauds,
   CAST(coalesce(sum(CAST(round(tx_amount * 100) AS BIGINT))
     FILTER (tx_fraud = 1 AND NOT rejected), 0) AS BIGINT) / 100 AS executed_fraud_amount,
@@ -185,11 +185,11 @@ ORDER_LINE_LIMIT = 50_000
 
 @query("monthly_indicators", _MONTHS_SQL.format(base=TX_SQL, limit=160))
 def monthly_indicators(spark, sf):
-    return mt.meets_goals(mt.monthly_indicators(predictions(spark, sf)))
+    return plain(mt.meets_goals(mt.monthly_indicators(predictions(spark, sf))))
 
 
 @query("order_line_monthly_indicators", _MONTHS_SQL.format(base=LINES_SQL, limit=ORDER_LINE_LIMIT))
 def order_line_monthly_indicators(spark, sf):
     rejected = F.when(F.col("tx_amount") > ORDER_LINE_LIMIT, 1).otherwise(0)
     lines = order_lines(spark, sf).withColumn("prediction", rejected)
-    return mt.meets_goals(mt.monthly_indicators(lines))
+    return plain(mt.meets_goals(mt.monthly_indicators(lines)))

@@ -25,6 +25,9 @@ SHORT_RANGES = {
 }
 
 
+_INPUTS_SQL = ", ".join(f"round({c}, 6)::DOUBLE::VARCHAR" for c in model_inputs())
+
+
 def _stored_features(spark, sf):
     """The feature table, written once: training reads it many times."""
     path = scratch_path(spark, "features")
@@ -34,7 +37,8 @@ def _stored_features(spark, sf):
 
 @query(
     "model_input_vector",
-    f"SELECT transaction_id, tx_fraud, concat_ws(',', {', '.join(f'round({c}, 6)::DOUBLE::VARCHAR' for c in model_inputs())}) AS inputs FROM ({_features_sql()})",
+    f"SELECT transaction_id, tx_fraud, concat_ws(',', {_INPUTS_SQL}) AS inputs "
+    f"FROM ({_features_sql()})",
 )
 def model_input_vector(spark, sf):
     assembled = ml.assemble(feature_table(transactions(spark, sf)))
@@ -71,7 +75,11 @@ def forest_quality(spark, sf):
     return mt.quality(both, by=["part"])
 
 
-@query("reloaded_model_predictions")
+@query(
+    "reloaded_model_predictions",
+    f"""WITH {TX_SQL} SELECT true AS same, count(*) AS count FROM tx
+WHERE substr(md5('42:' || transaction_id), 1, 8) >= 'cccccccd'""",
+)
 def reloaded_model_predictions(spark, sf):
     """The saved and reloaded model gives the predictions of the fitted one."""
     train, test = train_test(_stored_features(spark, sf))

@@ -8,7 +8,7 @@ from cardwatch.functions.numeric import file_stem
 from cardwatch.operators.filters import between_days
 from cardwatch.plans.jobs import convert_job, feature_job, label_job
 from cardwatch.plans.registry import query
-from cardwatch.plans.tables import TX_LIST, TX_SQL, plain, transactions
+from cardwatch.plans.tables import TX_LIST, TX_SQL, as_text, plain, transactions
 from cardwatch.plans.window_queries import OUTPUT_DAYS, _features_sql
 from cardwatch.schema import TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
 from cardwatch.session import scratch_path
@@ -39,7 +39,7 @@ def csv_typed_scan(spark, sf):
     f"""WITH {TX_SQL}
 SELECT transaction_id,
   CASE WHEN tx_amount > 100 THEN NULL ELSE tx_datetime END AS tx_datetime,
-  customer_id, CASE WHEN tx_fraud = 1 THEN NULL ELSE terminal_id END AS terminal_id, tx_amount,
+  customer_id, CASE WHEN tx_fraud = 0 THEN CAST(terminal_id AS VARCHAR) END AS terminal_id, tx_amount,
   tx_time_seconds, tx_time_days, tx_fraud, tx_fraud_scenario FROM tx""",
 )
 def csv_unreadable_cells(spark, sf):
@@ -48,7 +48,7 @@ def csv_unreadable_cells(spark, sf):
     place = F.when(F.col("tx_fraud") == 1, "").otherwise(F.col("terminal_id").cast("string"))
     broken = transactions(spark, sf).withColumns({"tx_datetime": time, "terminal_id": place})
     _write_csv(broken, path)
-    return plain(readers.scan_csv(spark, path))
+    return plain(as_text(readers.scan_csv(spark, path), "terminal_id"))
 
 
 @query("parquet_multi_path_scan", _ALL_SQL)
@@ -94,8 +94,8 @@ def scan_by_format(spark, sf):
     "parquet_merged_schema_scan",
     f"""WITH {TX_SQL}
 SELECT {", ".join(TRANSACTION_COLUMNS[:-2])},
-  CASE WHEN tx_amount <= 50 THEN tx_fraud END AS tx_fraud,
-  CASE WHEN tx_amount <= 50 THEN tx_fraud_scenario END AS tx_fraud_scenario FROM tx""",
+  CASE WHEN tx_amount <= 50 THEN CAST(tx_fraud AS VARCHAR) END AS tx_fraud,
+  CASE WHEN tx_amount <= 50 THEN CAST(tx_fraud_scenario AS VARCHAR) END AS tx_fraud_scenario FROM tx""",
 )
 def parquet_merged_schema_scan(spark, sf):
     rows = transactions(spark, sf)
@@ -103,7 +103,8 @@ def parquet_merged_schema_scan(spark, sf):
     writers.overwrite(rows.filter(_SMALL), paths[0])
     writers.overwrite(rows.filter(_LARGE).drop("tx_fraud", "tx_fraud_scenario"), paths[1])
     merged = readers.scan_parquet(spark, paths, merge_schema=True)
-    return plain(merged.select(*TRANSACTION_COLUMNS))
+    columns = merged.select(*TRANSACTION_COLUMNS)
+    return plain(as_text(columns, "tx_fraud", "tx_fraud_scenario"))
 
 
 @query("parquet_two_targets", f"{_ALL_SQL} UNION ALL SELECT {TX_LIST} FROM tx")
@@ -130,21 +131,22 @@ def parquet_single_file(spark, sf):
 @query("csv_to_parquet_by_file", f"WITH {TX_SQL} SELECT {TX_LIST}, true AS same_file FROM tx")
 def csv_to_parquet_by_file(spark, sf):
     """Raw files converted in one job; every row must lie in the folder named after its file."""
-    raw, target = scratch_path(spark, "raw"), scratch_path(spark, "converted")
+    raw = scratch_path(spark, "raw")
+    targets = [scratch_path(spark, name) for name in ("converted", "converted-copy")]
     rows = transactions(spark, sf)
     _write_csv(rows.repartition("tx_time_days"), raw)
-    convert_job(spark, raw, [target])
+    convert_job(spark, raw, targets)
     origin = readers.scan_csv(spark, raw).select(
         "transaction_id", file_stem(F.col("_metadata.file_name")).alias("_stem")
     )
-    stored = spark.read.parquet(target).join(origin, "transaction_id")
+    stored = writers.read_converted(spark, targets[1]).join(origin, "transaction_id")
     same = F.col("source_file") == F.col("_stem")
     return plain(stored.select(*TRANSACTION_COLUMNS, same.alias("same_file")))
 
 
 @query(
     "day_partitioned_sink",
-    f"WITH {TX_SQL} SELECT {TX_LIST}, CAST(tx_datetime AS DATE) AS tx_date FROM tx",
+    f"WITH {TX_SQL} SELECT {TX_LIST}, CAST(CAST(tx_datetime AS DATE) AS VARCHAR) AS tx_date FROM tx",
 )
 def day_partitioned_sink(spark, sf):
     """Written by day, then some days written again: the result holds every row once."""
@@ -157,7 +159,7 @@ def day_partitioned_sink(spark, sf):
 
 @query(
     "feature_job",
-    f"SELECT *, CAST(tx_datetime AS DATE) AS tx_date FROM ({_features_sql()}) "
+    f"SELECT *, CAST(CAST(tx_datetime AS DATE) AS VARCHAR) AS tx_date FROM ({_features_sql()}) "
     "WHERE tx_datetime >= '2024-01-20' AND tx_datetime < '2024-01-25'",
 )
 def feature_job_output(spark, sf):
@@ -178,7 +180,7 @@ x AS (SELECT * REPLACE (CAST(CASE WHEN pos <= 10 THEN 2 WHEN tx_amount > 160 THE
                              AS BIGINT) AS tx_fraud_scenario) FROM r)
 SELECT transaction_id, tx_datetime, customer_id, terminal_id, tx_amount, tx_time_seconds,
   tx_time_days, CAST(tx_fraud_scenario > 0 AS BIGINT) AS tx_fraud, tx_fraud_scenario,
-  CAST(tx_datetime AS DATE) AS tx_date FROM x""",
+  CAST(CAST(tx_datetime AS DATE) AS VARCHAR) AS tx_date FROM x""",
 )
 def label_job_output(spark, sf):
     source, target = (scratch_path(spark, name) for name in ("unlabelled", "labelled"))

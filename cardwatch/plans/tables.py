@@ -115,9 +115,16 @@ def terminal_places(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Times without a zone, as the given tables hold them."""
-    zoned = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp"]
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned}) if zoned else df
+    """Times without a zone, as the given tables hold them, and dates as text."""
+    target = {"timestamp": "timestamp_ntz", "date": "string"}
+    return df.withColumns(
+        {c: F.col(c).cast(target[t]) for c, t in df.dtypes if t in target}
+    )
+
+
+def as_text(df: DataFrame, *columns: str) -> DataFrame:
+    """Whole numbers that may be missing, as text: a missing one looks the same everywhere."""
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
 
 
 TX_SQL = f"""tx AS (

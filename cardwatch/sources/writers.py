@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cardwatch.functions.numeric import file_stem
 from cardwatch.operators.filters import PARTITION_DAY
@@ -63,14 +65,32 @@ def write_day_copies(
         write_days(written.select(*df.columns), path, **options)
 
 
-def convert_csv(spark: SparkSession, source: Paths, target: str) -> None:
-    """CSV files to Parquet, one ``source_file=<stem>`` folder per input file, in one job."""
+def convert_csv(spark: SparkSession, source: Paths, targets: Sequence[str]) -> None:
+    """CSV files to Parquet, one ``source_file=<stem>`` folder per input file, in one job.
+
+    The text is parsed once; further targets copy the folders just written.
+    """
+    first, *others = targets
     rows = scan_csv(spark, source, TRANSACTION_SCHEMA)
+    _write_files(rows.withColumn(PARTITION_FILE, file_stem(F.col("_metadata.file_name"))), first)
+    if others:
+        stems = sorted({PurePosixPath(name).stem for name in rows.inputFiles()})
+        stored = read_converted(spark, first).filter(F.col(PARTITION_FILE).isin(stems))
+        for path in others:
+            _write_files(stored, path)
+
+
+def read_converted(spark: SparkSession, path: str) -> DataFrame:
+    """Transactions and ``source_file`` as text, also where the stems look like dates."""
+    schema = StructType([*TRANSACTION_SCHEMA.fields, StructField(PARTITION_FILE, StringType())])
+    return spark.read.schema(schema).parquet(path)
+
+
+def _write_files(df: DataFrame, path: str) -> None:
     (
-        rows.withColumn(PARTITION_FILE, file_stem(F.col("_metadata.file_name")))
-        .hint("rebalance", F.col(PARTITION_FILE))
+        df.hint("rebalance", F.col(PARTITION_FILE))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION_FILE)
-        .parquet(target)
+        .parquet(path)
     )

@@ -53,7 +53,8 @@ def test_convert_names_outputs_by_stem(spark, tmp_path):
     assert stored.count() == 3
     convert_job(spark, str(raw / "2024-01-01.txt"), [str(out)])
     assert spark.read.parquet(str(out)).count() == 6
-    assert spark.read.parquet(str(tmp_path / "copy")).count() == 6
+    copy = writers.read_converted(spark, str(tmp_path / "copy"))
+    assert copy.filter("source_file = '2024-01-02'").count() == 2 and copy.count() == 6
 
 
 def test_format_switch(spark):
@@ -166,6 +167,14 @@ def test_trailing_days_use_the_latest_row(make):
     assert sorted(rows_by_id(trailing_days(df, 90), "tx_time_days")) == [2, 3]
 
 
+def test_trailing_days_prune_day_folders(spark, make, tmp_path):
+    df = make([{"s": d * DAY + 5} for d in range(100)])
+    writers.write_days(df, str(tmp_path))
+    got = trailing_days(spark.read.parquet(str(tmp_path)), 7)
+    assert sorted(rows_by_id(got, "tx_time_days")) == list(range(92, 100))
+    assert "PartitionFilters: [isnotnull(tx_date" in plan_of(got)
+
+
 def test_file_stem(spark):
     names = ["/a/b/2024-01-01.txt", "x.tar.gz", "plain", ".hidden", "dir.d/name"]
     df = spark.createDataFrame([(n,) for n in names], "n string")
