@@ -14,7 +14,7 @@ Two plans give the same rows:
             rows the key has. The sums return to the rows by a join on (key, second), which
             adaptive execution can split further where one second alone is hot.
 
-``auto`` picks by the rows of the most frequent key, estimated from a sample of the key column. The
+``auto`` picks by the rows of the most frequent key, estimated from a sample of the key columns. The
 sample only chooses the plan; both plans read every row.
 """
 
@@ -39,23 +39,21 @@ _SECOND = "_second"
 
 
 def choose_plans(
-    df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
 ) -> dict[str, str]:
-    """``direct`` or ``split`` for each key column.
+    """``direct`` or ``split`` for each key column, by one pass over a sample of these columns.
 
-    A table that fits one task as a whole needs no look at its keys. Otherwise a key is hot from
-    half the limit on, so that a key at the limit cannot slip through the sample.
+    A key is hot from half the limit on, so that a key at the limit cannot slip through.
     """
-    if df.count() <= rows_per_task:
-        return dict.fromkeys(keys, "direct")
     fraction = min(1.0, _SAMPLED_ROWS / rows_per_task)
-    hot = fraction * rows_per_task / 2 if fraction < 1 else rows_per_task
-    plans = {}
-    for key in keys:
-        sampled = df.select(key) if fraction == 1 else df.select(key).sample(fraction, seed=1)
-        largest = sampled.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-        plans[key] = "split" if largest > hot else "direct"
-    return plans
+    hot = rows_per_task if fraction == 1 else _SAMPLED_ROWS / 2
+    rows = df.select(*keys) if fraction == 1 else df.select(*keys).sample(fraction, seed=1)
+    named = [
+        F.struct(F.lit(k).alias("key"), F.col(k).cast("string").alias("value")) for k in keys
+    ]
+    groups = rows.select(F.inline(F.array(*named))).groupBy("key", "value").count()
+    largest = dict(groups.groupBy("key").agg(F.max("count")).collect())
+    return {k: "split" if largest.get(k, 0) > hot else "direct" for k in keys}
 
 
 def add_frame_sums(
