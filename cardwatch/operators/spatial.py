@@ -83,9 +83,7 @@ def _per_customer(customers, pairs):
     listed = pairs.groupBy("customer_id").agg(
         *[F.any_value(c).alias(c) for c in others],
         F.sort_array(F.collect_list("terminal_id")).alias("available_terminals"),
+        # Counted by itself, so that Spark can leave out lists nobody reads.
+        F.count("terminal_id").alias("nb_terminals"),
     )
-    return listed.select(
-        *customers.columns,
-        "available_terminals",
-        F.size("available_terminals").cast("long").alias("nb_terminals"),
-    )
+    return listed.select(*customers.columns, "available_terminals", "nb_terminals")

@@ -64,6 +64,23 @@ def forest_predictions(spark, sf):
     return scored.select("transaction_id", "tx_fraud", "prediction", "fraud_probability")
 
 
+@query(
+    "forest_prediction_rules",
+    f"""WITH {TX_SQL} SELECT transaction_id, tx_fraud, true AS is_probability, true AS is_majority
+FROM tx WHERE substr(md5('42:' || transaction_id), 1, 8) >= 'cccccccd'""",
+)
+def forest_prediction_rules(spark, sf):
+    """Each test row is scored once, by a probability, and predicted to be the likelier class."""
+    scored = forest_predictions(spark, sf)
+    chance = F.col("fraud_probability")
+    return scored.select(
+        "transaction_id",
+        "tx_fraud",
+        chance.between(0, 1).alias("is_probability"),
+        (F.col("prediction") == (chance > 0.5).cast("double")).alias("is_majority"),
+    )
+
+
 @query("forest_quality")
 def forest_quality(spark, sf):
     train, test = train_test(_stored_features(spark, sf))
