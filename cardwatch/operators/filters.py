@@ -65,7 +65,9 @@ def trailing_days(df: DataFrame, days: int, *, ts: str = "tx_datetime") -> DataF
     trailing days for the result.
     """
     by_day = PARTITION_DAY in df.columns
-    last = df.filter(F.col(PARTITION_DAY) == df.agg(F.max(PARTITION_DAY)).scalar()) if by_day else df
+    last = df
+    if by_day:
+        last = df.filter(F.col(PARTITION_DAY) == df.agg(F.max(PARTITION_DAY)).scalar())
     start = last.agg((F.max(ts) - F.make_dt_interval(F.lit(days))).alias("start"))
     keep = F.col(ts) >= start.scalar()
     if by_day:

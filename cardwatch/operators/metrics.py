@@ -44,9 +44,11 @@ def confusion_matrix(
     """The 2 x 2 matrix. Rows are the truth; ``rows_are="prediction"`` turns it around."""
     counts = confusion_counts(df, label, prediction)
     if rows_are == "label":
-        return counts.selectExpr("stack(2, 0, tn, fp, 1, fn, tp) AS (label, predicted_0, predicted_1)")
+        cells = "stack(2, 0, tn, fp, 1, fn, tp) AS (label, predicted_0, predicted_1)"
+        return counts.selectExpr(cells)
     if rows_are == "prediction":
-        return counts.selectExpr("stack(2, 0, tn, fn, 1, fp, tp) AS (prediction, label_0, label_1)")
+        cells = "stack(2, 0, tn, fn, 1, fp, tp) AS (prediction, label_0, label_1)"
+        return counts.selectExpr(cells)
     raise ValueError("rows_are is label or prediction")
 
 

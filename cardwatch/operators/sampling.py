@@ -19,7 +19,11 @@ _SLICE_DIGITS = 4
 
 
 def in_stratified_sample(
-    fractions: Mapping, *, label: str = "tx_fraud", id_column: str = "transaction_id", seed: int = 42
+    fractions: Mapping,
+    *,
+    label: str = "tx_fraud",
+    id_column: str = "transaction_id",
+    seed: int = 42,
 ) -> Column:
     """True for about ``fractions[label value]`` of the rows of each label; other labels: none."""
     draw = hash_draw(seed, id_column)

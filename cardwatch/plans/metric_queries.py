@@ -168,7 +168,8 @@ def order_line_roc_auc(spark, sf):
 
 
 _MONTHS_SQL = """WITH {base}, p AS (SELECT *, tx_amount > {limit} AS rejected FROM tx), m AS (
-SELECT CAST(CAST(date_trunc('month', tx_datetime) AS DATE) AS VARCHAR) AS month, count(*) AS transactions,
+SELECT CAST(CAST(date_trunc('month', tx_datetime) AS DATE) AS VARCHAR) AS month,
+  count(*) AS transactions,
   count(*) FILTER (tx_fraud = 1 AND NOT rejected) AS executed_frauds,
   CAST(coalesce(sum(CAST(round(tx_amount * 100) AS BIGINT))
     FILTER (tx_fraud = 1 AND NOT rejected), 0) AS BIGINT) / 100 AS executed_fraud_amount,

@@ -12,7 +12,7 @@ from cardwatch.operators.split import train_test
 from cardwatch.plans.jobs import training_job
 from cardwatch.plans.registry import query
 from cardwatch.plans.tables import TX_SQL, transactions
-from cardwatch.plans.window_queries import _features_sql
+from cardwatch.plans.window_queries import features_sql
 from cardwatch.schema import model_inputs
 from cardwatch.session import scratch_path
 from cardwatch.sources.writers import overwrite, write_days
@@ -38,7 +38,7 @@ def _stored_features(spark, sf):
 @query(
     "model_input_vector",
     f"SELECT transaction_id, tx_fraud, concat_ws(',', {_INPUTS_SQL}) AS inputs "
-    f"FROM ({_features_sql()})",
+    f"FROM ({features_sql()})",
 )
 def model_input_vector(spark, sf):
     assembled = ml.assemble(feature_table(transactions(spark, sf)))
@@ -49,8 +49,9 @@ def model_input_vector(spark, sf):
 
 @query(
     "cross_validation_folds",
-    f"""WITH {TX_SQL} SELECT transaction_id, CAST(CAST('0x' || substr(md5('42:fold:' || transaction_id), 1, 8)
-  AS BIGINT) % 10 AS INTEGER) AS fold FROM tx""",
+    f"""WITH {TX_SQL} SELECT transaction_id,
+  CAST(CAST('0x' || substr(md5('42:fold:' || transaction_id), 1, 8) AS BIGINT) % 10 AS INTEGER)
+    AS fold FROM tx""",
 )
 def cross_validation_folds(spark, sf):
     return ml.with_folds(transactions(spark, sf)).select("transaction_id", "fold")

@@ -9,7 +9,7 @@ from cardwatch.operators.filters import between_days
 from cardwatch.plans.jobs import convert_job, feature_job, label_job
 from cardwatch.plans.registry import query
 from cardwatch.plans.tables import TX_LIST, TX_SQL, as_text, plain, transactions
-from cardwatch.plans.window_queries import OUTPUT_DAYS, _features_sql
+from cardwatch.plans.window_queries import OUTPUT_DAYS, features_sql
 from cardwatch.schema import TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
 from cardwatch.session import scratch_path
 from cardwatch.sources import readers, writers
@@ -159,7 +159,7 @@ def day_partitioned_sink(spark, sf):
 
 @query(
     "feature_job",
-    f"SELECT *, CAST(CAST(tx_datetime AS DATE) AS VARCHAR) AS tx_date FROM ({_features_sql()}) "
+    f"SELECT *, CAST(CAST(tx_datetime AS DATE) AS VARCHAR) AS tx_date FROM ({features_sql()}) "
     "WHERE tx_datetime >= '2024-01-20' AND tx_datetime < '2024-01-25'",
 )
 def feature_job_output(spark, sf):

@@ -57,50 +57,55 @@ _FLAGS_SQL = """CAST(dayofweek(tx_datetime) IN (0, 6) AS INTEGER) AS tx_during_w
   CAST(hour(tx_datetime) <= 6 AS INTEGER) AS tx_during_night"""
 
 
-def _features_sql(base=TX_SQL, windows=WINDOW_DAYS) -> str:
+def features_sql(base=TX_SQL, windows=WINDOW_DAYS) -> str:
     return (
         f"WITH {base} SELECT {TX_LIST},\n  {_FLAGS_SQL},\n  {_customer_sql(windows)},\n"
         f"  {_terminal_sql(windows)} FROM tx"
     )
 
 
-@query("feature_table", _features_sql())
+@query("feature_table", features_sql())
 def feature_table(spark, sf):
     return plain(ft.feature_table(transactions(spark, sf)))
 
 
-@query("feature_table_split_plan", _features_sql())
+@query("feature_table_split_plan", features_sql())
 def feature_table_split_plan(spark, sf):
     return plain(ft.feature_table(transactions(spark, sf), plan="split", block_days=10))
 
 
-@query("feature_table_wide_windows", _features_sql(windows=WIDE_WINDOWS))
+@query("feature_table_wide_windows", features_sql(windows=WIDE_WINDOWS))
 def feature_table_wide_windows(spark, sf):
     return plain(ft.feature_table(transactions(spark, sf), WIDE_WINDOWS))
 
 
-@query("order_line_features", _features_sql(LINES_SQL))
+@query("order_line_features", features_sql(LINES_SQL))
 def order_line_features(spark, sf):
     return plain(ft.feature_table(order_lines(spark, sf)))
 
 
-@query("order_line_features_split_plan", _features_sql(LINES_SQL))
+@query("order_line_features_split_plan", features_sql(LINES_SQL))
 def order_line_features_split_plan(spark, sf):
     return plain(ft.feature_table(order_lines(spark, sf), plan="split"))
 
 
 @query(
     "features_for_days",
-    f"SELECT * FROM ({_features_sql()}) "
+    f"SELECT * FROM ({features_sql()}) "
     "WHERE tx_datetime >= '2024-01-20' AND tx_datetime < '2024-01-25'",
 )
 def features_of_days(spark, sf):
     return plain(features_for_days(transactions(spark, sf), *OUTPUT_DAYS))
 
 
+_WEEK_SQL = TX_SQL.replace(
+    "FROM events)", "FROM events WHERE ts >= '2024-01-13' AND ts < '2024-01-25')"
+)
+
+
 @query(
     "features_for_days_short_lookback",
-    f"""WITH {TX_SQL.replace("FROM events)", "FROM events WHERE ts >= '2024-01-13' AND ts < '2024-01-25')")}
+    f"""WITH {_WEEK_SQL}
 SELECT * FROM (SELECT {TX_LIST},
   {_FLAGS_SQL},
   {_customer_sql()},
@@ -111,7 +116,7 @@ def features_short_lookback(spark, sf):
     return plain(features_for_days(transactions(spark, sf), *OUTPUT_DAYS, lookback=7))
 
 
-@query("features_all_columns_filled", _features_sql())
+@query("features_all_columns_filled", features_sql())
 def features_all_columns_filled(spark, sf):
     return plain(fill_zero(ft.feature_table(transactions(spark, sf))))
 

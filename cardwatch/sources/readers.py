@@ -51,7 +51,7 @@ def scan(
 
 
 def day_folders(root: str, first: Day, last: Day) -> str:
-    """One glob for the folders ``root/YYYY-MM-DD.parquet`` of the days; missing days are skipped."""
+    """One glob for the folders ``root/YYYY-MM-DD.parquet``; missing days are skipped."""
     start = as_date(first)
     days = [start + dt.timedelta(days=i) for i in range(days_between_inclusive(first, last))]
     names = ",".join(day.isoformat() for day in days)

@@ -22,8 +22,11 @@ def overwrite(df: DataFrame, path: str) -> None:
 
 
 def overwrite_single_file(df: DataFrame, path: str) -> None:
-    """One output file: for small results only, since one task writes it."""
-    df.coalesce(1).write.mode("overwrite").parquet(path)
+    """One output file: for small results, since one task writes it.
+
+    The shuffle keeps the work before it parallel, which merging partitions would not.
+    """
+    df.repartition(1).write.mode("overwrite").parquet(path)
 
 
 def overwrite_copies(df: DataFrame, paths: Sequence[str]) -> None:
