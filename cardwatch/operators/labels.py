@@ -35,6 +35,11 @@ def covered_days(listed: DataFrame, entity: str, length: int) -> DataFrame:
     )
 
 
+def _stored_days(listed: DataFrame, entity: str, length: int) -> DataFrame:
+    """The covered days as a written table, so that Spark joins by their true size."""
+    return stored(covered_days(listed, entity, length), f"{entity}-days")
+
+
 def _match(df: DataFrame, days: DataFrame, entity: str) -> Column:
     return (df[entity] == days["_entity"]) & (df["tx_time_days"] == days["_day"])
 
@@ -43,7 +48,7 @@ def transactions_of_listed(
     df: DataFrame, listed: DataFrame, entity: str, length: int
 ) -> DataFrame:
     """Transactions of a listed entity within its days, each once."""
-    days = covered_days(listed, entity, length)
+    days = _stored_days(listed, entity, length)
     return df.join(days, _match(df, days, entity), "left_semi")
 
 
@@ -57,7 +62,10 @@ def compromised_customer_matches(
     df: DataFrame, listed: DataFrame, length: int = CUSTOMER_SCENARIO_DAYS
 ) -> DataFrame:
     """Transactions of listed customers, once per list day whose interval holds them."""
-    days = covered_days(listed, "customer_id", length)
+    return _customer_matches(df, _stored_days(listed, "customer_id", length))
+
+
+def _customer_matches(df: DataFrame, days: DataFrame) -> DataFrame:
     return df.join(days, _match(df, days, "customer_id")).select("list_day", *df.columns)
 
 
@@ -75,14 +83,14 @@ def drawn_customer_days(
     them, which a row can tell by itself.
     """
     ids = df.select("transaction_id", "customer_id", "tx_time_days")
-    matches = compromised_customer_matches(ids, listed, length)
-    cuts = share_cutoffs(matches, ["list_day"], share, seed=seed)
-    return (
-        covered_days(listed, "customer_id", length)
-        .join(cuts, "list_day")
+    days = _stored_days(listed, "customer_id", length)
+    cuts = share_cutoffs(_customer_matches(ids, days), ["list_day"], share, seed=seed)
+    drawn = (
+        days.join(cuts, "list_day")
         .groupBy("_entity", "_day")
         .agg(F.collect_list(F.struct("list_day", "cut_draw", "cut_id")).alias("cuts"))
     )
+    return stored(drawn, "drawn-customer-days")
 
 
 def is_drawn(cuts: Column | str = "cuts", id_column: str = "transaction_id", seed: int = 11):
@@ -138,7 +146,7 @@ def label_by_lists(
         .distinct(),
         "terminal-days",
     )
-    customer_days = stored(drawn_customer_days(df, customers, seed=seed), "customer-days")
+    customer_days = drawn_customer_days(df, customers, seed=seed)
     on_terminal = F.when(terminal_days["_entity"].isNotNull(), 1).otherwise(0)
     on_customer = F.when(is_drawn(customer_days["cuts"], seed=seed), 1).otherwise(0)
     flags = {
@@ -162,14 +170,16 @@ def label_by_daily_sample(
 ) -> DataFrame:
     """Label by amount (1) and ``rows`` random transactions of each day (2).
 
-    The last drawn row of each day is its cut; one row per calendar day is broadcast.
+    The last drawn row of each day is its cut. The cuts, one row per day, are written first, so
+    that Spark joins them by their true size.
     """
     ids = df.select("transaction_id", "tx_time_days")
     drawn = sample_rows_per_group(ids, ["tx_time_days"], rows, seed=seed)
     last = F.max(F.struct(hash_draw(seed, "transaction_id"), "transaction_id"))
     cuts = drawn.groupBy(F.col("tx_time_days").alias("_day")).agg(last.alias("_last"))
+    cuts = stored(cuts, "day-cuts")
     mine = F.struct(hash_draw(seed, "transaction_id"), "transaction_id")
-    marked = df.join(F.broadcast(cuts), df["tx_time_days"] == cuts["_day"], "left")
+    marked = df.join(cuts, df["tx_time_days"] == cuts["_day"], "left")
     sampled = F.when(mine <= F.col("_last"), 2).otherwise(0)
     scenario = scenario_priority(over_limit(limit), sampled).alias("_scenario")
     marked = marked.select(*_unlabelled(df), scenario)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwatch.session import scratch_path
+from cardwatch.session import stored
 
 
 def chronological(df: DataFrame, ts: str = "tx_datetime", *ties: str) -> DataFrame:
@@ -30,20 +30,17 @@ def add_chronological_id(
     no day or second has to fit one. Writing the sorted rows fixes the partitions, so a lost
     executor cannot renumber them.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, "sorted")
     others = [c for c in df.columns if c != name]
-    placed = df.select(*others).orderBy(ts, *ties)
-    placed.withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
-    stored = spark.read.parquet(path)
+    ordered = df.select(*others).orderBy(ts, *ties)
+    placed = stored(ordered.withColumn("_place", F.monotonically_increasing_id()), "sorted")
     # The upper bits of the place are the number of the sorted partition, the lower 33 the row.
     part, row = F.shiftright("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        stored.groupBy(part.alias("_part"))
+        placed.groupBy(part.alias("_part"))
         .count()
         .select("_part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_offset"))
     )
-    # One row per sorted partition, so the broadcast is bounded by the number of tasks.
-    numbered = stored.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    # One row per sorted partition; written, so that Spark sees how small it is.
+    numbered = placed.withColumn("_part", part).join(stored(offsets, "offsets"), "_part")
     return numbered.select((row + F.col("_offset")).alias(name), *others)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.functions.numeric import draw_below, hash_draw
 from cardwatch.schema import DAILY_SAMPLE_ROWS
+from cardwatch.session import stored
 
 # Hex digits of a draw that name its slice: 65 536 even slices per group.
 _SLICE_DIGITS = 4
@@ -95,6 +96,9 @@ def share_cutoffs(
             & (F.col("_wanted") <= F.col("_before") + F.col("count"))
         )
     )
+    # One row per group: written, so that Spark broadcasts it while it is small and shuffles only
+    # the rows that match.
+    cut_slices = stored(cut_slices, "cut-slices")
     match = drawn["_slice"] == cut_slices["_cut_slice"]
     for g in group:
         match &= drawn[g].eqNullSafe(cut_slices[f"_{g}"])
@@ -125,12 +129,12 @@ def sample_share_per_group(
 ) -> DataFrame:
     """``floor(n * a / b)`` random rows without replacement of each group of n rows.
 
-    The rows up to the group's cut are taken, so the rows themselves are only filtered. Ids must
+    The rows up to the group's cut are taken, so the rows themselves are only filtered. The cuts,
+    one row per group, are written first, so that Spark joins them by their true size. Ids must
     be unique within a group.
     """
-    cuts = share_cutoffs(df, group, share, id_column=id_column, seed=seed).withColumnsRenamed(
-        {g: f"_{g}" for g in group}
-    )
+    cuts = share_cutoffs(df, group, share, id_column=id_column, seed=seed)
+    cuts = stored(cuts.withColumnsRenamed({g: f"_{g}" for g in group}), "cuts")
     match = F.lit(True)
     for g in group:
         match &= df[g].eqNullSafe(cuts[f"_{g}"])

@@ -22,7 +22,6 @@ from cardwatch.plans.tables import (
     transactions,
 )
 from cardwatch.schema import COMPROMISED_CUSTOMERS_PER_DAY, TRANSACTION_COLUMNS
-from cardwatch.session import stored
 
 TERMINALS_PER_DAY = 1
 
@@ -67,7 +66,7 @@ def _customers(rows):
 
 def _labelled(spark, sf):
     rows = transactions(spark, sf)
-    return lb.label_by_lists(rows, _terminals(rows), stored(_customers(rows), "customers"))
+    return lb.label_by_lists(rows, _terminals(rows), _customers(rows))
 
 
 @query("active_terminal_sample", f"WITH {TX_SQL}, {_TERMINALS_SQL} SELECT * FROM lt")
@@ -95,7 +94,7 @@ def compromised_terminal_transactions(spark, sf):
 )
 def compromised_customer_matches(spark, sf):
     rows = transactions(spark, sf)
-    return plain(lb.compromised_customer_matches(rows, stored(_customers(rows), "customers")))
+    return plain(lb.compromised_customer_matches(rows, _customers(rows)))
 
 
 @query(
@@ -105,7 +104,7 @@ SELECT {TX_LIST} FROM tx WHERE transaction_id IN (SELECT transaction_id FROM dra
 )
 def compromised_customer_transactions(spark, sf):
     rows = transactions(spark, sf)
-    return plain(lb.compromised_customer_transactions(rows, stored(_customers(rows), "customers")))
+    return plain(lb.compromised_customer_transactions(rows, _customers(rows)))
 
 
 @query(

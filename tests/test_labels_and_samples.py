@@ -59,6 +59,12 @@ def test_share_takes_the_floor(make, n):
     assert got.filter("tx_time_days = 3").count() == 1
 
 
+def test_share_only_filters_the_rows(make):
+    df = make([{"s": i} for i in range(9)])
+    plan = plan_of(sm.sample_share_per_group(df, ["tx_time_days"], (1, 3)))
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan
+
+
 def test_samples_do_not_depend_on_partitioning(make):
     rows = [{"s": i * 977 % (5 * DAY), "tx_fraud": i % 2} for i in range(200)]
     for sample in (
