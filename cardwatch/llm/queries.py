@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cardwatch.llm import quality_rules  # noqa: F401
+from cardwatch.llm import quality_rules, simhash  # noqa: F401
 from cardwatch.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
