@@ -36,12 +36,6 @@ def id_hash_mod(column: str, n: int):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n
 
 
-def at_least(df: DataFrame, rows_per_task: int, rows: int) -> int:
-    """Partitions that hold about ``rows_per_task`` rows each, and no fewer than Spark's own number."""
-    own = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(own, -(-rows // rows_per_task))
-
-
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     frames = iter(frames)
     out = next(frames)
@@ -53,7 +47,6 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 __all__ = [
     "DOCUMENT_COLUMNS",
     "ROW",
-    "at_least",
     "columns_of",
     "id_hash_mod",
     "read_table",
