@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cardwatch.llm import langid, packing, quality_rules, simhash, toxicity  # noqa: F401
+from cardwatch.llm import langid, packing, quality_rules, secret_scan, simhash, toxicity  # noqa: F401
 from cardwatch.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
