@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cardwatch.llm import embedding_dedup, langid, packing, quality_rules, secret_scan, simhash, token_files, toxicity  # noqa: F401
+from cardwatch.llm import embedding_dedup, langid, packing, quality_rules, secret_scan, simhash, suffix_dedup, token_files, toxicity  # noqa: F401
 from cardwatch.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
