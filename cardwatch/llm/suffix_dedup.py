@@ -11,7 +11,9 @@ suffix is written only where it can matter, and results stay exact:
 3. The suffixes of those runs, from the anchor on, are dealt by sampled splitters into ranges of
    leading bytes. Each range is sorted by multikey quicksort, left contexts likewise, and windows
    that agree to the left and to the right of the anchor are found from the common prefix lengths.
-   Windows that agree with the first or last suffix of a range are compared across boundaries.
+4. Windows that agree with the first or last suffix of their range may have equals across its
+   boundaries. Their runs are dealt once more, by left contexts; the few windows that lie at a
+   boundary there too are compared as whole strings.
 """
 
 from __future__ import annotations
@@ -287,74 +289,116 @@ def _matrix(strings: list[bytes], width: int) -> np.ndarray:
     return out
 
 
-def repeated_windows(right: list[bytes], left: list[bytes], windows: np.ndarray, length: int, gram: int):
+def repeated_windows(
+    right: list[bytes],
+    back: list[bytes],
+    member: np.ndarray,
+    length: int,
+    by_left: bool,
+):
     """Windows of the runs of one bucket that are found in another run of it, and those to compare
     across the bucket's boundaries.
 
-    A window that starts ``o`` bytes before the anchor is its last ``o`` left bytes and its first
-    ``length - o`` right ones. Strings with a common prefix lie together in sorted order, so a
-    number per prefix length comes from the common prefixes of neighbours; two windows are equal
-    when both numbers are. Yields (o, runs that repeat, one run per boundary window).
+    ``right`` are the bytes from the anchor on, ``back`` those before it in reverse, and
+    ``member[o]`` tells which runs have a window that starts ``o`` bytes before the anchor. Such a
+    window is the first ``o`` bytes of ``back`` and the first ``length - o`` of ``right``. Strings
+    with a common prefix lie together in sorted order, so a number per prefix length comes from the
+    common prefixes of neighbours; two windows are equal when both numbers are. Yields (o, runs that
+    repeat, one run for each different window at a boundary).
     """
     m = len(right)
-    r, l = _matrix(right, length), _matrix([x[::-1] for x in left], length - gram)
+    r, l = _matrix(right, length), _matrix(back, len(member))
     r_order, l_order = multikey_order(r), multikey_order(l)
     r_common, l_common = _common(r, r_order), _common(l, l_order)
-    anchor = np.array([len(x) for x in left], np.int64)
+    ends = l_order[[0, -1]] if by_left else r_order[[0, -1]]
     r_group, l_group = np.empty(m, np.int64), np.empty(m, np.int64)
-    for o in range(length - gram + 1):
-        member = np.flatnonzero((o <= anchor) & (o > anchor - windows))
-        if not len(member):
+    for o in range(len(member)):
+        at = np.flatnonzero(member[o])
+        if not len(at):
             continue
         r_group[r_order] = np.cumsum(r_common < length - o)
         l_group[l_order] = np.cumsum(l_common < o)
-        key = r_group[member] * (m + 1) + l_group[member]
+        key = r_group[at] * (m + 1) + l_group[at]
         _, first, which, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-        edge = np.isin(r_group[member[first]], (r_group[r_order[0]], r_group[r_order[-1]]))
-        yield o, member[count[which] > 1], member[first[edge]]
+        side = l_group if by_left else r_group
+        yield o, at[count[which] > 1], at[first[np.isin(side[at[first]], side[ends])]]
 
 
-def _bucket_results(runs: DataFrame, length: int, gram: int, parts: int) -> DataFrame:
-    """``row``, ``s``, ``e`` of windows that repeat in their bucket; and, with ``edge`` set to the
-    window's bytes, windows to be compared with those of other buckets.
+_CLASS_SCHEMA = "suffix binary, back binary, row bigint, s bigint, n int, w int, os array<int>"
 
-    The ranges are of the suffix, then of the place of the run, so that many equal suffixes may fall
-    into several buckets: a window equal to one in another bucket agrees, in its right part, with
-    the first or the last suffix of its own, since all suffixes between the two begin alike.
+
+def _bucket_results(runs: DataFrame, length: int, gram: int, parts: int, by_left: bool) -> DataFrame:
+    """``row``, ``s``, ``e`` of windows that repeat in their bucket (``n`` is null), and the runs
+    with windows that must be compared with those of other buckets, their offsets in ``os``.
+
+    Buckets are ranges of the suffix, then of the place of the run, so that many equal suffixes
+    may fall into several buckets. A window equal to one in another bucket agrees, in its right part,
+    with the first or the last suffix of its own, since all suffixes between the two begin alike.
+    ``by_left`` deals by the left context instead, and the same holds for the left part: passages
+    with one right context and many left ones are told apart there. ``os`` null stands for all.
     """
+    names = [c.split()[0] for c in _CLASS_SCHEMA.split(", ")] + ["e", "edge"]
 
     def run(batches):
         held = [b for b in batches if b.num_rows]
         if not held:
             return
         table = pa.Table.from_batches(held)
-        right, left = table.column("suffix").to_pylist(), table.column("before").to_pylist()
+        right, back = table.column("suffix").to_pylist(), table.column("back").to_pylist()
         row, s, n, w = (table.column(c).to_numpy() for c in ("row", "s", "n", "w"))
-        anchor = np.array([len(x) for x in left], np.int64)
-        rows, starts, edge_rows, edge_starts, edges = [], [], [], [], []
-        for o, again, edge in repeated_windows(right, left, w, length, gram):
+        anchor = np.array([len(x) for x in back], np.int64)
+        offset = np.arange(length - gram + 1)[:, None]
+        member = (offset <= anchor) & (offset > anchor - w)
+        listed = table.column("os")
+        if not listed.null_count:
+            some = np.zeros_like(member)
+            flat = listed.combine_chunks()
+            sizes = pa.compute.list_value_length(flat).to_numpy(zero_copy_only=False)
+            some[flat.flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes)] = True
+            member &= some
+        rows, starts, open_ = [], [], [[] for _ in right]
+        edge_rows, edge_starts, edges = [], [], []
+        for o, again, edge in repeated_windows(right, back, member, length, by_left):
             at = again[n[again] == 1]
             rows.append(row[at])
             starts.append(s[at] + anchor[at] - o)
-            for k in edge:
-                edges.append((left[k][len(left[k]) - o :] if o else b"") + right[k][: length - o])
-                edge_rows.append(row[k])
-                edge_starts.append(s[k] + anchor[k] - o)
+            for k in edge.tolist():
+                if by_left:
+                    edges.append(back[k][:o][::-1] + right[k][: length - o])
+                    edge_rows.append(row[k])
+                    edge_starts.append(s[k] + anchor[k] - o)
+                else:
+                    open_[k].append(o)
         none = np.zeros(0, np.int64)
         rows, starts = np.concatenate([none, *rows]), np.concatenate([none, *starts])
         order = np.lexsort((starts, rows))
         ra, sa, ea = _merge(rows[order], starts[order], starts[order] + length)
-        yield batch(ra, sa, ea, [None] * len(ra))
+        yield batch(row=ra, s=sa, e=ea)
         if edges:
             start = np.array(edge_starts, np.int64)
-            yield batch(np.array(edge_rows, np.int64), start, start + length, edges)
+            yield batch(row=np.array(edge_rows, np.int64), s=start, e=start + length, edge=edges)
+        k = [i for i, x in enumerate(open_) if x]
+        if k:
+            yield batch(
+                suffix=[right[i] for i in k],
+                back=[back[i] for i in k],
+                row=row[k],
+                s=s[k],
+                n=n[k],
+                w=w[k],
+                os=[open_[i] for i in k],
+            )
+
+    kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.int64(), pa.binary()]
 
-    def batch(row, s, e, edge):
-        columns = [pa.array(x, pa.int64()) for x in (row, s, e)] + [pa.array(edge, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, ["row", "s", "e", "edge"])
+    def batch(**columns):
+        m = len(columns["row"])
+        arrays = [pa.array(columns[c], k) if c in columns else pa.nulls(m, k) for c, k in zip(names, kinds)]
+        return pa.RecordBatch.from_arrays(arrays, names)
 
-    dealt = runs.repartitionByRange(parts, "suffix", "row", "s")
-    return dealt.mapInArrow(run, "row bigint, s bigint, e bigint, edge binary")
+    keys = ["back", "suffix"] if by_left else ["suffix", "back"]
+    dealt = runs.repartitionByRange(parts, *keys, "row", "s")
+    return dealt.mapInArrow(run, _CLASS_SCHEMA + ", e bigint, edge binary")
 
 
 def _packed(rows: DataFrame, *carry: str) -> DataFrame:
@@ -374,7 +418,7 @@ def _packed(rows: DataFrame, *carry: str) -> DataFrame:
 
 
 def _contents(rows: DataFrame, unsure: DataFrame, length: int) -> DataFrame:
-    """The bytes of the runs in ``unsure``, split at the anchor."""
+    """The bytes of the runs in ``unsure``: from the anchor on, and before it in reverse."""
     wanted = unsure.groupBy("row").agg(F.collect_list(F.struct("s", "wa", "n")).alias("runs"))
     joined = _packed(rows).join(wanted, "row").select("row", "z", "runs")
 
@@ -386,14 +430,13 @@ def _contents(rows: DataFrame, unsure: DataFrame, length: int) -> DataFrame:
                 text, row = unpacker.decompress(z.as_py()), row.as_py()
                 for r in runs.as_py():
                     s, w, a = r["s"], r["wa"] >> 8, r["wa"] & 255
-                    out.append((text[s + a : s + w + length - 1], text[s : s + a], row, s, r["n"], w))
-            columns = list(zip(*out)) if out else [()] * 6
-            kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], ["suffix", "before", "row", "s", "n", "w"]
-            )
+                    out.append((text[s + a : s + w + length - 1], text[s : s + a][::-1], row, s, r["n"], w, None))
+            columns = list(zip(*out)) if out else [()] * 7
+            kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()))
+            names = [c.split()[0] for c in _CLASS_SCHEMA.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return joined.mapInArrow(run, "suffix binary, before binary, row bigint, s bigint, n int, w int")
+    return joined.mapInArrow(run, _CLASS_SCHEMA)
 
 
 def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -405,15 +448,22 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     alive = classes.where("n > 0")
     several = alive.groupBy("g").agg(F.count("*").alias("m"), F.min("n").alias("k")).where("m > 1 AND k = 1")
     unsure = stored(alive.join(several.select("g"), "g", "left_semi").select("row", "s", "wa", "n"), "unsure-runs")
-    session_parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(session_parts, -(-unsure.count() // CLASSES_PER_TASK))
-    found = stored(_bucket_results(_contents(rows, unsure, length), length, gram, parts), "windows")
-    edges = found.where("edge IS NOT NULL")
+
+    def parts(count: int) -> int:
+        own = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return max(own, -(-count // CLASSES_PER_TASK))
+
+    content = _contents(rows, unsure, length)
+    right = stored(_bucket_results(content, length, gram, parts(unsure.count()), by_left=False), "windows")
+    open_ = right.where("n IS NOT NULL").drop("e", "edge")
+    left = stored(_bucket_results(open_, length, gram, parts(open_.count()), by_left=True), "windows")
+    edges = left.where("edge IS NOT NULL")
     common = edges.groupBy("edge").count().where("count > 1").select("edge")
     spans = (
         classes.where("n = 0")
         .select("row", "s", (F.col("s") + F.col("c")).alias("e"))
-        .unionByName(found.where("edge IS NULL").select("row", "s", "e"))
+        .unionByName(right.where("n IS NULL").select("row", "s", "e"))
+        .unionByName(left.where("edge IS NULL").select("row", "s", "e"))
         .unionByName(edges.join(common, "edge", "left_semi").select("row", "s", "e"))
     )
     return spans.groupBy("row").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
