@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +22,9 @@ ROUNDS = 8
 PAIRS_PER_ROUND = 512
 LEAST_COUNT = 4  # a rule costs three numbers, so rarer pairs stay
 BUCKETS = 1 << 18
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 600_000
+JOINED_CHUNKS = 2_000
+TEXTS_AT_ONCE = 64
 MAGIC = b"RPG1"
 _SPACES = re.compile(r" \s")
 FILES_SCHEMA = "shard_key bigint, n_documents int, n_tokens bigint, payload binary"
@@ -31,8 +34,10 @@ class Encoder:
     """Ids of whole texts, by the tokenizers library.
 
     The vocabulary never joins a character and a blank after it, so a text is cut before each blank
-    and every distinct chunk is encoded once and remembered. Texts in which white space follows a
-    blank, where the cut could fall inside a run, are encoded in one piece.
+    and every distinct chunk is encoded once and remembered; chunks that are new are encoded many at
+    a time, joined to one text, and told apart by the offsets of their tokens. Texts in which white
+    space follows a blank, or that end in one, where a cut could fall inside a run of white space,
+    are encoded in one piece.
     """
 
     def __init__(self, path: str):
@@ -40,32 +45,49 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._ids: dict[str, np.ndarray] = {}
+        self._ids: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+
+    def _remember(self, chunks: list[str]) -> None:
+        for i in range(0, len(chunks), JOINED_CHUNKS):
+            part = chunks[i : i + JOINED_CHUNKS]
+            found = self._tokenizer.encode("".join(part), add_special_tokens=False)
+            ids = np.array(found.ids, np.uint32).tobytes()
+            starts = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
+            ends = np.searchsorted(starts, np.cumsum([len(c) for c in part]))
+            at = 0
+            for chunk, end in zip(part, (4 * ends).tolist()):
+                self._ids[chunk] = ids[at:end]
+                at = end
 
     def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint32)
-        if _SPACES.search(text):
-            ids = self._tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array(ids, np.uint32)
-        first, *rest = text.split(" ")
-        chunks = ([first] if first else []) + [" " + c for c in rest]
-        known = self._ids
-        new = list({c for c in chunks if c not in known})
-        if new:
-            if len(known) > CACHED_CHUNKS:
-                known.clear()
-                new = list(set(chunks))
-            found = self._tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            known.update((c, np.array(e.ids, np.uint32)) for c, e in zip(new, found))
-        return np.concatenate([known[c] for c in chunks])
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        cut = [None if t.endswith(" ") or _SPACES.search(t) else t.split(" ") for t in texts]
+        # The first chunk has no blank before it, so it cannot be joined to others.
+        rest = [[" " + c for c in parts[1:]] if parts else [] for parts in cut]
+        new = {c for chunks in rest for c in chunks}
+        if len(self._ids) + len(new) > CACHED_CHUNKS:
+            self._ids.clear()
+        self._remember([c for c in new if c not in self._ids])
+        known = self._ids.__getitem__
+        out = []
+        for text, parts, chunks in zip(texts, cut, rest):
+            if parts is None:
+                ids = self._whole(text)
+            else:
+                ids = (self._whole(parts[0]) if parts[0] else b"") + b"".join(map(known, chunks))
+            out.append(np.frombuffer(ids, np.uint32))
+        return out
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, first_symbol: int, rounds: int = ROUNDS):
     """Re-Pair in rounds: (sequence, last-of-document flags, rules left, rules right).
 
-    A round counts all pairs, gives the most frequent ones (half of the top count or more, up to
-    ``PAIRS_PER_ROUND``) a nonterminal each and replaces them from left to right; of two pairs that
+    A round counts all pairs, gives the ``PAIRS_PER_ROUND`` most frequent ones a nonterminal each and replaces them from left to right; of two pairs that
     overlap the left one is replaced. No pair reaches over the end of a document, so each document
     is a run of symbols of its own. Rounds end when no pair is frequent.
     """
@@ -79,16 +101,14 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_symbol: int, rounds: int =
         a, b, open_ = seq[:-1], seq[1:], ~last[:-1]
         slot = (a * 40503 + b * 60493) & (BUCKETS - 1)
         counts = np.bincount(slot[open_], minlength=BUCKETS)
-        floor = max(LEAST_COUNT, int(np.partition(counts, -PAIRS_PER_ROUND)[-PAIRS_PER_ROUND]))
+        floor = _top(counts[counts >= LEAST_COUNT])
         maybe = np.flatnonzero(open_ & (counts[slot] >= floor))
         if not len(maybe):
             break
         pairs, which, exact = np.unique(
             a[maybe] << 32 | b[maybe], return_inverse=True, return_counts=True
         )
-        chosen = exact >= LEAST_COUNT
-        if chosen.sum() > PAIRS_PER_ROUND:
-            chosen &= exact >= np.partition(exact, -PAIRS_PER_ROUND)[-PAIRS_PER_ROUND]
+        chosen = exact >= _top(exact[exact >= LEAST_COUNT])
         if not chosen.any():
             break
         number = np.cumsum(chosen) - 1 + symbols
@@ -111,6 +131,13 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_symbol: int, rounds: int =
     return seq, last, np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
+def _top(counts: np.ndarray) -> int:
+    """The least count that is among the ``PAIRS_PER_ROUND`` largest."""
+    if len(counts) <= PAIRS_PER_ROUND:
+        return LEAST_COUNT
+    return int(np.partition(counts, -PAIRS_PER_ROUND)[-PAIRS_PER_ROUND])
+
+
 def expansion_lengths(left: np.ndarray, right: np.ndarray, first_symbol: int) -> np.ndarray:
     """Ids that each rule stands for; a rule refers to earlier ones only."""
     lengths = np.zeros(len(left), np.int64)
@@ -131,7 +158,7 @@ def pack_shard(documents: list[tuple[int | None, np.ndarray]], first_symbol: int
     magic, first nonterminal, counts of documents, rules and symbols (unsigned 32 bits each); the
     ids of the documents (64 bits, and a byte each that is 1 where the id is null); for each
     document the number of symbols and of tokens (32 bits); for each rule its left symbol, right
-    symbol and expansion length (32 bits); the symbols (32 bits); the last two parts deflated.
+    symbol and expansion length (32 bits); the symbols (32 bits); the last two parts as one zstandard frame.
     """
     ids = np.concatenate([d for _, d in documents])
     ends = np.zeros(len(ids), bool)
@@ -143,7 +170,7 @@ def pack_shard(documents: list[tuple[int | None, np.ndarray]], first_symbol: int
     keys = np.array([0 if k is None else k for k, _ in documents], "<i8")
     null = np.array([k is None for k, _ in documents], np.uint8)
     rules = np.stack([left, right, lengths]).astype("<u4")
-    body = zlib.compress(rules.tobytes() + seq.astype("<u4").tobytes(), 1)
+    body = zstandard.compress(rules.tobytes() + seq.astype("<u4").tobytes(), 1)
     head = struct.pack("<4s4I", MAGIC, first_symbol, len(documents), len(left), len(seq))
     return b"".join(
         [head, keys.tobytes(), null.tobytes(), symbols.astype("<u4").tobytes(), tokens.astype("<u4").tobytes(), body]
@@ -164,7 +191,7 @@ class Shard:
         counts = np.frombuffer(payload, "<u4", 2 * docs, at + 9 * docs).astype(np.int64)
         self.tokens = counts[docs:]
         self._starts = np.concatenate([[0], np.cumsum(counts[:docs])])
-        body = zlib.decompress(payload[at + 17 * docs :])
+        body = zstandard.decompress(payload[at + 17 * docs :])
         self._rules = np.frombuffer(body, "<u4", 3 * rules).reshape(3, rules).astype(np.int64)
         self._symbols = np.frombuffer(body, "<u4", symbols, 12 * rules).astype(np.int64)
 
@@ -214,7 +241,7 @@ def write_token_files(
 
     def run(batches):
         encoder = Encoder(tokenizer_path)
-        held, size, made = [], 0, 0
+        held, size, made, part = [], 0, 0, 0
 
         def shard():
             return pa.RecordBatch.from_arrays(
@@ -228,14 +255,16 @@ def write_token_files(
             )
 
         for batch in batches:
-            for part, k, text in zip(*(batch.column(i) for i in range(3))):
-                part = part.as_py()
-                ids = np.append(encoder.encode(text.as_py() or ""), np.uint32(end_id))
-                held.append((k.as_py(), ids))
-                size += len(ids)
-                if size >= shard_tokens:
-                    yield shard()
-                    held, size, made = [], 0, made + 1
+            for i in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                few = batch.slice(i, TEXTS_AT_ONCE)
+                part = few.column(0)[0].as_py()
+                texts = [t or "" for t in few.column(2).to_pylist()]
+                for k, ids in zip(few.column(1).to_pylist(), encoder.encode_all(texts)):
+                    held.append((k, np.append(ids, np.uint32(end_id))))
+                    size += len(ids) + 1
+                    if size >= shard_tokens:
+                        yield shard()
+                        held, size, made = [], 0, made + 1
         if held:
             yield shard()
 
