@@ -67,7 +67,7 @@ def measure(docs: DataFrame, *keep: str) -> DataFrame:
       a place covers its word and the next two, counted from the gaps between sorted places.
     """
     text, words, lines = F.col("qr_text"), F.col("qr_words"), F.col("qr_lines")
-    step = columns_of(docs, "text", *keep).withColumn("qr_text", F.coalesce("text", F.lit("")))
+    step = columns_of(docs, *dict.fromkeys(["text", *keep])).withColumn("qr_text", F.coalesce("text", F.lit("")))
     step = step.withColumns(
         {
             "qr_words": F.array_remove(F.split(text, WHITE_RUN), ""),
@@ -138,8 +138,13 @@ def judge(
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass every rule."""
-    return judge(docs, *DOCUMENT_COLUMNS, "text").where("kept").select(*DOCUMENT_COLUMNS)
+    """Documents that pass every rule.
+
+    The filter names a column that is not deterministic. Without it Spark would push the filter
+    below the projection and with it a copy of the whole rule table, measures included.
+    """
+    marked = judge(docs, *DOCUMENT_COLUMNS).withColumn("qr_mark", F.monotonically_increasing_id())
+    return marked.where("kept AND qr_mark >= 0").select(*DOCUMENT_COLUMNS)
 
 
 def _sql() -> str:
