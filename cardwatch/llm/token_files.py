@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -18,15 +19,16 @@ from cardwatch.llm.registry import query
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_TOKENS = 1 << 18  # a shard is closed by the first document that reaches this
-ROUNDS = 8
+ROUNDS = 6
 PAIRS_PER_ROUND = 512
 LEAST_COUNT = 4  # a rule costs three numbers, so rarer pairs stay
 BUCKETS = 1 << 18
-CACHED_CHUNKS = 600_000
+CACHED_CHUNKS = 900_000
 JOINED_CHUNKS = 2_000
 TEXTS_AT_ONCE = 64
 MAGIC = b"RPG1"
 _SPACES = re.compile(r" \s")
+_ENCODERS: dict[str, "Encoder"] = {}
 FILES_SCHEMA = "shard_key bigint, n_documents int, n_tokens bigint, payload binary"
 
 
@@ -46,6 +48,14 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self._ids: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+
+    @classmethod
+    def shared(cls, path: str) -> Encoder:
+        """One encoder per worker process, so that later tasks know the chunks of earlier ones."""
+        if path not in _ENCODERS:
+            _ENCODERS[path] = cls(path)
+        return _ENCODERS[path]
 
     def _whole(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
@@ -53,10 +63,10 @@ class Encoder:
     def _remember(self, chunks: list[str]) -> None:
         for i in range(0, len(chunks), JOINED_CHUNKS):
             part = chunks[i : i + JOINED_CHUNKS]
-            found = self._tokenizer.encode("".join(part), add_special_tokens=False)
+            found = self._tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
             ids = np.array(found.ids, np.uint32).tobytes()
             starts = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
-            ends = np.searchsorted(starts, np.cumsum([len(c) for c in part]))
+            ends = np.searchsorted(starts, np.cumsum([len(c) + 1 for c in part]))
             at = 0
             for chunk, end in zip(part, (4 * ends).tolist()):
                 self._ids[chunk] = ids[at:end]
@@ -66,20 +76,27 @@ class Encoder:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        # Chunks are kept without the blank that all but the first of a text begin with.
         cut = [None if t.endswith(" ") or _SPACES.search(t) else t.split(" ") for t in texts]
-        # The first chunk has no blank before it, so it cannot be joined to others.
-        rest = [[" " + c for c in parts[1:]] if parts else [] for parts in cut]
-        new = {c for chunks in rest for c in chunks}
-        if len(self._ids) + len(new) > CACHED_CHUNKS:
-            self._ids.clear()
+        firsts = [parts.pop(0) if parts else "" for parts in cut]
+        rest = [parts or [] for parts in cut]
+        new: set[str] = set()
+        for chunks in rest:
+            new.update(filterfalse(self._ids.__contains__, chunks))
+        if len(self._ids) + len(new) > CACHED_CHUNKS // 2:
+            # What has not been used for half of the cache is forgotten.
+            self._ids, self._older = {}, self._ids
+            new.update(*rest)
+        for chunk in new & self._older.keys():
+            self._ids[chunk] = self._older[chunk]
         self._remember([c for c in new if c not in self._ids])
         known = self._ids.__getitem__
         out = []
-        for text, parts, chunks in zip(texts, cut, rest):
+        for text, parts, first, chunks in zip(texts, cut, firsts, rest):
             if parts is None:
                 ids = self._whole(text)
             else:
-                ids = (self._whole(parts[0]) if parts[0] else b"") + b"".join(map(known, chunks))
+                ids = (self._whole(first) if first else b"") + b"".join(map(known, chunks))
             out.append(np.frombuffer(ids, np.uint32))
         return out
 
@@ -240,7 +257,7 @@ def write_token_files(
     rows = rows.select(F.spark_partition_id().alias("part"), key, "text")
 
     def run(batches):
-        encoder = Encoder(tokenizer_path)
+        encoder = Encoder.shared(tokenizer_path)
         held, size, made, part = [], 0, 0, 0
 
         def shard():
