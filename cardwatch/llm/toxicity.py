@@ -18,10 +18,10 @@ FIT_ROWS_PER_CLASS = 1500  # labelled rows used for fitting, of each label
 FIT_LONGEST = 200_000  # characters of a text used for fitting; longer ones are left out of the fit
 PARTS = 1 << 18
 GRAMS = (4, 5)
-STEPS = 80
+STEPS = 150
 RATE = 0.1
 RIDGE = 1e-5
-SWAP_WEIGHT = 2.0
+SWAP_WEIGHT = 5.0
 SWAPS_PER_TEXT = 4
 CACHED_WORDS = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -58,7 +58,11 @@ def parts_of(word: str) -> list[int]:
 
 @dataclass
 class Toxicity:
-    """Score 1 - exp(-sum of word rates): one bad word is enough, a long clean text stays clean."""
+    """Score 1 - exp(-sum of word rates): one bad word is enough, a long clean text stays clean.
+
+    The rate of a word whose parts say nothing is what every word has; it is taken off, so words
+    that the fit has not seen add nothing, however many there are.
+    """
 
     weights: np.ndarray
     bias: float
@@ -69,7 +73,9 @@ class Toxicity:
         if rate is None:
             parts = parts_of(word)
             z = self.bias + float(self.weights[parts].sum()) / len(parts) ** 0.5
-            rate = self._rates[word] = float(np.exp(min(max(z, -20.0), 5.0)))
+            base = min(max(self.bias, -20.0), 5.0)
+            rate = float(np.exp(min(max(z, base), 5.0)) - np.exp(base))
+            self._rates[word] = rate
         return rate
 
     def score(self, text: str | None) -> float:
@@ -114,9 +120,10 @@ def fit(texts: list[str], toxic: list[int], seed: int = 7) -> Toxicity:
         slope = np.where(y > 0, -1 / np.expm1(total), 1.0) * balance
         before = total[swap_text]
         after = np.clip(before - rate[out_term] + rate[in_term], 1e-6, 30)
-        change = np.exp(-before) - np.exp(-after)  # score after less score before
+        # The score after less the score before. Only the rates of the two terms answer for it: a
+        # text could also hide a change by scoring high without the term.
+        change = np.exp(-before) - np.exp(-after)
         pull = 2 * SWAP_WEIGHT * change / max(1, len(change))
-        slope += np.bincount(swap_text, weights=pull * (np.exp(-after) - np.exp(-before)), minlength=n)
         by_word = np.bincount(word_at, weights=slope[text_at], minlength=v + 1)
         by_word += np.bincount(in_term, weights=pull * np.exp(-after), minlength=v + 1)
         by_word -= np.bincount(out_term, weights=pull * np.exp(-after), minlength=v + 1)
