@@ -11,9 +11,7 @@ from cardwatch.functions.calendar import days_to_seconds, night_flag, weekend_fl
 from cardwatch.functions.numeric import money_units
 from cardwatch.operators.rolling import (
     BLOCK_DAYS,
-    ROWS_PER_TASK,
     add_frame_sums,
-    choose_plans,
     quoted,
 )
 from cardwatch.schema import (
@@ -113,8 +111,7 @@ def feature_table(
     amount_scale: int = 2,
     context: DataFrame | None = None,
     customer_context: DataFrame | None = None,
-    plan: str = "auto",
-    rows_per_task: int = ROWS_PER_TASK,
+    plan: str = "split",
     block_days: int = BLOCK_DAYS,
 ) -> DataFrame:
     """Transactions with flags, customer and terminal columns, in the order the model reads.
@@ -123,24 +120,16 @@ def feature_table(
     ``customer_context`` a shorter part of it that is enough for the customer windows.
     """
     base = df.select(*TRANSACTION_COLUMNS)
-    keys = ["customer_id", "terminal_id"]
-    plans = dict.fromkeys(keys, plan)
-    if plan == "auto":
-        counted = base.select(*keys)
-        if context is not None:
-            counted = counted.unionAll(context.select(*keys))
-        plans = choose_plans(counted, keys, rows_per_task)
-    shared = {"source": base, "block_days": block_days}
+    shared = {"source": base, "block_days": block_days, "plan": plan}
     spent = add_customer_spending(
         add_calendar_flags(base),
         windows,
         amount_scale=amount_scale,
         context=context if customer_context is None else customer_context,
-        plan=plans["customer_id"],
         **shared,
     )
     out = add_terminal_risk(
-        spent, windows, delay, context=context, plan=plans["terminal_id"], **shared
+        spent, windows, delay, context=context, **shared
     )
     return out.select(
         *TRANSACTION_COLUMNS,

@@ -25,10 +25,11 @@ from cardwatch.session import stored
 def covered_days(listed: DataFrame, entity: str, length: int) -> DataFrame:
     """One row per listed entity and day in ``[day, day + length)``; ``list_day`` is the first.
 
-    Turning the range into equal keys makes the interval join a plain equi-join on entity and day.
+    Turning the range into equal keys makes the interval join a plain equi-join on entity and day. A
+    list is a set: an entity listed twice on a day counts once.
     """
     day = F.col("tx_time_days")
-    return listed.select(
+    return listed.select(entity, day).distinct().select(
         F.col(entity).alias("_entity"),
         day.alias("list_day"),
         F.explode(F.sequence(day, day + length - 1)).alias("_day"),

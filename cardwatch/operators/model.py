@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
@@ -36,10 +36,22 @@ SEARCH_RANGES: dict[str, Callable[[random.Random], Any]] = {
 def forest_pipeline(
     inputs: Sequence[str] | None = None, label: str = LABEL, *, seed: int = 42, **params
 ) -> Pipeline:
-    """Assemble the inputs, then a random forest. ``params`` go to the forest."""
-    assembler = VectorAssembler(inputCols=list(inputs or model_inputs()), outputCol="features")
+    """Fill and assemble the inputs, then a random forest. ``params`` go to the forest.
+
+    A missing or NaN input counts as 0. The fill is part of the pipeline, so a saved model has it
+    too; the columns of the table itself stay as they are.
+    """
+    columns = list(inputs or model_inputs())
+    filled = [f"_filled_{c}" for c in columns]
+    values = ", ".join(
+        f"coalesce(nanvl(CAST(`{c}` AS double), 0D), 0D) AS `{f}`" for c, f in zip(columns, filled)
+    )
+    names = ", ".join(f"`{f}`" for f in filled)
+    fill = SQLTransformer(statement=f"SELECT *, {values} FROM __THIS__")
+    assembler = VectorAssembler(inputCols=filled, outputCol="features")
+    drop = SQLTransformer(statement=f"SELECT * EXCEPT ({names}) FROM __THIS__")
     forest = RandomForestClassifier(labelCol=label, featuresCol="features", seed=seed, **params)
-    return Pipeline(stages=[assembler, forest])
+    return Pipeline(stages=[fill, assembler, drop, forest])
 
 
 def assemble(df: DataFrame, inputs: Sequence[str] | None = None) -> DataFrame:

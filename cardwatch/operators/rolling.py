@@ -14,8 +14,8 @@ Two plans give the same rows:
             rows the key has. The sums return to the rows by a join on (key, second), which
             adaptive execution can split further where one second alone is hot.
 
-``auto`` picks by the rows of the most frequent key, estimated from a sample of the key columns. The
-sample only chooses the plan; both plans read every row.
+``split`` is used at every size unless the caller asks for ``direct``; nothing is sampled, and no
+job runs while a plan is built.
 """
 
 from __future__ import annotations
@@ -31,31 +31,10 @@ from cardwatch.schema import SECONDS_PER_DAY
 # Seconds before the row, (start, end), both included: (86400, 0) is the last day up to the row.
 Frame = tuple[int, int]
 
-ROWS_PER_TASK = 5_000_000
 BLOCK_DAYS = 30
-# Rows a key at the limit is expected to have in the sample.
-_SAMPLED_ROWS = 1_000
 _SECOND = "_second"
 
 
-def choose_plans(
-    df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
-) -> dict[str, str]:
-    """``direct`` or ``split`` for each key column, by one pass over a sample of these columns.
-
-    A key is hot from half the limit on, so that a key at the limit cannot slip through.
-    """
-    fraction = min(1.0, _SAMPLED_ROWS / rows_per_task)
-    hot = rows_per_task if fraction == 1 else _SAMPLED_ROWS / 2
-    rows = df.select(*keys) if fraction == 1 else df.select(*keys).sample(fraction, seed=1)
-    named = [
-        F.struct(F.lit(k).alias("key"), F.col(k).cast("string").alias("value")) for k in keys
-    ]
-    groups = rows.select(F.inline(F.array(*named))).groupBy("key", "value").count()
-    largest = dict(groups.groupBy("key").agg(F.max("count")).collect())
-    return {k: "split" if largest.get(k, 0) > hot else "direct" for k in keys}
-
-
 def add_frame_sums(
     df: DataFrame,
     key: str,
@@ -63,8 +42,7 @@ def add_frame_sums(
     frames: Mapping[str, Frame],
     *,
     ts: str = "tx_datetime",
-    plan: str = "auto",
-    rows_per_task: int = ROWS_PER_TASK,
+    plan: str = "split",
     block_days: int = BLOCK_DAYS,
     source: DataFrame | None = None,
     context: DataFrame | None = None,
@@ -79,16 +57,11 @@ def add_frame_sums(
     Rows without an event time are in no frame and get 0; the interval filters drop them.
     """
     source = df if source is None else source
-    if plan == "auto":
-        counted = source.select(key)
-        if context is not None:
-            counted = counted.unionAll(context.select(key))
-        plan = choose_plans(counted, [key], rows_per_task)[key]
     if plan == "direct":
         return _direct(df, context, key, measures, frames, ts)
     if plan == "split":
         return _split(df, source, context, key, measures, frames, ts, block_days)
-    raise ValueError(f"unknown plan {plan!r}: use auto, direct or split")
+    raise ValueError(f"unknown plan {plan!r}: use split or direct")
 
 
 def _bounds(frames: Mapping[str, Frame]) -> list[int]:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.functions.numeric import percent
+from cardwatch.functions.numeric import draw_below, hash_draw, percent
 from cardwatch.operators.sampling import in_stratified_sample
 from cardwatch.schema import LABEL
 
@@ -18,14 +18,19 @@ def with_split(
     df: DataFrame,
     fraction: float | Mapping = TRAIN_SHARE,
     *,
-    labels: Iterable = (0, 1),
     label: str = LABEL,
     id_column: str = "transaction_id",
     seed: int = 42,
 ) -> DataFrame:
-    """Add ``is_train``; one column and no shuffle. ``fraction`` may differ by label."""
-    fractions = fraction if isinstance(fraction, Mapping) else {v: fraction for v in labels}
-    keep = in_stratified_sample(fractions, label=label, id_column=id_column, seed=seed)
+    """Add ``is_train``; one column and no shuffle.
+
+    A number is the share of all rows, whatever their labels. A mapping gives a share for each
+    label it names and none for others.
+    """
+    if isinstance(fraction, Mapping):
+        keep = in_stratified_sample(fraction, label=label, id_column=id_column, seed=seed)
+    else:
+        keep = draw_below(hash_draw(seed, id_column), fraction)
     return df.withColumn("is_train", keep)
 
 

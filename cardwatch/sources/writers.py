@@ -42,10 +42,11 @@ def write_days(
 ) -> None:
     """One ``tx_date=YYYY-MM-DD`` folder per day present, in order of time within each file.
 
-    A day written before is replaced and other days stay. Rows are rebalanced by day: adaptive
+    Rows without a time go to a folder of their own, as a missing day. A day written before is
+    replaced and other days stay. Rows are rebalanced by day: adaptive
     execution merges small days and spreads a large one over several tasks and files.
     """
-    dated = df.withColumn(PARTITION_DAY, F.to_date(ts)).filter(F.col(PARTITION_DAY).isNotNull())
+    dated = df.withColumn(PARTITION_DAY, F.to_date(ts))
     (
         dated.hint("rebalance", F.col(PARTITION_DAY))
         .sortWithinPartitions(PARTITION_DAY, ts, *order)

@@ -83,3 +83,13 @@ def test_seedless_grid_draws_anew(spark):
     forest = ml.forest_pipeline().getStages()[-1]
     draws = [ml.random_grid({forest.maxBins: lambda r: r.random()}, 3) for _ in range(2)]
     assert draws[0] != draws[1]
+
+
+def test_missing_inputs_count_as_zero(spark, tmp_path):
+    rows = [(float(i), i % 2) for i in range(20)] + [(None, 0), (float("nan"), 1)]
+    df = spark.createDataFrame(rows, "a double, tx_fraud int")
+    model = ml.forest_pipeline(["a"], numTrees=2, maxDepth=2).fit(df)
+    ml.save_model(model, str(tmp_path / "m"))
+    scored = ml.score(ml.load_model(str(tmp_path / "m")), df)
+    assert scored.columns == ["a", "tx_fraud", "features", "rawPrediction", "probability", "prediction"]
+    assert [r["features"][0] for r in scored.collect()][-2:] == [0.0, 0.0]

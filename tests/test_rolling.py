@@ -7,7 +7,7 @@ from conftest import plan_of, rows_by_id
 from pyspark.sql import functions as F
 
 from cardwatch.operators import features as ft
-from cardwatch.operators.rolling import add_frame_sums, choose_plans
+from cardwatch.operators.rolling import add_frame_sums
 
 DAY = 86400
 FRAMES = {"a": (DAY, 0), "b": (3 * DAY, DAY + 1), "c": (10, 0), "d": (20 * DAY, 5)}
@@ -64,17 +64,14 @@ def test_context_rows_count_and_stay_out(make, plan):
     assert rows_by_id(got, *[f"f_{x}" for x in FRAMES]) == expected
 
 
-def test_hot_keys_choose_the_split_plan(make):
-    df = make([{"customer_id": 1 if i % 3 else i, "terminal_id": i} for i in range(300)])
-    keys = ["customer_id", "terminal_id"]
-    assert choose_plans(df, keys) == {"customer_id": "direct", "terminal_id": "direct"}
-    assert choose_plans(df, keys, 150) == {"customer_id": "split", "terminal_id": "direct"}
-
-
-def test_sampled_choice_sees_a_hot_key(spark):
-    df = spark.range(400_000).selectExpr("IF(id % 3 = 0, -1, id) AS hot", "id AS cold")
-    plans = choose_plans(df, ["hot", "cold"], rows_per_task=20_000)
-    assert plans == {"hot": "split", "cold": "direct"}
+def test_building_a_plan_runs_no_job(spark, make):
+    df = make([{"customer_id": 1, "s": i} for i in range(5)])
+    spark.sparkContext.setJobGroup("building", "feature table")
+    try:
+        ft.feature_table(df)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_unknown_plan(make):
