@@ -40,6 +40,7 @@ from cardwatch.llm.registry import query
 LENGTH = 200
 GRAM = 32
 SEGMENT = 1 << 20  # bytes worked on at a time
+LEAD = 48  # leading bytes that ranges are made of, which is what the sampled splitters hold
 CLASSES_PER_TASK = 40_000
 _BASE = 0x9E3779B97F4A7C15
 _RNG = np.random.default_rng(8)
@@ -311,7 +312,7 @@ def repeated_windows(
     r_order, l_order = multikey_order(r), multikey_order(l)
     r_common, l_common = _common(r, r_order), _common(l, l_order)
     ends = l_order[[0, -1]] if by_left else r_order[[0, -1]]
-    r_group, l_group = np.empty(m, np.int64), np.empty(m, np.int64)
+    r_group, l_group, side = np.empty(m, np.int64), np.empty(m, np.int64), np.empty(m, np.int64)
     for o in range(len(member)):
         at = np.flatnonzero(member[o])
         if not len(at):
@@ -320,7 +321,11 @@ def repeated_windows(
         l_group[l_order] = np.cumsum(l_common < o)
         key = r_group[at] * (m + 1) + l_group[at]
         _, first, which, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-        side = l_group if by_left else r_group
+        # Ranges are ordered by leading bytes alone, so only these can tell buckets apart.
+        if by_left:
+            side[l_order] = np.cumsum(l_common < min(o, LEAD))
+        else:
+            side[r_order] = np.cumsum(r_common < min(length - o, LEAD))
         yield o, at[count[which] > 1], at[first[np.isin(side[at[first]], side[ends])]]
 
 
@@ -331,9 +336,10 @@ def _bucket_results(runs: DataFrame, length: int, gram: int, parts: int, by_left
     """``row``, ``s``, ``e`` of windows that repeat in their bucket (``n`` is null), and the runs
     with windows that must be compared with those of other buckets, their offsets in ``os``.
 
-    Buckets are ranges of the suffix, then of the place of the run, so that many equal suffixes
-    may fall into several buckets. A window equal to one in another bucket agrees, in its right part,
-    with the first or the last suffix of its own, since all suffixes between the two begin alike.
+    Buckets are ranges of the first ``LEAD`` bytes of the suffix, then of the place of the run, so
+    that many equal suffixes may fall into several buckets. A window equal to one in another bucket
+    agrees, in those bytes of its right part, with the first or the last suffix of its own, since all
+    suffixes between the two begin alike.
     ``by_left`` deals by the left context instead, and the same holds for the left part: passages
     with one right context and many left ones are told apart there. ``os`` null stands for all.
     """
@@ -396,8 +402,8 @@ def _bucket_results(runs: DataFrame, length: int, gram: int, parts: int, by_left
         arrays = [pa.array(columns[c], k) if c in columns else pa.nulls(m, k) for c, k in zip(names, kinds)]
         return pa.RecordBatch.from_arrays(arrays, names)
 
-    keys = ["back", "suffix"] if by_left else ["suffix", "back"]
-    dealt = runs.repartitionByRange(parts, *keys, "row", "s")
+    lead = F.substring("back" if by_left else "suffix", 1, LEAD)
+    dealt = runs.repartitionByRange(parts, lead, "row", "s")
     return dealt.mapInArrow(run, _CLASS_SCHEMA + ", e bigint, edge binary")
 
 
