@@ -200,23 +200,12 @@ def viterbi_long(word: str, pieces: Pieces, scores: dict[str, tuple[int, float]]
 
 
 def encode_words(words: DataFrame, pieces: Pieces, unigram: bool) -> DataFrame:
-    """``word`` and ``ids`` of distinct words, dealt by word."""
+    """``word`` and ``ids`` of distinct words of at most ``BITS`` characters, dealt by word."""
     spark = words.sparkSession
     table = spark.createDataFrame(pieces.rows, "piece string, id int, score double")
     short = lattice(words.where(F.length("word") <= BITS), table, pieces)
     short = short.withColumn("bits", viterbi_fold() if unigram else merge_fold())
-    scores = {p: (i, s) for p, i, s in pieces.rows}
-
-    def run(batches):
-        for batch in batches:
-            found = batch.column(0).to_pylist()
-            ids = [
-                viterbi_long(w, pieces, scores) if unigram else merge_long(w, scores, pieces.byte_ids) for w in found
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
-
-    long_ = words.where(F.length("word") > BITS).mapInArrow(run, "word string, ids array<int>")
-    return short.select("word", _taken().alias("ids")).unionByName(long_)
+    return short.select("word", _taken().alias("ids"))
 
 
 def encode(docs: DataFrame, model_path: str, *keep: str, unigram: bool = False) -> DataFrame:
@@ -231,6 +220,7 @@ def encode(docs: DataFrame, model_path: str, *keep: str, unigram: bool = False)
     merge ranks: their sum means nothing, and the fold replays the merges.
     """
     pieces = Pieces(model_path)
+    scores = {p: (i, s) for p, i, s in pieces.rows}
     rows = columns_of(docs, *dict.fromkeys([*keep, "text"])).withColumn("part", F.spark_partition_id())
     fields = [f for f in rows.schema.fields if f.name in keep]
 
@@ -240,7 +230,7 @@ def encode(docs: DataFrame, model_path: str, *keep: str, unigram: bool = False)
         for block, batch, closes in _in_blocks(batches):
             part = batch.column("part")[0].as_py()
             for text in batch.column("text").to_pylist():
-                held.update(words_of(text))
+                held.update(w for w in words_of(text) if len(w) <= BITS)
             if closes:
                 yield emit(part, block, held)
                 held = set()
@@ -260,14 +250,24 @@ def encode(docs: DataFrame, model_path: str, *keep: str, unigram: bool = False)
             )
 
     by_word = rows.select("text", "part").mapInArrow(distinct, "block bigint, word string").repartition("word")
-    known = encode_words(by_word.groupBy("word").agg(F.lit(1)).select("word"), pieces, unigram)
+    # The least block is read so that both sides of the join have the same columns and one shuffle.
+    words = by_word.groupBy("word").agg(F.min("block").alias("b")).where("b IS NOT NULL").select("word")
+    known = encode_words(words, pieces, unigram)
     named = by_word.join(known, "word").select("block", "word", "ids")
     kept = "".join(f", k{i} {f.dataType.simpleString()}" for i, f in enumerate(fields))
     texts = rows.mapInArrow(dealt, "block bigint, text string" + kept)
 
     def put_together(left: pa.Table, right: pa.Table) -> pa.Table:
         ids = dict(zip(right.column("word").to_pylist(), right.column("ids").to_pylist()))
-        found = [[i for w in words_of(t) for i in ids[w]] for t in left.column("text").to_pylist()]
+
+        def look_up(word):
+            if word not in ids:  # a long one
+                ids[word] = (
+                    viterbi_long(word, pieces, scores) if unigram else merge_long(word, scores, pieces.byte_ids)
+                )
+            return ids[word]
+
+        found = [[i for w in words_of(t) for i in look_up(w)] for t in left.column("text").to_pylist()]
         columns = [left.column(f"k{i}") for i in range(len(fields))]
         return pa.Table.from_arrays(
             [*columns, pa.array(found, pa.list_(pa.int32()))], [*(f"k{i}" for i in range(len(fields))), "ids"]
