@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,14 +34,6 @@ def id_hash_mod(column: str, n: int):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n
 
 
-def union_all(frames: Iterable[DataFrame]) -> DataFrame:
-    frames = iter(frames)
-    out = next(frames)
-    for frame in frames:
-        out = out.unionByName(frame)
-    return out
-
-
 __all__ = [
     "DOCUMENT_COLUMNS",
     "ROW",
@@ -52,6 +42,5 @@ __all__ = [
     "read_table",
     "scratch_path",
     "stored",
-    "union_all",
     "with_row_key",
 ]
