@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cardwatch.operators import metrics as mt
 from cardwatch.operators import model as ml
 from cardwatch.operators.features import feature_table
+from cardwatch.operators.filters import PARTITION_DAY
 from cardwatch.operators.split import train_test
 from cardwatch.plans.jobs import training_job
 from cardwatch.plans.registry import query
@@ -17,14 +18,6 @@ from cardwatch.schema import model_inputs
 from cardwatch.session import scratch_path
 from cardwatch.sources.writers import overwrite, write_days
 
-# A short search, so that the check ends soon; the operators' defaults are the full one.
-DRAWS, FOLDS = 2, 3
-SHORT_RANGES = {
-    "maxDepth": lambda r: r.randrange(2, 5),
-    "numTrees": lambda r: r.randrange(3, 7),
-}
-
-
 _INPUTS_SQL = ", ".join(f"round({c}, 6)::DOUBLE::VARCHAR" for c in model_inputs())
 
 
@@ -60,7 +53,7 @@ def cross_validation_folds(spark, sf):
 @query("forest_predictions")
 def forest_predictions(spark, sf):
     train, test = train_test(_stored_features(spark, sf))
-    fitted = ml.forest_pipeline(numTrees=10).fit(train)
+    fitted = ml.forest_pipeline().fit(train)
     scored = ml.fraud_probability(ml.score(fitted, test))
     return scored.select("transaction_id", "tx_fraud", "prediction", "fraud_probability")
 
@@ -85,7 +78,7 @@ def forest_prediction_rules(spark, sf):
 @query("forest_quality")
 def forest_quality(spark, sf):
     train, test = train_test(_stored_features(spark, sf))
-    fitted = ml.forest_pipeline(numTrees=10).fit(train)
+    fitted = ml.forest_pipeline().fit(train)
     both = ml.score(fitted, train).select(F.lit("train").alias("part"), "tx_fraud", "prediction")
     both = both.unionByName(
         ml.score(fitted, test).select(F.lit("test").alias("part"), "tx_fraud", "prediction")
@@ -101,7 +94,7 @@ WHERE substr(md5('42:' || transaction_id), 1, 8) >= 'cccccccd'""",
 def reloaded_model_predictions(spark, sf):
     """The saved and reloaded model gives the predictions of the fitted one."""
     train, test = train_test(_stored_features(spark, sf))
-    fitted = ml.forest_pipeline(numTrees=10).fit(train)
+    fitted = ml.forest_pipeline().fit(train)
     path = scratch_path(spark, "model")
     ml.save_model(fitted, path)
     before = ml.score(fitted, test).select("transaction_id", F.col("prediction").alias("_before"))
@@ -112,11 +105,11 @@ def reloaded_model_predictions(spark, sf):
 
 @query("parameter_search")
 def parameter_search(spark, sf):
-    """Mean area under the curve of every draw."""
+    """Mean area under the curve of every draw of the full search."""
     train, _ = train_test(_stored_features(spark, sf))
     pipeline = ml.forest_pipeline()
-    grid = ml.forest_grid(pipeline, DRAWS, seed=0, **SHORT_RANGES)
-    fitted = ml.search(train, pipeline, grid, folds=FOLDS)
+    grid = ml.forest_grid(pipeline, seed=0)
+    fitted = ml.search(train, pipeline, grid)
     rows = [
         {p.name: v for p, v in draw.items()} | {"mean_auc": float(auc)}
         for draw, auc in zip(grid, fitted.avgMetrics)
@@ -126,8 +119,9 @@ def parameter_search(spark, sf):
 
 @query("training_job")
 def training_record(spark, sf):
+    """The full search over all days of the table."""
     features, model = scratch_path(spark, "features"), scratch_path(spark, "model")
     write_days(feature_table(transactions(spark, sf)), features)
-    return training_job(
-        spark, features, model, "2024-01-10", "2024-01-30", draws=DRAWS, folds=FOLDS, **SHORT_RANGES
-    )
+    day = F.col(PARTITION_DAY)
+    first, last = spark.read.parquet(features).agg(F.min(day), F.max(day)).first()
+    return training_job(spark, features, model, str(first), str(last))

@@ -1,9 +1,11 @@
 import pytest
+from conftest import SMALL
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from cardwatch.operators import model as ml
 from cardwatch.operators.features import feature_table
+from cardwatch.plans import model_queries
 from cardwatch.schema import model_inputs
 
 SHORT = {"maxDepth": lambda r: r.randrange(1, 4), "numTrees": lambda r: r.randrange(2, 5)}
@@ -93,3 +95,47 @@ def test_missing_inputs_count_as_zero(spark, tmp_path):
     scored = ml.score(ml.load_model(str(tmp_path / "m")), df)
     assert scored.columns == ["a", "tx_fraud", "features", "rawPrediction", "probability", "prediction"]
     assert [r["features"][0] for r in scored.collect()][-2:] == [0.0, 0.0]
+
+
+class Asked(Exception):
+    pass
+
+
+def asked_of(monkeypatch, owner, name):
+    """``name`` of ``owner`` keeps its arguments and ends the query there."""
+    seen = []
+
+    def stop(*args, **options):
+        seen.append((args, options))
+        raise Asked
+
+    monkeypatch.setattr(owner, name, stop)
+    return seen
+
+
+def test_registered_search_is_the_full_one(spark, monkeypatch):
+    seen = asked_of(monkeypatch, ml, "CrossValidator")
+    with pytest.raises(Asked):
+        model_queries.parameter_search(spark, SMALL)
+    options = seen[0][1]
+    grid = [{p.name: v for p, v in m.items()} for m in options["estimatorParamMaps"]]
+    full = ml.forest_grid(ml.forest_pipeline(), seed=0)
+    assert grid == [{p.name: v for p, v in m.items()} for m in full] and len(grid) == 16
+    assert options["numFolds"] == 10
+
+
+def test_registered_training_is_the_full_one(spark, monkeypatch):
+    seen = asked_of(monkeypatch, model_queries, "training_job")
+    with pytest.raises(Asked):
+        model_queries.training_record(spark, SMALL)
+    (_, _, _, first, last), options = seen[0]
+    days = spark.read.parquet(f"{SMALL}/events.parquet").agg(F.min("ts"), F.max("ts")).first()
+    assert [first, last] == [str(d.date()) for d in days] and options == {}
+
+
+@pytest.mark.parametrize("name", ["forest_predictions", "forest_quality", "reloaded_model_predictions"])
+def test_registered_forests_have_the_default_size(spark, monkeypatch, name):
+    seen = asked_of(monkeypatch, ml, "forest_pipeline")
+    with pytest.raises(Asked):
+        getattr(model_queries, name)(spark, SMALL)
+    assert seen == [((), {})]
