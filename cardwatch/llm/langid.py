@@ -15,8 +15,8 @@ from cardwatch.llm.common import columns_of, id_hash_mod, read_table
 from cardwatch.llm.registry import query
 
 DICTIONARY_BYTES = 96 * 1024  # of training text kept per language
-LONGEST_TRAINING_TEXT = 16_000  # longer texts are not used for training
-LANGUAGES = 400  # languages learned at most, the most frequent first
+TRAINING_BLOCK = 4096  # characters: training texts are cut, so that long ones can be drawn in part
+LANGUAGES_AT_ONCE = 400  # languages whose samples meet on the driver in one job
 LEVEL = 12
 BLOCK = 4096
 MIN_MARGIN = 0.01  # of the second smallest size; below it the choice is not accepted
@@ -29,37 +29,37 @@ def normal(text: str) -> bytes:
     return " ".join(re.findall(r"[^\W\d_]+", text.lower())).encode()
 
 
-def learn(
-    docs: DataFrame,
-    dictionary_bytes: int = DICTIONARY_BYTES,
-    longest: int = LONGEST_TRAINING_TEXT,
-) -> dict[str, bytes]:
-    """The dictionary of each language: whole training texts one after the other.
+def learn(docs: DataFrame, dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
+    """The dictionary of each language: blocks of training texts one after the other.
 
-    ``docs`` has ``text`` and ``lang``. The texts are a sample of about ``dictionary_bytes`` bytes
-    per language, taken by a hash of the text, so that it depends neither on order nor on copies.
-    Only this bounded sample meets on the driver.
+    ``docs`` has ``text`` and ``lang``. Every text is cut into blocks, however long it is, and every
+    language is learned. The blocks are a sample of about ``dictionary_bytes`` bytes per language,
+    taken by a hash of the block, so that it depends neither on order nor on copies. Only this
+    sample meets on the driver, for ``LANGUAGES_AT_ONCE`` languages at a time.
     """
     rows = columns_of(docs, "text", "lang").where(
-        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.length("text") <= longest)
+        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
-    rows = rows.withColumn("h", F.pmod(F.xxhash64("text"), F.lit(1 << 32)))
-    sizes = (
-        rows.groupBy("lang")
-        .agg(F.sum(F.octet_length("text")).alias("bytes"))
-        .orderBy(F.desc("bytes"), "lang")
-        .limit(LANGUAGES)
-        .collect()
-    )
-    if not sizes:
-        return {}
+    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).collect()
+    size = {r["lang"]: r["bytes"] for r in sizes}
+    cut = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{TRAINING_BLOCK}}}"), F.lit(0))
+    parts = F.when(F.length("text") <= TRAINING_BLOCK, F.array("text")).otherwise(cut)
+    blocks = rows.select("lang", F.explode(parts).alias("text")).where(F.col("text").rlike(r"\p{L}"))
+    blocks = blocks.withColumn("h", F.pmod(F.xxhash64("text"), F.lit(1 << 32)))
+    out, langs = {}, sorted(size)
+    for i in range(0, len(langs), LANGUAGES_AT_ONCE):
+        out |= _draw(blocks, {k: size[k] for k in langs[i : i + LANGUAGES_AT_ONCE]}, dictionary_bytes)
+    return out
+
+
+def _draw(blocks: DataFrame, wanted: dict[str, int], dictionary_bytes: int) -> dict[str, bytes]:
+    """The dictionaries of the ``wanted`` languages, given with their bytes of text."""
     # Copies fall on one hash: the limit is widened until enough distinct text lies below it.
-    wanted, limits, out = {r["lang"]: r["bytes"] for r in sizes}, {}, {}
-    for lang, size in wanted.items():
-        limits[lang] = min(1.0, 2 * dictionary_bytes / size)
+    limits = {lang: min(1.0, 2 * dictionary_bytes / size) for lang, size in wanted.items()}
+    out = {}
     while wanted:
         limit = F.create_map(*[F.lit(x) for k in wanted for x in (k, int(limits[k] * (1 << 32)))])
-        taken = rows.where(F.col("h") <= limit[F.col("lang")]).select("lang", "text", "h").distinct()
+        taken = blocks.where(F.col("h") <= limit[F.col("lang")]).distinct()
         texts: dict[str, list] = {k: [] for k in wanted}
         for r in taken.collect():
             texts[r["lang"]].append((r["h"], r["text"]))
@@ -122,7 +122,7 @@ def predict(docs: DataFrame, dictionaries: Mapping[str, bytes], *keep: str) -> D
     The language is the one whose dictionary makes the whole text smallest. ``accepted`` is false
     where the second smallest size is within ``MIN_MARGIN`` of it. A text that is null or has no
     letter gives ``und``, score 0, not accepted, and so does every text when nothing was learned.
-    The dictionaries are sent with the task: at most ``LANGUAGES`` times ``DICTIONARY_BYTES``.
+    The dictionaries are sent with the task: ``DICTIONARY_BYTES`` per language.
     """
     data = columns_of(docs, *dict.fromkeys([*keep, "text"]))
     fields = [f for f in data.schema.fields if f.name in keep]

@@ -346,6 +346,20 @@ def test_language_odd_rows(table, odd, empty):
     assert {r["lang_pred"] for r in langid.predict(odd, {}, "doc_id").collect()} == {"und"}
 
 
+def test_language_of_long_texts_and_of_any_number(table):
+    book = " ".join(f"el perro y la casa de los niños {w}" for w in ("verde", "blanca", "grande") * 400)
+    assert len(book) > 16_000
+    train = table([(1, "the cat and the dog of the house " * 5, "en"), (2, book, "es")])
+    learned = langid.learn(train)
+    assert set(learned) == {"en", "es"} and len(learned["es"]) > 10_000
+    (found,) = langid.predict(table([(3, "los niños de la casa verde y el perro")]), learned, "doc_id").collect()
+    assert found["lang_pred"] == "es"
+    few = langid.learn(train, dictionary_bytes=500)
+    assert len(few["es"]) == 500 and len(few["en"]) > 100
+    many = table([(i, f"word{'abcdefghij'[i % 10]} of {'xyz'[i // 200]}", f"l{i:03}") for i in range(450)])
+    assert len(langid.learn(many)) == 450
+
+
 def test_toxicity_learns_words_and_ignores_groups(table, odd, empty):
     rnd = random.Random(5)
     plain = [prose(rnd, 40) for _ in range(240)]
