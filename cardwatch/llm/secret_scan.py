@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 import string
@@ -28,14 +29,16 @@ LEAST_ASSIGN, LEAST_ACCESS = 12, 18
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~-]{16,}")
 KEYED = re.compile(r"[:=]\x20*[\"']?$")
-LEFT, HEAD, TAIL, RIGHT = 32, 40, 16, 12  # characters that the network sees
+LEFT, RUN, RIGHT = 32, 56, 12  # characters that the network sees at once; longer runs take more views
+STEP = RUN - 16  # from one view of a long run to the next
 WIDTH, FILTERS = 5, 24
 SYMBOLS = {c: i + 2 for i, c in enumerate(string.printable)}  # 0 is padding, 1 any other character
 CODES = len(SYMBOLS) + 2
-SEGMENTS = ((0, LEFT), (LEFT, LEFT + HEAD + TAIL), (LEFT + HEAD + TAIL, LEFT + HEAD + TAIL + RIGHT))
-FINDINGS = 6000  # labelled findings that are generated; a quarter calibrates
+SEGMENTS = ((0, LEFT), (LEFT, LEFT + RUN), (LEFT + RUN, LEFT + RUN + RIGHT))
+FINDINGS = 12_000  # labelled findings that are generated; a quarter calibrates
 EPOCHS = 12
 LEAST_RECALL = 0.98
+VIEWS_AT_ONCE = 4096
 REDACTED = "[REDACTED]"
 
 
@@ -57,14 +60,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def other_candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Runs of key characters with a digit and a letter that no base span touches."""
+    """Runs of key characters with a letter that no base span touches."""
     out = []
     ends = sorted((s, e) for s, _, e in taken)
     k = 0
     for m in CANDIDATE.finditer(text):
         s, e = m.span()
-        run = m.group()
-        if run.isalpha() or not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run):
+        if not any(c.isalpha() for c in m.group()):
             continue
         while k < len(ends) and ends[k][1] <= s:
             k += 1
@@ -76,10 +78,10 @@ def other_candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple
     return out
 
 
-def encode(text: str, start: int, end: int) -> list[int]:
-    """Codes of the left context, both ends of the candidate and the right context, padded."""
-    run = text[start:end]
-    middle = run if len(run) <= HEAD + TAIL else run[:HEAD] + run[-TAIL:]
+def encode(text: str, start: int, end: int, at: int | None = None) -> list[int]:
+    """Codes of the left context, the candidate from ``at`` on and the right context, padded."""
+    at = start if at is None else at
+    middle = text[at : min(end, at + RUN)]
     left = text[max(0, start - LEFT) : start]
     right = text[end : end + RIGHT]
     code = SYMBOLS.get
@@ -87,12 +89,20 @@ def encode(text: str, start: int, end: int) -> list[int]:
         [0] * (LEFT - len(left))
         + [code(c, 1) for c in left]
         + [code(c, 1) for c in middle]
-        + [0] * (HEAD + TAIL - len(middle))
+        + [0] * (RUN - len(middle))
         + [code(c, 1) for c in right]
         + [0] * (RIGHT - len(right))
     )
 
 
+def views(start: int, end: int) -> list[int]:
+    """Where the overlapping views of a candidate begin; together they cover all of it. A candidate
+    scores as its best view, which pools over its whole length."""
+    if end - start <= RUN:
+        return [start]
+    return [*range(start, end - RUN, STEP), end - RUN]
+
+
 @dataclass
 class Network:
     """Convolution over characters, the largest value per filter and segment, a logistic unit."""
@@ -123,7 +133,7 @@ class Network:
 def train(x: np.ndarray, y: np.ndarray, keyed: np.ndarray, seed: int = 3) -> Network:
     """Three quarters fit the network by stochastic gradients. The rest calibrates its logit
     (a logistic fit) and sets, for bare and for keyed candidates, the highest threshold that still
-    finds ``LEAST_RECALL`` of the true findings."""
+    finds ``LEAST_RECALL`` of the true findings with a digit and of those without."""
     rng = np.random.default_rng(seed)
     net = Network(
         rng.normal(0, 0.1, (WIDTH, CODES, FILTERS)),
@@ -156,10 +166,12 @@ def train(x: np.ndarray, y: np.ndarray, keyed: np.ndarray, seed: int = 3) -> Net
         net.slope -= 0.1 * float(np.mean((p - y[check]) * z))
         net.shift -= 0.1 * float(np.mean(p - y[check]))
     p = 1 / (1 + np.exp(-np.clip(net.slope * z + net.shift, -30, 30)))
+    digit = np.isin(x[check, LEFT : LEFT + RUN], [SYMBOLS[c] for c in string.digits]).any(axis=1)
     limits = []
     for kind in (0, 1):
-        true = np.sort(p[(y[check] == 1) & (keyed[check] == kind)])
-        limits.append(float(true[int((1 - LEAST_RECALL) * len(true))]) if len(true) else 0.5)
+        groups = [(y[check] == 1) & (keyed[check] == kind) & (digit == some) for some in (0, 1)]
+        found = [np.sort(p[g]) for g in groups if g.any()]
+        limits.append(min((float(f[int((1 - LEAST_RECALL) * len(f))]) for f in found), default=0.5))
     net.thresholds = (limits[0], limits[1])
     return net
 
@@ -167,7 +179,8 @@ def train(x: np.ndarray, y: np.ndarray, keyed: np.ndarray, seed: int = 3) -> Net
 def labelled_findings(n: int = FINDINGS, seed: int = 11):
     """Findings with their label, generated because no table of them is given: keys of common forms
     in prose or after a key name (1), and runs that look alike but are none (0): numbered words,
-    dates, paths, identifiers, phone and order numbers."""
+    dates, paths, identifiers, order numbers, long plain words, rules and words run together.
+    Keys of letters alone are among the true ones."""
     rng = np.random.default_rng(seed)
     letters, digits = string.ascii_lowercase, string.digits
     alnum = string.ascii_letters + digits
@@ -181,6 +194,9 @@ def labelled_findings(n: int = FINDINGS, seed: int = 11):
     def joined(k, mark):
         return mark.join(some(letters, 3, 9) for _ in range(k))
 
+    def spoken(k):
+        return "".join(some("bcdfghklmnprstvwz", 1, 1) + some("aeiou", 1, 1) + some("lnrst", 0, 1) for _ in range(k))
+
     secrets = (
         lambda: "ghp_" + some(alnum, 36, 36),
         lambda: "sk_live_" + some(alnum, 24, 32),
@@ -190,6 +206,7 @@ def labelled_findings(n: int = FINDINGS, seed: int = 11):
         lambda: some(alnum, 20, 44),
         lambda: some(alnum + "_-", 22, 48),
         lambda: some(string.ascii_uppercase + digits, 20, 32),
+        lambda: some(string.ascii_letters, 20, 44),
     )
     harmless = (
         lambda: joined(3, "_") + some(digits, 1, 3),
@@ -200,12 +217,19 @@ def labelled_findings(n: int = FINDINGS, seed: int = 11):
         lambda: "order-" + some(digits, 10, 14),
         lambda: some(letters, 4, 8).capitalize() + "-" + some(letters, 6, 12) + some(digits, 2, 4),
         lambda: "+".join(some(letters, 3, 7) for _ in range(3)) + some(digits, 1, 2),
+        lambda: spoken(8),
+        lambda: spoken(8).capitalize(),
+        lambda: spoken(8).upper(),
+        lambda: joined(int(rng.integers(3, 9)), ("_", "-", "/", "~", "=")[rng.integers(5)]),
+        lambda: "".join(spoken(int(rng.integers(2, 4))).capitalize() for _ in range(int(rng.integers(4, 7)))),
+        lambda: some("x", 1, 1) + "-=_~"[rng.integers(4)] * int(rng.integers(16, 60)),
     )
     names = ("key", "auth", "credential", "bearer", "pwd", "client", "access")
     x, y, keyed = [], [], []
     for i in range(n):
         label = int(rng.random() < 0.5)
-        run = (secrets if label else harmless)[rng.integers(8)]()
+        forms = secrets if label else harmless
+        run = forms[rng.integers(len(forms))]()
         with_key = rng.random() < (0.5 if label else 0.25)
         left = words(int(rng.integers(0, 8)))
         if with_key:
@@ -225,17 +249,28 @@ def all_spans(texts: list[str | None], net: Network) -> list[list[tuple[int, int
     """(start, kind, end) of every text; null is taken as empty. The network scores the candidates
     of all texts at once; a candidate counts from the threshold of its kind on."""
     spans = [base_spans(t) if t else [] for t in texts]
-    where, x, keyed = [], [], []
+    where, x, keyed, hits = [], [], [], set()
+
+    def flush():
+        if x:
+            found = net.scores(np.array(x, np.int16)) >= np.array(net.thresholds)[keyed]
+            hits.update(w for w, hit in zip(where, found) if hit)
+            for part in (where, x, keyed):
+                part.clear()
+
     for i, t in enumerate(texts):
         for s, e in other_candidates(t, spans[i]) if t else ():
-            where.append((i, s, e))
-            x.append(encode(t, s, e))
-            keyed.append(1 if KEYED.search(t[max(0, s - 8) : s]) else 0)
-    if where:
-        found = net.scores(np.array(x, np.int16)) >= np.array(net.thresholds)[keyed]
-        for (i, s, e), hit in zip(where, found):
-            if hit:
-                spans[i].append((s, 3, e))
+            kind = 1 if KEYED.search(t[max(0, s - 8) : s]) else 0
+            for at in views(s, e):
+                where.append((i, s, e))
+                x.append(encode(t, s, e, at))
+                keyed.append(kind)
+                if len(x) >= VIEWS_AT_ONCE:
+                    flush()
+    flush()
+    if hits:
+        for i, s, e in hits:
+            spans[i].append((s, 3, e))
         for found_in in spans:
             found_in.sort()
     return spans
@@ -289,6 +324,7 @@ def scan(docs: DataFrame, net: Network, *keep: str, redacted: bool = False) -> D
     return data.mapInArrow(run, schema)
 
 
+@functools.cache
 def trained() -> Network:
     return train(*labelled_findings())
 

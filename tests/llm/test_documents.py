@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import string
 import zlib
 
 import duckdb
@@ -234,6 +235,26 @@ def test_network_on_fresh_findings(network):
     assert hit[y == 1].mean() > 0.95 and hit[y == 0].mean() < 0.03
 
 
+def test_network_finds_keys_in_text(network):
+    rnd = random.Random(4)
+    letters, alnum = string.ascii_letters, string.ascii_letters + string.digits
+
+    def found(make):
+        runs = [make() for _ in range(300)]
+        got = secret_scan.all_spans([f"we use {r} for it now" for r in runs], network)
+        return sum((7, 3, 7 + len(r)) in spans for r, spans in zip(runs, got)) / len(runs)
+
+    def some(chars, n):
+        return "".join(rnd.choice(chars) for _ in range(n))
+
+    assert found(lambda: some(letters, 20)) > 0.85 and found(lambda: some(letters, 28)) > 0.95
+    assert found(lambda: some(alnum, 24)) > 0.95
+    # A key in the middle of a long run of words.
+    assert found(lambda: "path/to/the/words/" * 3 + some(alnum, 30) + "/and/more/of/them" * 4) > 0.95
+    words = ("internationalization", "Rechtsschutzversicherung", "anticonstitutionnellement")
+    assert secret_scan.all_spans([f"we use {w} for it now" for w in words], network) == [[], [], []]
+
+
 def test_secrets_are_found_and_redacted(table, odd, empty, network):
     key = "ghp_" + "aB3dE5fG7hJ9kL1mN2pQ4rS6tU8vW0xY1z3A"
     rows = secret_scan.scan(table([(1, f"use {key} now\ntoken = 0123456789abcdef01")]), network, "doc_id", redacted=True)
