@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from cardwatch.llm import embedding_dedup, langid, packing, quality_rules, secret_scan, sentence_pieces, simhash, suffix_dedup, token_files, toxicity  # noqa: F401
+from cardwatch.llm import (  # noqa: F401
+    embedding_dedup,
+    langid,
+    merkle,
+    packing,
+    quality_rules,
+    secret_scan,
+    sentence_pieces,
+    simhash,
+    suffix_dedup,
+    token_files,
+    toxicity,
+)
 from cardwatch.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
