@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from cardwatch.llm import (  # noqa: F401
     embedding_dedup,
+    hard_negatives,
     langid,
     merkle,
     packing,
+    quality_model,
     quality_rules,
     secret_scan,
     sentence_pieces,
