@@ -8,25 +8,41 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 HASH_SPAN = 1 << 32
+MONEY_PARTS = 10_000
 
 
 def money_units(amount: Column | str, scale: int = 2) -> Column:
-    """The amount as a whole number of its smallest unit (cents for two places).
+    """The amount as a whole number of its smallest unit (cents for two places), to the nearest.
 
-    Whole numbers add up to the same total in any order, so results do not depend on
-    partitioning. An amount finer than ``scale`` places raises an error instead of being rounded
-    away. NaN counts as missing.
+    What an amount has beyond that is told by :func:`money_parts`. Both are whole numbers, which
+    add up to the same total in any order, so results do not depend on partitioning. NaN and
+    amounts of 2 ** 62 units and more count as missing.
     """
+    return F.when(_is_money(amount, scale), F.rint(_scaled(amount, scale)).cast("long"))
+
+
+def money_parts(amount: Column | str, scale: int = 2) -> Column:
+    """What :func:`money_units` leaves of the amount, in units divided by ``MONEY_PARTS``.
+
+    Together they hold the amount to ``scale`` + 4 places; anything finer is rounded.
+    """
+    scaled = _scaled(amount, scale)
+    rest = F.rint((scaled - F.rint(scaled)) * float(MONEY_PARTS)).cast("long")
+    return F.when(_is_money(amount, scale), rest)
+
+
+def money_total(units: str, parts: str) -> str:
+    """SQL for the total of summed units and parts, in units; exact where no parts are left."""
+    return f"({units} + {parts} / {float(MONEY_PARTS)}D)"
+
+
+def _scaled(amount: Column | str, scale: int) -> Column:
     value = F.col(amount) if isinstance(amount, str) else amount
-    scaled = value * float(10**scale)
-    whole = F.rint(scaled)
-    finer = F.abs(scaled - whole) > 1e-3 + F.abs(scaled) * 1e-12
-    complaint = F.raise_error(F.lit(f"an amount has more than {scale} decimal places"))
-    return (
-        F.when(F.isnan(value), F.lit(None).cast("long"))
-        .when(finer, complaint.cast("long"))
-        .otherwise(whole.cast("long"))
-    )
+    return value.cast("double") * float(10**scale)
+
+
+def _is_money(amount: Column | str, scale: int) -> Column:
+    return F.abs(_scaled(amount, scale)) < float(1 << 62)
 
 
 def ratio_or_zero(numerator: Column, denominator: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.functions.calendar import days_to_seconds, night_flag, weekend_flag
-from cardwatch.functions.numeric import money_units
+from cardwatch.functions.numeric import money_parts, money_total, money_units
 from cardwatch.operators.rolling import (
     BLOCK_DAYS,
     add_frame_sums,
@@ -42,19 +42,23 @@ def add_customer_spending(
     """Transactions and mean amount of the customer over the last d days, for each d.
 
     The frame is ``[t - d days, t]`` in whole seconds with both ends, the row itself and all rows
-    of the same second. A missing amount counts as a transaction and not towards the mean.
+    of the same second. A missing amount counts as a transaction and not towards the mean. Amounts
+    may be finer than ``amount_scale`` places: they are summed as whole units and whole parts of a
+    unit, to four places more.
     """
     units = money_units("tx_amount", amount_scale)
     measures = {
         "_n": F.lit(1),
         "_priced": F.when(units.isNotNull(), 1).otherwise(0),
         "_units": units,
+        "_parts": money_parts("tx_amount", amount_scale),
     }
     frames = {str(d): (days_to_seconds(d), 0) for d in windows}
     sums = add_frame_sums(df, "customer_id", measures, frames, **rolling)
     columns = []
     for d in windows:
-        mean = f"try_divide(_units_{d}, _priced_{d}) / {10**amount_scale}"
+        total = money_total(f"_units_{d}", f"_parts_{d}")
+        mean = f"try_divide({total}, _priced_{d}) / {10**amount_scale}"
         columns += [
             f"_n_{d} AS {customer_count(d)}",
             f"{f'coalesce({mean}, 0D)' if fill else mean} AS {customer_average(d)}",

@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwatch.functions.numeric import money_units, ratio_or_zero, round_half_even
+from cardwatch.functions.numeric import (
+    money_parts,
+    money_total,
+    money_units,
+    ratio_or_zero,
+    round_half_even,
+)
+from cardwatch.session import stored
 
 PLACES = 4
-SCORE_BUCKETS = 1024
 
 
 def confusion_counts(
@@ -111,59 +116,59 @@ def class_report(
 
 
 def roc_auc(
-    df: DataFrame, score: str, label: str = "tx_fraud", *, buckets: int = SCORE_BUCKETS
+    df: DataFrame, score: str, label: str = "tx_fraud", *, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Exact area under the ROC curve: ``roc_auc``, ``positives``, ``negatives``.
+    """Exact area under the ROC curve: ``roc_auc``, ``positives``, ``negatives``, one row or one per
+    ``by`` group.
 
     The area is the share of (positive, negative) pairs in the right order, ties counting half.
-    Rows are first added up per distinct score. Scores are then cut into buckets by approximate
-    quantiles; where the cuts lie changes the balance of the tasks and never the result. Pairs
-    within a bucket come from a running count in it, pairs across buckets from one total per
-    bucket, so nothing but the bucket totals passes through one task. The area is NULL if a class
-    is missing.
+    Rows are read once and added up per distinct score. These points are range-sorted and written
+    with the number of their partition. Pairs within a partition come from a running count in it,
+    pairs across partitions from one total per partition, so nothing but these totals passes through
+    one task. The area is NULL if a class is missing.
     """
+    groups = list(by)
     value = F.col(score).cast("double")
-    rows = df.select(value.alias("_score"), (F.col(label) == 1).alias("_hit")).filter(
+    rows = df.select(*groups, value.alias("_score"), (F.col(label) == 1).alias("_hit")).filter(
         F.col("_score").isNotNull() & F.col("_hit").isNotNull()
     )
-    points = rows.groupBy("_score").agg(
+    points = rows.groupBy(*groups, "_score").agg(
         F.count_if(F.col("_hit")).alias("_pos"), F.count_if(~F.col("_hit")).alias("_neg")
     )
-    cuts = _cuts(rows, "_score", buckets)
-    bucketer = Bucketizer(
-        splits=cuts, inputCol="_score", outputCol="_bucket", handleInvalid="keep"
-    )
-    bucketed = bucketer.transform(points)
+    ordered = points.orderBy(*groups, "_score").withColumn("_part", F.spark_partition_id())
+    placed = stored(ordered, "score-points")
     below = (
-        Window.partitionBy("_bucket")
+        Window.partitionBy(*groups, "_part")
         .orderBy("_score")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     # Twice the number of pairs in order, so that ties stay whole numbers.
     won = 2 * _big(F.col("_pos")) * F.coalesce(F.sum("_neg").over(below), F.lit(0))
     totals = (
-        bucketed.withColumn("_won", _big(won + _big(F.col("_pos")) * F.col("_neg")))
-        .groupBy("_bucket")
+        placed.withColumn("_won", _big(won + _big(F.col("_pos")) * F.col("_neg")))
+        .groupBy(*groups, "_part")
         .agg(
             F.sum("_pos").alias("_pos"),
             F.sum("_neg").alias("_neg"),
             F.sum("_won").cast("decimal(38,0)").alias("_won"),
         )
     )
-    # At most ``buckets`` rows from here on.
-    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per group and partition from here on.
+    earlier = (
+        Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    )
     across = F.coalesce(F.sum("_neg").over(earlier), F.lit(0))
-    summed = totals.select(
-        "_pos", "_neg", (F.col("_won") + _big(2 * _big(F.col("_pos")) * across)).alias("_won")
-    ).agg(
+    carried = totals.select(
+        *groups, "_pos", "_neg", (F.col("_won") + _big(2 * _big(F.col("_pos")) * across)).alias("_won")
+    )
+    summed = carried.groupBy(*groups).agg(
         F.sum("_won").cast("double").alias("_won"),
         F.sum("_pos").alias("positives"),
         F.sum("_neg").alias("negatives"),
     )
     pairs = F.col("positives").cast("double") * F.col("negatives").cast("double")
-    return summed.select(
-        F.try_divide(F.col("_won"), 2 * pairs).alias("roc_auc"), "positives", "negatives"
-    )
+    area = F.try_divide(F.col("_won"), 2 * pairs).alias("roc_auc")
+    return summed.select(*groups, area, "positives", "negatives")
 
 
 def monthly_indicators(
@@ -185,6 +190,7 @@ def monthly_indicators(
             F.count("*").alias("transactions"),
             F.count_if(executed_fraud).alias("executed_frauds"),
             F.sum(F.when(executed_fraud, money_units(amount))).alias("_units"),
+            F.sum(F.when(executed_fraud, money_parts(amount))).alias("_parts"),
             F.count_if(rejected_good).alias("rejected_good"),
             F.count_if(F.col(label) == 0).alias("_good"),
         )
@@ -195,7 +201,9 @@ def monthly_indicators(
             ratio_or_zero(F.col("executed_frauds"), F.col("transactions")).alias(
                 "executed_fraud_share"
             ),
-            (F.coalesce("_units", F.lit(0)) / 100).alias("executed_fraud_amount"),
+            (F.expr(f"coalesce({money_total('_units', '_parts')}, 0D)") / 100).alias(
+                "executed_fraud_amount"
+            ),
             "rejected_good",
             ratio_or_zero(F.col("rejected_good"), F.col("_good")).alias("rejected_good_share"),
         )
@@ -232,11 +240,3 @@ def _rounded(value: Column, places: int | None) -> Column:
 
 def _big(value: Column) -> Column:
     return value.cast("decimal(38,0)")
-
-
-def _cuts(rows: DataFrame, column: str, buckets: int) -> list[float]:
-    """Increasing cut points around up to ``buckets`` even parts; a bounded list on the driver."""
-    inner = [i / buckets for i in range(1, buckets)]
-    found = rows.approxQuantile(column, inner, 1 / (4 * buckets))
-    finite = {c for c in found if c == c and abs(c) != float("inf")}
-    return [float("-inf"), *(sorted(finite) or [0.0]), float("inf")]

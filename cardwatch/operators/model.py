@@ -2,27 +2,38 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
+from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
-from cardwatch.functions.numeric import draw_number, hash_draw
+from cardwatch.functions.numeric import draw_below, draw_number, hash_draw
+from cardwatch.operators.metrics import roc_auc
 from cardwatch.schema import LABEL, model_inputs
+from cardwatch.session import scratch_path, stored
 
 # Size of the search.
 DRAWS = 16
 FOLDS = 10
-PARALLELISM = 2
+
+# Fits that run side by side; each is a row of short jobs that leaves most of a cluster idle.
+PARALLELISM = 8
+# Labelled rows the draws of a search are compared on, about; ``None`` takes all. The chosen draw is
+# fitted on all rows.
+SEARCH_ROWS = 3_000
+_ROWS_PER_TASK = 25_000
 
 # Ranges of the search, upper bounds excluded.
 SEARCH_RANGES: dict[str, Callable[[random.Random], Any]] = {
@@ -93,27 +104,142 @@ def with_folds(
     return df.withColumn("fold", draw_number(hash_draw(seed, F.lit("fold"), id_column), folds))
 
 
-def search(
+def assembled_rows(
     df: DataFrame,
     pipeline: Pipeline,
+    *,
+    label: str = LABEL,
+    folds: int = FOLDS,
+    id_column: str = "transaction_id",
+    seed: int = 42,
+) -> tuple[DataFrame, list]:
+    """What every fit of a search reads, written once: ``features``, the label, ``fold`` and the id;
+    and the fitted stages before the forest."""
+    before = Pipeline(stages=pipeline.getStages()[:-1]).fit(df).stages
+    rows = with_folds(df, folds, id_column=id_column, seed=seed)
+    for stage in before:
+        rows = stage.transform(rows)
+    vectors = rows.select("features", F.col(label).cast("double").alias(label), "fold", id_column)
+    return stored(vectors, "assembled"), before
+
+
+def search_rows(
+    vectors: DataFrame,
+    rows: int | None = SEARCH_ROWS,
+    *,
+    id_column: str = "transaction_id",
+    seed: int = 42,
+) -> DataFrame:
+    """About ``rows`` of the vectors, by a hash of the id; all with ``None`` or where there are no
+    more. They come in as few partitions as suit the many short fits, dealt and sorted by id, so that
+    a search can be repeated."""
+    n = vectors.count()
+    if rows is not None and n > rows:
+        draw = hash_draw(seed, F.lit("fit"), id_column)
+        vectors, n = vectors.filter(draw_below(draw, rows / n)), rows
+    tasks = max(1, math.ceil(n / _ROWS_PER_TASK))
+    return vectors.repartition(tasks, id_column).sortWithinPartitions(id_column)
+
+
+def validation_scores(
+    vectors: DataFrame,
+    forest: RandomForestClassifier,
     grid: list[dict[Param, Any]],
     *,
     label: str = LABEL,
     folds: int = FOLDS,
     parallelism: int = PARALLELISM,
     id_column: str = "transaction_id",
+) -> DataFrame:
+    """``draw``, ``fold``, the id, the label and ``score`` of every row by the forest of each draw
+    that has not seen the row's fold.
+
+    The fits of all draws and folds are independent of one another and run ``parallelism`` at a
+    time, the largest forests first. Each writes the scores of its fold.
+    """
+    path = scratch_path(vectors.sparkSession, "validation")
+    vectors = vectors.persist()
+
+    def size(draw: int) -> int:
+        values = {p.name: v for p, v in grid[draw].items()}
+        return values.get("numTrees", 20) * (1 + values.get("maxDepth", 5))
+
+    def run(task: tuple[int, int]) -> None:
+        draw, fold = task
+        model = forest.fit(vectors.filter(F.col("fold") != fold), grid[draw])
+        held = model.transform(vectors.filter(F.col("fold") == fold))
+        scores = held.select(id_column, label, vector_to_array("probability")[1].alias("score"))
+        scores.write.parquet(f"{path}/draw={draw}/fold={fold}")
+
+    tasks = [(d, f) for d in sorted(range(len(grid)), key=size, reverse=True) for f in range(folds)]
+    try:
+        with ThreadPoolExecutor(parallelism) as pool:
+            list(pool.map(inheritable_thread_target(vectors.sparkSession)(run), tasks))
+    finally:
+        vectors.unpersist()
+    return vectors.sparkSession.read.parquet(path)
+
+
+def mean_areas(scores: DataFrame, label: str = LABEL) -> DataFrame:
+    """``draw`` and ``mean_auc``, the exact area averaged over the folds that hold both classes; 0
+    without any."""
+    areas = roc_auc(scores, "score", label, by=["draw", "fold"])
+    mean = F.coalesce(F.avg("roc_auc"), F.lit(0.0))
+    return areas.groupBy("draw").agg(mean.alias("mean_auc"))
+
+
+@dataclass
+class SearchResult:
+    """The model with its draws' mean areas, and the scores these come from."""
+
+    model: CrossValidatorModel
+    scores: DataFrame
+
+
+def run_search(
+    df: DataFrame,
+    pipeline: Pipeline,
+    grid: list[dict[Param, Any]],
+    *,
+    label: str = LABEL,
+    folds: int = FOLDS,
+    parallelism: int = PARALLELISM,
+    rows: int | None = SEARCH_ROWS,
+    id_column: str = "transaction_id",
     seed: int = 42,
-) -> CrossValidatorModel:
-    """Cross-validated search for the highest area under the ROC curve."""
-    validator = CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=grid,
-        evaluator=BinaryClassificationEvaluator(labelCol=label),
-        numFolds=folds,
-        foldCol="fold",
+) -> SearchResult:
+    """Cross-validated search for the highest exact area under the ROC curve; of equal draws the
+    first.
+
+    All rows are filled, assembled and written once. The draws are compared on about ``rows`` of
+    them; the best draw is then fitted on all.
+    """
+    vectors, before = assembled_rows(
+        df, pipeline, label=label, folds=folds, id_column=id_column, seed=seed
+    )
+    forest = pipeline.getStages()[-1]
+    scores = validation_scores(
+        search_rows(vectors, rows, id_column=id_column, seed=seed),
+        forest,
+        grid,
+        label=label,
+        folds=folds,
         parallelism=parallelism,
+        id_column=id_column,
     )
-    return validator.fit(with_folds(df, folds, id_column=id_column, seed=seed))
+    # One row per draw.
+    areas = {r["draw"]: r["mean_auc"] for r in mean_areas(scores, label).collect()}
+    means = [areas.get(draw, 0.0) for draw in range(len(grid))]
+    best = max(range(len(grid)), key=lambda draw: means[draw])
+    fitted = forest.fit(vectors, grid[best])
+    return SearchResult(CrossValidatorModel(PipelineModel([*before, fitted]), means), scores)
+
+
+def search(
+    df: DataFrame, pipeline: Pipeline, grid: list[dict[Param, Any]], **options
+) -> CrossValidatorModel:
+    """The model of :func:`run_search`."""
+    return run_search(df, pipeline, grid, **options).model
 
 
 def best_parameters(model: CrossValidatorModel | PipelineModel) -> dict[str, Any]:

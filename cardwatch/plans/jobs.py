@@ -22,7 +22,7 @@ from cardwatch.schema import (
     TRANSACTION_SCHEMA,
     WINDOW_DAYS,
 )
-from cardwatch.session import use_utc
+from cardwatch.session import stored, use_utc
 from cardwatch.sources.readers import Paths, scan
 from cardwatch.sources.writers import convert_csv, write_day_copies
 
@@ -119,18 +119,26 @@ def training_job(
     draws: int = ml.DRAWS,
     folds: int = ml.FOLDS,
     parallelism: int = ml.PARALLELISM,
+    search_rows: int | None = ml.SEARCH_ROWS,
     seed: int = 42,
     **ranges,
 ) -> DataFrame:
-    """Search, fit, save and evaluate the forest; one row with its parameters and test metrics."""
+    """Search, fit, save and evaluate the forest; one row with its parameters and test metrics.
+
+    ``search_rows`` bounds the train rows on which draws are compared; see ``model.run_search``.
+    """
     use_utc(spark)
     rows = between_days(scan(spark, inputs, "parquet", None), first, last)
     train, test = train_test(rows, fraction, seed=seed)
     pipeline = ml.forest_pipeline(seed=seed)
     grid = ml.forest_grid(pipeline, draws, seed, **ranges)
-    fitted = ml.search(train, pipeline, grid, folds=folds, parallelism=parallelism, seed=seed)
+    fitted = ml.search(
+        train, pipeline, grid, folds=folds, parallelism=parallelism, rows=search_rows, seed=seed
+    )
     ml.save_model(fitted, model_path)
     scored = ml.fraud_probability(ml.score(fitted, test))
+    # The forest scores the test rows once; both metrics read what is written here.
+    scored = stored(scored.select("tx_fraud", "prediction", "fraud_probability"), "scored")
     area = roc_auc(scored, "fraud_probability").select(F.bround("roc_auc", 4).alias("roc_auc"))
     parts = with_split(rows, fraction, seed=seed)
     sizes = parts.agg(

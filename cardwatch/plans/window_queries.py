@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from cardwatch.operators import features as ft
 from cardwatch.operators.filters import fill_zero
 from cardwatch.plans.jobs import features_for_days
@@ -14,7 +16,7 @@ from cardwatch.plans.tables import (
     plain,
     transactions,
 )
-from cardwatch.schema import DELAY_DAYS, WINDOW_DAYS
+from cardwatch.schema import DELAY_DAYS, WINDOW_DAYS, customer_average
 
 WIDE_WINDOWS = (1, 7, 30)
 OUTPUT_DAYS = ("2024-01-20", "2024-01-24")
@@ -129,6 +131,34 @@ def customer_spending(spark, sf):
     return ft.add_customer_spending(rows).drop("customer_id", "tx_datetime", "tx_amount")
 
 
+def _fine_sql() -> str:
+    """Means of amounts with five places: whole cents and ten-thousandths of a cent apart."""
+    parts = []
+    for d in WINDOW_DAYS:
+        w = _frame("customer_id", d * _DAY, 0)
+        parts.append(
+            f"(CAST(sum(units) OVER {w} AS BIGINT) + CAST(sum(parts) OVER {w} AS BIGINT) / 10000.0::DOUBLE) "
+            f"/ count(*) OVER {w} / 100 AS customer_id_avg_amount_{d}day_window"
+        )
+    return ",\n  ".join(parts)
+
+
+@query(
+    "spending_fine_amounts",
+    f"""WITH {TX_SQL}, fine AS (SELECT *, tx_amount / 8 * 100 AS scaled FROM tx),
+split AS (SELECT *, CAST(round_even(scaled, 0) AS BIGINT) AS units,
+  CAST(round_even((scaled - round_even(scaled, 0)) * 10000, 0) AS BIGINT) AS parts FROM fine)
+SELECT transaction_id, {_fine_sql()} FROM split""",
+)
+def spending_fine_amounts(spark, sf):
+    """Mean spending where amounts have more places than the currency."""
+    rows = transactions(spark, sf).select(
+        "transaction_id", "customer_id", "tx_datetime", (F.col("tx_amount") / 8).alias("tx_amount")
+    )
+    means = [customer_average(d) for d in WINDOW_DAYS]
+    return ft.add_customer_spending(rows).select("transaction_id", *means)
+
+
 @query("terminal_risk", f"WITH {TX_SQL} SELECT transaction_id, {_terminal_sql()} FROM tx")
 def terminal_risk(spark, sf):
     rows = transactions(spark, sf).select(

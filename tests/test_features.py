@@ -62,12 +62,19 @@ def test_unfilled_average_is_null(make):
     assert spending(df, column, plan="direct", fill=False) == {0: None}
 
 
-def test_finer_amount_is_an_error(make):
-    df = make([{"tx_amount": 0.125}])
-    with pytest.raises(Exception, match="more than 2 decimal places"):
-        spending(df, "customer_id_avg_amount_1day_window", plan="direct")
+@both_plans
+def test_finer_amounts_are_summed_whole(make, plan):
+    """No amount is refused, and a mean does not depend on the order of its sum."""
+    amounts = [0.125, 5.125, 1e-6, 33.333333, 1e9 + 0.5, -2.000001, 1e300, float("inf"), None]
+    df = make([{"s": i, "tx_amount": a} for i, a in enumerate(amounts)])
     column = "customer_id_avg_amount_1day_window"
-    assert spending(df, column, plan="direct", amount_scale=3) == {0: 0.125}
+    got = spending(df, column, plan=plan)
+    whole = amounts[:6]
+    for i in range(len(amounts)):
+        seen = [round(a * 1_000_000) for a in whole[: i + 1]]
+        assert got[i] == pytest.approx(sum(seen) / len(seen) / 1e6, rel=1e-15)
+    column = "customer_id_nb_tx_1day_window"
+    assert spending(df, column, plan=plan)[8] == 9
 
 
 @both_plans

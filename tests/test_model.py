@@ -114,14 +114,42 @@ def asked_of(monkeypatch, owner, name):
 
 
 def test_registered_search_is_the_full_one(spark, monkeypatch):
-    seen = asked_of(monkeypatch, ml, "CrossValidator")
+    seen = asked_of(monkeypatch, ml, "run_search")
     with pytest.raises(Asked):
         model_queries.parameter_search(spark, SMALL)
-    options = seen[0][1]
-    grid = [{p.name: v for p, v in m.items()} for m in options["estimatorParamMaps"]]
-    full = ml.forest_grid(ml.forest_pipeline(), seed=0)
-    assert grid == [{p.name: v for p, v in m.items()} for m in full] and len(grid) == 16
-    assert options["numFolds"] == 10
+    (_, _, grid), options = seen[0]
+    values = [{p.name: v for p, v in draw.items()} for draw in grid]
+    assert [tuple(v[n] for n in model_queries.SEARCHED) for v in values] == list(model_queries.DRAWN)
+    assert len(grid) == 16 and ml.FOLDS == 10 and options == {}
+
+
+def test_search_compares_draws_on_rows_they_have_not_seen(spark, data):
+    pipeline = ml.forest_pipeline()
+    forest = pipeline.getStages()[-1]
+    grid = ml.forest_grid(pipeline, 3, seed=3, **SHORT)
+    vectors, _ = ml.assembled_rows(data, pipeline, folds=4)
+    scores = ml.validation_scores(vectors, forest, grid, folds=4, parallelism=3)
+    assert scores.count() == 3 * data.count()
+    assert scores.select("draw", "transaction_id").distinct().count() == 3 * data.count()
+    model = forest.fit(vectors.filter("fold <> 2"), grid[1])
+    want = ml.fraud_probability(model.transform(vectors.filter("fold = 2")), "want")
+    mine = scores.filter("draw = 1 and fold = 2").join(want.select("transaction_id", "want"), "transaction_id")
+    assert mine.count() == vectors.filter("fold = 2").count()
+    assert mine.filter("abs(score - want) > 1e-12").count() == 0
+
+
+def test_mean_area_by_hand(spark):
+    rows = [(0, 0, 1, 0.9), (0, 0, 0, 0.1), (0, 1, 1, 0.5), (0, 1, 0, 0.5), (0, 2, 1, 0.3), (1, 0, 0, 0.2)]
+    df = spark.createDataFrame(rows, "draw int, fold int, tx_fraud int, score double")
+    assert {r["draw"]: r["mean_auc"] for r in ml.mean_areas(df).collect()} == {0: 0.75, 1: 0.0}
+
+
+def test_rows_of_a_search_are_bounded(spark, data):
+    vectors, _ = ml.assembled_rows(data, ml.forest_pipeline())
+    assert ml.search_rows(vectors, None).count() == ml.search_rows(vectors, 300).count() == 300
+    few = ml.search_rows(vectors, 100)
+    assert 60 <= few.count() <= 140 and few.rdd.getNumPartitions() == 1
+    assert few.collect() == ml.search_rows(vectors.repartition(5), 100).collect()
 
 
 def test_registered_training_is_the_full_one(spark, monkeypatch):
