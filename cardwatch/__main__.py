@@ -32,6 +32,9 @@ def parser() -> argparse.ArgumentParser:
     features.add_argument("--outputs", required=True)
     features.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     features.add_argument("--lookback", type=int)
+    features.add_argument(
+        "--day_folders", action="store_true", help="inputs hold folders YYYY-MM-DD.parquet"
+    )
     train = job("train", dated=True)
     train.add_argument("--model", required=True)
     train.add_argument("--draws", type=int, default=16)
@@ -57,6 +60,7 @@ def main(argv: list[str] | None = None) -> None:
             args.date_to,
             fmt=args.format,
             lookback=args.lookback,
+            day_folders=args.day_folders,
         )
     else:
         jobs.training_job(

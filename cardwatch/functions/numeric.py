@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 HASH_SPAN = 1 << 32
 MONEY_PARTS = 10_000
+NULL_KEY = "\\N"
 
 
 def money_units(amount: Column | str, scale: int = 2) -> Column:
@@ -64,8 +65,19 @@ def distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
 
 
 def hash_draw(seed: int, *keys: Column | str) -> Column:
-    """A repeatable pseudo-random text of 32 hex digits for the given keys."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *keys))
+    """A repeatable pseudo-random text of 32 hex digits for the given keys; a NULL key is one more
+    value."""
+    columns = [F.col(k) if isinstance(k, str) else k for k in keys]
+    texts = [F.coalesce(c.cast("string"), F.lit(NULL_KEY)) for c in columns]
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *texts))
+
+
+def row_draw(seed: int, id_column: str, *substitutes: str) -> Column:
+    """The draw of a row's id. Rows without an id are told apart by the substitute columns."""
+    draw = hash_draw(seed, id_column)
+    if not substitutes:
+        return draw
+    return F.when(F.col(id_column).isNull(), hash_draw(seed, id_column, *substitutes)).otherwise(draw)
 
 
 def draw_below(draw: Column, fraction: float) -> Column:
@@ -83,6 +95,11 @@ def draw_number(draw: Column, modulus: int) -> Column:
     return (F.conv(F.substring(draw, 1, 8), 16, 10).cast("long") % modulus).cast("int")
 
 
+def decoded(file_name: Column | str) -> Column:
+    """A file name as ``_metadata`` gives it, without its percent codes; a plus stays one."""
+    return F.url_decode(F.replace(file_name, F.lit("+"), F.lit("%2B")))
+
+
 def file_stem(file_name: Column | str) -> Column:
     """File name without folder and last suffix."""
     base = F.regexp_extract(file_name, r"([^/]+)$", 1)

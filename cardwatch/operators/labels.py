@@ -81,11 +81,17 @@ def drawn_customer_days(
     """Per listed customer and covered day, the list days with the cut of their random third.
 
     ``cuts`` holds at most ``length`` entries. A transaction is drawn if it lies within one of
-    them, which a row can tell by itself.
+    them, which a row can tell by itself. The matches of the list are written once as narrow rows;
+    the cuts and the days they apply to both come from these.
     """
     ids = df.select("transaction_id", "customer_id", "tx_time_days")
-    days = _stored_days(listed, "customer_id", length)
-    cuts = share_cutoffs(_customer_matches(ids, days), ["list_day"], share, seed=seed)
+    matches = stored(
+        _customer_matches(ids, covered_days(listed, "customer_id", length)), "customer-matches"
+    )
+    cuts = share_cutoffs(matches, ["list_day"], share, seed=seed)
+    days = matches.select(
+        "list_day", F.col("customer_id").alias("_entity"), F.col("tx_time_days").alias("_day")
+    ).distinct()
     drawn = (
         days.join(cuts, "list_day")
         .groupBy("_entity", "_day")

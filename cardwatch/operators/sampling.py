@@ -1,22 +1,28 @@
 """Repeatable samples.
 
 Draws are hashes of the seed and the row's keys: the same rows come out after a retry, with another
-number of partitions, or in another engine.
+number of partitions, or in another engine. Rows without an id are told apart by other columns.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwatch.functions.numeric import draw_below, hash_draw
-from cardwatch.schema import DAILY_SAMPLE_ROWS
+from cardwatch.functions.numeric import draw_below, draw_number, hash_draw, row_draw
+from cardwatch.schema import DAILY_SAMPLE_ROWS, ID_SUBSTITUTES
 from cardwatch.session import stored
 
 # Hex digits of a draw that name its slice: 65 536 even slices per group.
 _SLICE_DIGITS = 4
+# Spark cuts groups before the shuffle for ranks up to this; larger ones are cut by slice counts.
+_GROUP_LIMIT = 1000
+
+
+def id_substitutes(df: DataFrame) -> list[str]:
+    return [c for c in ID_SUBSTITUTES if c in df.columns]
 
 
 def in_stratified_sample(
@@ -24,10 +30,11 @@ def in_stratified_sample(
     *,
     label: str = "tx_fraud",
     id_column: str = "transaction_id",
+    substitutes: Sequence[str] = (),
     seed: int = 42,
 ) -> Column:
     """True for about ``fractions[label value]`` of the rows of each label; other labels: none."""
-    draw = hash_draw(seed, id_column)
+    draw = row_draw(seed, id_column, *substitutes)
     keep = F.lit(False)
     for value, fraction in fractions.items():
         keep |= (F.col(label) == F.lit(value)) & draw_below(draw, fraction)
@@ -36,6 +43,7 @@ def in_stratified_sample(
 
 def stratified_sample(df: DataFrame, fractions: Mapping, *, seed: int | None = 42, **keys):
     """The rows of :func:`in_stratified_sample`."""
+    keys = {"substitutes": id_substitutes(df)} | keys
     return df.filter(in_stratified_sample(fractions, seed=seed, **keys))
 
 
@@ -49,10 +57,20 @@ def sample_rows_per_group(
 ) -> DataFrame:
     """Exactly ``rows`` random rows of each group, or all of a smaller group.
 
-    Spark keeps the first ``rows`` rows of a group per input partition before it shuffles
-    (WindowGroupLimit), so a hot group sends little more than the others.
+    A small sample is the first rows of a window: Spark keeps them per input partition before it
+    shuffles (WindowGroupLimit), so a hot group sends little more than the others. A larger one is
+    cut as in :func:`sample_share_per_group`, so that no window sees a whole group. Both give the
+    same rows. Ids must be unique within a group.
     """
-    draw = hash_draw(seed, id_column)
+    return _first_of_group(df, group, rows, id_column, hash_draw(seed, id_column))
+
+
+def _first_of_group(
+    df: DataFrame, group: Sequence[str], rows: int, id_column: str, draw: Column
+) -> DataFrame:
+    if rows > _GROUP_LIMIT:
+        cuts = _cutoffs(df, group, id_column, draw, lambda n: F.least(n, F.lit(rows)))
+        return _up_to_cut(df, group, id_column, draw, cuts)
     order = Window.partitionBy(*group).orderBy(draw, id_column)
     return (
         df.withColumn("_position", F.row_number().over(order))
@@ -72,13 +90,27 @@ def share_cutoffs(
     """Per group of n rows, draw and id of the row number ``floor(n * a / b)`` in draw order.
 
     Columns ``cut_draw`` and ``cut_id`` beside the group; a group with nothing to take has no row.
+    """
+    keep_of, out_of = share
+    draw = hash_draw(seed, *group, id_column)
+    return _cutoffs(df, group, id_column, draw, lambda n: F.floor(n * keep_of / out_of))
+
+
+def _cutoffs(
+    df: DataFrame,
+    group: Sequence[str],
+    id_column: str,
+    draw: Column,
+    wanted: Callable[[Column], Column],
+) -> DataFrame:
+    """Draw and id of the last of the ``wanted`` rows of each group in draw order.
+
     Draws are cut into even slices. The slice counts tell in which slice the cut lies, and only
     the rows of that one slice are put in order, so no group has to fit one task.
     """
-    keep_of, out_of = share
-    drawn = df.select(
-        *group, id_column, hash_draw(seed, *group, id_column).alias("_draw")
-    ).withColumn("_slice", F.substring("_draw", 1, _SLICE_DIGITS))
+    drawn = df.select(*group, id_column, draw.alias("_draw")).withColumn(
+        "_slice", F.substring("_draw", 1, _SLICE_DIGITS)
+    )
     per_group = Window.partitionBy(*group)
     before = per_group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     cut_slices = (
@@ -89,7 +121,7 @@ def share_cutoffs(
             F.col("_slice").alias("_cut_slice"),
             "count",
             F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"),
-            F.floor(F.sum("count").over(per_group) * keep_of / out_of).alias("_wanted"),
+            wanted(F.sum("count").over(per_group)).alias("_wanted"),
         )
         .filter(
             (F.col("_before") < F.col("_wanted"))
@@ -119,6 +151,22 @@ def within_cut(draw: Column, id_column: Column, cut_draw: Column, cut_id: Column
     return (draw < cut_draw) | (draw == cut_draw) & (id_column <= cut_id)
 
 
+def _up_to_cut(
+    df: DataFrame, group: Sequence[str], id_column: str, draw: Column, cuts: DataFrame
+) -> DataFrame:
+    """The rows up to their group's cut. The cuts, one row per group, are written first, so that
+    Spark joins them by their true size; the rows themselves are only filtered."""
+    cuts = stored(cuts.withColumnsRenamed({g: f"_{g}" for g in group}), "cuts")
+    rows = df.withColumn("_draw", draw)
+    match = F.lit(True)
+    for g in group:
+        match &= rows[g].eqNullSafe(cuts[f"_{g}"])
+    # Without an id, which sorts first, equal draws are equal rows.
+    no_later = F.coalesce(rows[id_column] <= F.col("cut_id"), F.lit(True))
+    inside = (rows["_draw"] < F.col("cut_draw")) | (rows["_draw"] == F.col("cut_draw")) & no_later
+    return rows.join(cuts, match & inside, "left_semi").drop("_draw")
+
+
 def sample_share_per_group(
     df: DataFrame,
     group: Sequence[str],
@@ -129,28 +177,34 @@ def sample_share_per_group(
 ) -> DataFrame:
     """``floor(n * a / b)`` random rows without replacement of each group of n rows.
 
-    The rows up to the group's cut are taken, so the rows themselves are only filtered. The cuts,
-    one row per group, are written first, so that Spark joins them by their true size. Ids must
-    be unique within a group.
+    The rows up to the group's cut are taken. Ids must be unique within a group.
     """
     cuts = share_cutoffs(df, group, share, id_column=id_column, seed=seed)
-    cuts = stored(cuts.withColumnsRenamed({g: f"_{g}" for g in group}), "cuts")
-    match = F.lit(True)
-    for g in group:
-        match &= df[g].eqNullSafe(cuts[f"_{g}"])
-    draw = hash_draw(seed, *[df[g] for g in group], df[id_column])
-    inside = within_cut(draw, df[id_column], F.col("cut_draw"), F.col("cut_id"))
-    return df.join(cuts, match & inside, "left_semi")
+    return _up_to_cut(df, group, id_column, hash_draw(seed, *group, id_column), cuts)
 
 
 def active_entities(
-    df: DataFrame, entity: str, per_day: int, *, day: str = "tx_time_days", seed: int = 5
+    df: DataFrame,
+    entity: str,
+    per_day: int | tuple[int, int],
+    *,
+    day: str = "tx_time_days",
+    seed: int = 5,
 ) -> DataFrame:
-    """Per day, up to ``per_day`` random entities among those with a transaction on that day."""
-    seen = df.select(day, entity).distinct()
-    order = Window.partitionBy(day).orderBy(hash_draw(seed, day, entity), entity)
+    """Per day, up to ``per_day`` random entities among those with a transaction on that day.
+
+    A pair stands for a number drawn anew for each day, both ends included.
+    """
+    least, most = (per_day, per_day) if isinstance(per_day, int) else per_day
+    draw = hash_draw(seed, day, entity)
+    chosen = _first_of_group(df.select(day, entity).distinct(), [day], most, entity, draw)
+    if least == most:
+        return chosen
+    number = least + draw_number(hash_draw(seed, F.lit("count"), day), most - least + 1)
+    # At most ``most`` rows a day are left to rank.
+    order = Window.partitionBy(day).orderBy(draw, entity)
     return (
-        seen.withColumn("_position", F.row_number().over(order))
-        .filter(F.col("_position") <= per_day)
+        chosen.withColumn("_position", F.row_number().over(order))
+        .filter(F.col("_position") <= number)
         .drop("_position")
     )

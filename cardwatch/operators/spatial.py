@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from cardwatch.functions.numeric import distance
 
 DEFAULT_RADIUS = 5.0
+# Cells of a wide radius, from its centre to its edge.
+CELLS = 16
 
 
 def terminals_within_radius(
@@ -34,6 +36,85 @@ def customer_terminal_pairs(
     )
 
 
+def terminal_counts_within_radius(
+    customers: DataFrame, terminals: DataFrame, radius: float, cells: int = CELLS
+) -> DataFrame:
+    """Customers with ``nb_terminals`` alone, for a radius that reaches many terminals.
+
+    The plane is cut into cells of a fraction of the radius. Of a cell wholly inside the circle the
+    number of its terminals counts, of one wholly outside nothing; only in the cells that the edge
+    crosses are customers compared with terminals.
+    """
+    inside, edge = _cell_parts(customers, terminals, radius, cells)
+    found = inside.unionByName(_edge_pairs(edge, terminals, radius, cells).select("customer_id", "n"))
+    counts = found.groupBy(F.col("customer_id").alias("_id")).agg(F.sum("n").alias("nb_terminals"))
+    counted = customers.join(counts, F.col("customer_id") == F.col("_id"), "left")
+    number = F.coalesce("nb_terminals", F.lit(0)).cast("long").alias("nb_terminals")
+    return counted.select(*[customers[c] for c in customers.columns], number)
+
+
+def _cell_parts(customers, terminals, radius, cells):
+    """(customer, n) of the cells inside; (customer, place, cell) of those on the edge."""
+    if radius <= 0:
+        raise ValueError("radius must be positive")
+    size = radius / cells
+    places = customers.select(
+        "customer_id", F.col("x_customer_id").alias("_x"), F.col("y_customer_id").alias("_y")
+    ).withColumns({"_cx": F.floor(F.col("_x") / size), "_cy": F.floor(F.col("_y") / size)})
+    totals = _terminal_cells(terminals, size).groupBy("_tx", "_ty").agg(F.count("*").alias("n"))
+    # Cells apart from a customer's own in which anything can be in reach.
+    steps = F.sequence(F.lit(-cells - 2), F.lit(cells + 2))
+    gap_x, gap_y = (F.greatest(F.abs(c) - 1, F.lit(0)) for c in ("_dx", "_dy"))
+    near = (
+        places.select(F.col("_cx").alias("_own_x"), F.col("_cy").alias("_own_y"))
+        .distinct()
+        .withColumn("_dx", F.explode(steps))
+        .withColumn("_dy", F.explode(steps))
+        .filter(gap_x * gap_x + gap_y * gap_y <= (cells + 1) ** 2)
+        .select(
+            "_own_x",
+            "_own_y",
+            (F.col("_own_x") + F.col("_dx")).alias("_tx"),
+            (F.col("_own_y") + F.col("_dy")).alias("_ty"),
+        )
+        .join(totals, ["_tx", "_ty"])
+    )
+    own = (F.col("_cx") == F.col("_own_x")) & (F.col("_cy") == F.col("_own_y"))
+    met = places.join(near, own)
+
+    def reach(pick):
+        """The nearest or the farthest that a point of the cell can be."""
+        parts = []
+        for at, cell in (("_x", "_tx"), ("_y", "_ty")):
+            low, high = F.col(cell) * size, (F.col(cell) + 1) * size
+            parts.append(pick(F.col(at), low, high))
+        return F.sqrt(parts[0] * parts[0] + parts[1] * parts[1])
+
+    farthest = reach(lambda v, low, high: F.greatest(F.abs(v - low), F.abs(v - high)))
+    nearest = reach(lambda v, low, high: F.greatest(low - v, v - high, F.lit(0.0)))
+    # A little slack, so that rounding sends a doubtful cell to the comparison.
+    slack = 1e-9 * (radius + F.abs("_x") + F.abs("_y"))
+    met = met.withColumns({"_far": farthest + slack, "_near": nearest - slack})
+    inside = met.filter(F.col("_far") < radius).select("customer_id", "n")
+    edge = met.filter((F.col("_far") >= radius) & (F.col("_near") < radius))
+    return inside, edge.select("customer_id", "_x", "_y", "_tx", "_ty")
+
+
+def _terminal_cells(terminals, size):
+    return terminals.select(
+        F.col("x_terminal_id").alias("_at_x"),
+        F.col("y_terminal_id").alias("_at_y"),
+        F.floor(F.col("x_terminal_id") / size).alias("_tx"),
+        F.floor(F.col("y_terminal_id") / size).alias("_ty"),
+    )
+
+
+def _edge_pairs(edge, terminals, radius, cells):
+    pairs = edge.join(_terminal_cells(terminals, radius / cells), ["_tx", "_ty"])
+    apart = distance(F.col("_x"), F.col("_y"), F.col("_at_x"), F.col("_at_y"))
+    return pairs.filter(apart < radius).withColumn("n", F.lit(1).cast("long"))
+
+
 def _cell(value: Column, radius: float) -> Column:
     # A little wider than the radius, so that rounding never puts a pair two cells apart.
     return F.floor(value / (radius * (1 + 1e-9)))

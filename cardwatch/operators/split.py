@@ -7,8 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.functions.numeric import draw_below, hash_draw, percent
-from cardwatch.operators.sampling import in_stratified_sample
+from cardwatch.functions.numeric import draw_below, percent, row_draw
+from cardwatch.operators.sampling import id_substitutes, in_stratified_sample
 from cardwatch.schema import LABEL
 
 TRAIN_SHARE = 0.8
@@ -25,12 +25,15 @@ def with_split(
     """Add ``is_train``; one column and no shuffle.
 
     A number is the share of all rows, whatever their labels. A mapping gives a share for each
-    label it names and none for others.
+    label it names and none for others. Rows without an id are dealt out by the columns of
+    ``ID_SUBSTITUTES`` that they have.
     """
     if isinstance(fraction, Mapping):
-        keep = in_stratified_sample(fraction, label=label, id_column=id_column, seed=seed)
+        keep = in_stratified_sample(
+            fraction, label=label, id_column=id_column, substitutes=id_substitutes(df), seed=seed
+        )
     else:
-        keep = draw_below(hash_draw(seed, id_column), fraction)
+        keep = draw_below(row_draw(seed, id_column, *id_substitutes(df)), fraction)
     return df.withColumn("is_train", keep)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,20 +18,22 @@ from cardwatch.operators.sampling import active_entities
 from cardwatch.operators.split import train_test, with_split
 from cardwatch.schema import (
     COMPROMISED_CUSTOMERS_PER_DAY,
+    COMPROMISED_TERMINALS_PER_DAY,
     DELAY_DAYS,
     TRANSACTION_COLUMNS,
     TRANSACTION_SCHEMA,
     WINDOW_DAYS,
 )
-from cardwatch.session import stored, use_utc
-from cardwatch.sources.readers import Paths, scan
-from cardwatch.sources.writers import convert_csv, write_day_copies
+from cardwatch.session import scratch, stored, use_utc
+from cardwatch.sources.readers import Paths, scan, scan_day_folders
+from cardwatch.sources.writers import convert_csv, run_days, write_day_copies
 
 
 def convert_job(spark: SparkSession, source: Paths, targets: Sequence[str]) -> None:
     """Raw CSV files to Parquet at every target."""
     use_utc(spark)
-    convert_csv(spark, source, targets)
+    with scratch(spark):
+        convert_csv(spark, source, targets)
 
 
 def features_for_days(
@@ -71,14 +74,27 @@ def feature_job(
     last: Day,
     *,
     fmt: str = "parquet",
+    day_folders: bool = False,
     **options,
 ) -> None:
-    """Compute the features of the days and replace those days at every output."""
+    """Compute the features of the days and replace those days at every output.
+
+    With ``day_folders`` the inputs are roots of ``YYYY-MM-DD.parquet`` folders: only those of the
+    days and their history are listed, and missing ones are skipped.
+    """
     use_utc(spark)
-    schema = TRANSACTION_SCHEMA if fmt == "csv" else None
-    table = features_for_days(scan(spark, inputs, fmt, schema), first, last, **options)
+    if day_folders:
+        reach = options.get("lookback")
+        if reach is None:
+            reach = lookback_days(options.get("windows", WINDOW_DAYS), options.get("delay", DELAY_DAYS))
+        start = as_date(first) - dt.timedelta(days=reach)
+        rows = scan_day_folders(spark, inputs, start, last, TRANSACTION_SCHEMA)
+    else:
+        rows = scan(spark, inputs, fmt, TRANSACTION_SCHEMA if fmt == "csv" else None)
     days = F.col(PARTITION_DAY).between(F.lit(as_date(first)), F.lit(as_date(last)))
-    write_day_copies(table, outputs, days, order=["transaction_id"])
+    with scratch(spark):
+        table = features_for_days(rows, first, last, **options)
+        write_day_copies(table, outputs, days, order=["transaction_id"])
 
 
 def label_job(
@@ -92,20 +108,26 @@ def label_job(
     """Label transactions and write them by day.
 
     By default the over-limit rule and a daily sample; ``by_lists`` draws compromised terminals
-    and customers from those active on each day.
+    and customers from those active on each day. Every output gets the days of the inputs; other
+    days that it holds stay as they are.
     """
     use_utc(spark)
     rows = scan(spark, inputs, "parquet", None)
     rows = rows.select(*TRANSACTION_COLUMNS)
-    if by_lists:
-        terminals = active_entities(rows, "terminal_id", 1, seed=seed + 1)
-        customers = active_entities(
-            rows, "customer_id", COMPROMISED_CUSTOMERS_PER_DAY, seed=seed + 2
-        )
-        labelled = label_by_lists(rows, terminals, customers, seed=seed + 3)
-    else:
-        labelled = label_by_daily_sample(rows, seed=seed)
-    write_day_copies(labelled.select(*TRANSACTION_COLUMNS), outputs, order=["transaction_id"])
+    with scratch(spark):
+        days = run_days(rows) if len(outputs) > 1 else None
+        if by_lists:
+            terminals = active_entities(
+                rows, "terminal_id", COMPROMISED_TERMINALS_PER_DAY, seed=seed + 1
+            )
+            customers = active_entities(
+                rows, "customer_id", COMPROMISED_CUSTOMERS_PER_DAY, seed=seed + 2
+            )
+            labelled = label_by_lists(rows, terminals, customers, seed=seed + 3)
+        else:
+            labelled = label_by_daily_sample(rows, seed=seed)
+        labelled = labelled.select(*TRANSACTION_COLUMNS)
+        write_day_copies(labelled, outputs, days, order=["transaction_id"])
 
 
 def training_job(
@@ -128,6 +150,17 @@ def training_job(
     ``search_rows`` bounds the train rows on which draws are compared; see ``model.run_search``.
     """
     use_utc(spark)
+    with scratch(spark):
+        record = _training_record(
+            spark, inputs, model_path, first, last, fraction, draws, folds, parallelism, search_rows, seed, ranges
+        )
+        # One row; kept, as the tables it comes from go.
+        return spark.createDataFrame(record.collect(), record.schema)
+
+
+def _training_record(
+    spark, inputs, model_path, first, last, fraction, draws, folds, parallelism, search_rows, seed, ranges
+):
     rows = between_days(scan(spark, inputs, "parquet", None), first, last)
     train, test = train_test(rows, fraction, seed=seed)
     pipeline = ml.forest_pipeline(seed=seed)

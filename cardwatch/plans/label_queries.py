@@ -15,26 +15,35 @@ from cardwatch.plans.tables import (
     PLACES_SQL,
     TX_LIST,
     TX_SQL,
+    as_text,
     customer_places,
     order_lines,
     plain,
     terminal_places,
     transactions,
 )
-from cardwatch.schema import COMPROMISED_CUSTOMERS_PER_DAY, TRANSACTION_COLUMNS
-
-TERMINALS_PER_DAY = 1
-
+from cardwatch.schema import (
+    COMPROMISED_CUSTOMERS_PER_DAY,
+    COMPROMISED_TERMINALS_PER_DAY,
+    TRANSACTION_COLUMNS,
+)
 
-def _active_sql(name: str, entity: str, per_day: int, seed: int) -> str:
+def _active_sql(name: str, entity: str, per_day: str, seed: int) -> str:
     return f"""{name} AS (SELECT tx_time_days, {entity} FROM (
   SELECT *, row_number() OVER (PARTITION BY tx_time_days
     ORDER BY md5('{seed}:' || tx_time_days || ':' || {entity}), {entity}) AS pos
   FROM (SELECT DISTINCT tx_time_days, {entity} FROM tx)) WHERE pos <= {per_day})"""
 
 
-_TERMINALS_SQL = _active_sql("lt", "terminal_id", TERMINALS_PER_DAY, 1)
-_CUSTOMERS_SQL = _active_sql("lc", "customer_id", COMPROMISED_CUSTOMERS_PER_DAY, 2)
+# None or one terminal, by a draw of the day.
+_TERMINALS_SQL = _active_sql(
+    "lt",
+    "terminal_id",
+    "CAST('0x' || substr(md5('1:count:' || tx_time_days), 1, 8) AS BIGINT) % 2",
+    1,
+)
+_CUSTOMERS_SQL = _active_sql("lc", "customer_id", str(COMPROMISED_CUSTOMERS_PER_DAY), 2)
+_TWO_TERMINALS_SQL = _active_sql("lt", "terminal_id", "2", 1)
 
 _MATCHES_SQL = """m AS (
   SELECT lc.tx_time_days AS list_day, tx.* FROM tx JOIN lc ON tx.customer_id = lc.customer_id
@@ -57,7 +66,7 @@ lab AS (SELECT * REPLACE (greatest(over_limit, on_terminal * 2, on_customer * 3)
 
 
 def _terminals(rows):
-    return sm.active_entities(rows, "terminal_id", TERMINALS_PER_DAY, seed=1)
+    return sm.active_entities(rows, "terminal_id", COMPROMISED_TERMINALS_PER_DAY, seed=1)
 
 
 def _customers(rows):
@@ -74,6 +83,11 @@ def active_terminal_sample(spark, sf):
     return _terminals(transactions(spark, sf))
 
 
+@query("active_terminal_sample_of_two", f"WITH {TX_SQL}, {_TWO_TERMINALS_SQL} SELECT * FROM lt")
+def active_terminal_sample_of_two(spark, sf):
+    return sm.active_entities(transactions(spark, sf), "terminal_id", 2, seed=1)
+
+
 @query("active_customer_sample", f"WITH {TX_SQL}, {_CUSTOMERS_SQL} SELECT * FROM lc")
 def active_customer_sample(spark, sf):
     return _customers(transactions(spark, sf))
@@ -147,6 +161,16 @@ def daily_sample(spark, sf):
     return plain(sm.sample_rows_per_group(transactions(spark, sf), ["tx_time_days"]))
 
 
+LARGE_SAMPLE = 1500
+
+
+@query("daily_sample_large", f"WITH {_DAILY_SQL} SELECT {TX_LIST} FROM r WHERE pos <= {LARGE_SAMPLE}")
+def daily_sample_large(spark, sf):
+    """More rows a day than Spark cuts ahead of a window."""
+    rows = transactions(spark, sf)
+    return plain(sm.sample_rows_per_group(rows, ["tx_time_days"], LARGE_SAMPLE))
+
+
 @query(
     "labels_by_daily_sample",
     f"""WITH {_DAILY_SQL}, lab AS (SELECT * REPLACE (CAST(CASE WHEN pos <= 10 THEN 2
@@ -202,7 +226,7 @@ def terminals_within_radius(spark, sf):
     f"SELECT customer_id, nb_terminals FROM ({_radius_sql(50)})",
 )
 def terminals_within_wide_radius(spark, sf):
-    return spatial.terminals_within_radius(
+    return spatial.terminal_counts_within_radius(
         customer_places(spark, sf), terminal_places(spark, sf), 50
     ).select("customer_id", "nb_terminals")
 
@@ -228,6 +252,25 @@ def stratified_split(spark, sf):
     return sp.with_split(transactions(spark, sf)).select("transaction_id", "tx_fraud", "is_train")
 
 
+_NO_ID_SQL = r"""coalesce(md5('42:' || id),
+  md5('42:\N:' || tx_time_seconds || ':' || customer_id || ':' || terminal_id))"""
+
+
+@query(
+    "split_without_ids",
+    f"""WITH {TX_SQL}, n AS (
+  SELECT *, CASE WHEN customer_id % 3 > 0 THEN transaction_id END AS id FROM tx)
+SELECT CAST(id AS VARCHAR) AS transaction_id, tx_datetime, customer_id, terminal_id,
+  substr({_NO_ID_SQL}, 1, 8) < 'cccccccd' AS is_train FROM n""",
+)
+def split_without_ids(spark, sf):
+    """Rows without an id are dealt out by their time, customer and terminal."""
+    kept = F.when(F.col("customer_id") % 3 > 0, F.col("transaction_id"))
+    rows = sp.with_split(transactions(spark, sf).withColumn("transaction_id", kept))
+    named = rows.select("transaction_id", "tx_datetime", "customer_id", "terminal_id", "is_train")
+    return plain(as_text(named, "transaction_id"))
+
+
 @query(
     "stratified_sample",
     f"""WITH {TX_SQL} SELECT {TX_LIST} FROM tx WHERE tx_fraud = 1

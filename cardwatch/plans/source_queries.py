@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cardwatch.functions.numeric import file_stem
 from cardwatch.operators.filters import between_days
 from cardwatch.plans.jobs import convert_job, feature_job, label_job
 from cardwatch.plans.registry import query
@@ -137,13 +136,45 @@ def csv_to_parquet_by_file(spark, sf):
     _write_csv(rows.repartition("tx_time_days"), raw)
     convert_job(spark, raw, targets)
     origin = readers.scan_csv(spark, raw).select(
-        "transaction_id", file_stem(F.col("_metadata.file_name")).alias("_stem")
+        "transaction_id", readers.source_stem().alias("_stem")
     )
     stored = writers.read_converted(spark, targets[1]).join(origin, "transaction_id")
     same = F.col("source_file") == F.col("_stem")
     return plain(stored.select(*TRANSACTION_COLUMNS, same.alias("same_file")))
 
 
+# File names with characters that paths, URLs and folder names write differently.
+ODD_STEMS = ("a b", "50% off", "x+y", "100%25=é")
+_STEMS_SQL = " ".join(f"WHEN {i} THEN '{stem}'" for i, stem in enumerate(ODD_STEMS))
+
+
+def _rename(spark, source, target):
+    """Move a file or folder that this query has written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(target).getParent())
+    for status in files.globStatus(path(source)):
+        files.rename(status.getPath(), path(target))
+
+
+@query(
+    "csv_odd_file_names",
+    f"""WITH {TX_SQL} SELECT {TX_LIST}, CASE transaction_id % {len(ODD_STEMS)} {_STEMS_SQL} END
+  AS source_file FROM tx""",
+)
+def csv_odd_file_names(spark, sf):
+    """Each output folder has the true name of its file, at both targets."""
+    raw = scratch_path(spark, "raw")
+    targets = [scratch_path(spark, name) for name in ("converted", "converted-copy")]
+    rows = transactions(spark, sf)
+    for i, stem in enumerate(ODD_STEMS):
+        part = scratch_path(spark, "part")
+        _write_csv(rows.filter(F.col("transaction_id") % len(ODD_STEMS) == i).coalesce(1), part)
+        _rename(spark, f"{part}/part-*", f"{raw}/{stem}.txt")
+    convert_job(spark, raw, targets)
+    return plain(writers.read_converted(spark, targets[1]))
+
+
 @query(
     "day_partitioned_sink",
     f"WITH {TX_SQL} SELECT {TX_LIST}, CAST(CAST(tx_datetime AS DATE) AS VARCHAR) AS tx_date FROM tx",
@@ -171,6 +202,24 @@ def feature_job_output(spark, sf):
     return plain(spark.read.parquet(targets[1]))
 
 
+@query(
+    "feature_job_day_folders",
+    f"SELECT *, CAST(CAST(tx_datetime AS DATE) AS VARCHAR) AS tx_date FROM ({features_sql()}) "
+    "WHERE tx_datetime >= '2024-01-20' AND tx_datetime < '2024-01-25'",
+)
+def feature_job_day_folders(spark, sf):
+    """Input as one folder ``YYYY-MM-DD.parquet`` a day; days after the output are missing."""
+    days, root = scratch_path(spark, "days"), scratch_path(spark, "root")
+    target = scratch_path(spark, "features")
+    rows = between_days(transactions(spark, sf), "2024-01-01", OUTPUT_DAYS[1])
+    writers.write_days(rows, days)
+    written = spark.read.parquet(days).select("tx_date").distinct().collect()  # one row a day
+    for row in written:
+        _rename(spark, f"{days}/tx_date={row[0]}", f"{root}/{row[0]}.parquet")
+    feature_job(spark, root, [target], *OUTPUT_DAYS, day_folders=True)
+    return plain(spark.read.parquet(target))
+
+
 @query(
     "label_job",
     f"""WITH {TX_SQL}, r AS (

@@ -32,6 +32,10 @@ CUSTOMER_SCENARIO_DAYS = 7
 CUSTOMER_SCENARIO_SHARE = (1, 3)
 DAILY_SAMPLE_ROWS = 10
 COMPROMISED_CUSTOMERS_PER_DAY = 50
+COMPROMISED_TERMINALS_PER_DAY = (0, 1)  # either, by chance
+
+# Columns that tell rows without an id apart.
+ID_SUBSTITUTES = ("tx_time_seconds", "customer_id", "terminal_id")
 
 LABEL = "tx_fraud"
 

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+_MADE: dict[str, list[str]] = {}
+_SCOPE: ContextVar[str | None] = ContextVar("scratch scope", default=None)
 
 
 def build_session(name: str = "cardwatch", master: str | None = None, **conf: str) -> SparkSession:
@@ -26,25 +34,69 @@ def build_session(name: str = "cardwatch", master: str | None = None, **conf: st
 
 
 def use_utc(spark: SparkSession) -> None:
-    """Weekday, hour and day boundaries follow the session zone; all results are defined in UTC."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+    """Weekday, hour and day boundaries follow the session zone; all results are defined in UTC.
+
+    A session in another zone is switched, with a warning.
+    """
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "Z"):
+        warnings.warn(f"session zone {zone} is set to UTC, in which days are defined", stacklevel=3)
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the folder the cluster shares in ``spark.checkpoint.dir``.
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``, or the one set on the context.
 
-    Only a session without that setting (a local test) gets a temporary folder.
+    Only a local session without either (a test) gets a temporary folder, deleted when Python ends.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
-        app = spark.sparkContext.applicationId
-        shared = _LOCAL_SCRATCH.get(app)
-        if shared is None:
-            if not spark.sparkContext.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-            shared = _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="cardwatch-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        shared = _LOCAL_SCRATCH.get(context.applicationId)
+    if not shared:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+        shared = tempfile.mkdtemp(prefix="cardwatch-")
+        _LOCAL_SCRATCH[context.applicationId] = shared
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
+    return shared.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder, or below that of the :func:`scratch` scope around it."""
+    path = f"{_SCOPE.get() or _shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if _SCOPE.get() is None:
+        _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str = "scope") -> Iterator[str]:
+    """Derived tables written inside are deleted at its end, also after an error.
+
+    For work whose result does not read them any more, such as a job that writes its own outputs.
+    """
+    path = f"{_SCOPE.get() or _shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    token = _SCOPE.set(path)
+    try:
+        yield path
+    finally:
+        _SCOPE.reset(token)
+        _delete(spark, path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the derived tables that this session wrote outside of a :func:`scratch` scope.
+
+    DataFrames that read them cannot be used any more.
+    """
+    for path in _MADE.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

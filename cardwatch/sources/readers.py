@@ -5,10 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cardwatch.functions.calendar import Day, as_date, days_between_inclusive
+from cardwatch.functions.numeric import decoded, file_stem
 from cardwatch.schema import TRANSACTION_SCHEMA
 
 Paths = str | Sequence[str]
@@ -59,7 +61,19 @@ def day_folders(root: str, first: Day, last: Day) -> str:
 
 
 def scan_day_folders(
-    spark: SparkSession, root: str, first: Day, last: Day, schema: StructType | None = None
+    spark: SparkSession, roots: Paths, first: Day, last: Day, schema: StructType | None = None
 ) -> DataFrame:
-    glob = [day_folders(root, first, last)]
-    return scan_parquet(spark, glob, schema)
+    """The folders ``YYYY-MM-DD.parquet`` of the days below each root; missing days are skipped."""
+    globs = [day_folders(root, first, last) for root in split_paths(roots)]
+    return scan_parquet(spark, globs, schema)
+
+
+def listed_files(spark: SparkSession, paths: Paths) -> DataFrame:
+    """``path`` and ``stem`` of the input files, as a table; nothing of them is read."""
+    files = spark.read.format("binaryFile").load(split_paths(paths))
+    return files.select("path", file_stem("path").alias("stem"))
+
+
+def source_stem() -> Column:
+    """The stem of the file that a scanned row comes from."""
+    return file_stem(decoded(F.col("_metadata.file_name")))

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from cardwatch.functions.numeric import file_stem
 from cardwatch.operators.filters import PARTITION_DAY
 from cardwatch.schema import TRANSACTION_SCHEMA
-from cardwatch.sources.readers import Paths, scan_csv
+from cardwatch.session import stored
+from cardwatch.sources.readers import Paths, listed_files, scan_csv, source_stem
 
 PARTITION_FILE = "source_file"
 
@@ -57,31 +56,57 @@ def write_days(
     )
 
 
+def run_days(df: DataFrame, ts: str = "tx_datetime") -> DataFrame:
+    """The days of a run as a small written table; reads nothing but the time of the rows."""
+    return stored(df.select(F.to_date(ts).alias("run_day")).distinct(), "run-days")
+
+
 def write_day_copies(
-    df: DataFrame, paths: Sequence[str], days: Column | None = None, **options
+    df: DataFrame,
+    paths: Sequence[str],
+    days: Column | DataFrame | None = None,
+    *,
+    ts: str = "tx_datetime",
+    **options,
 ) -> None:
-    """:func:`write_days` at several places; the later places copy ``days`` of the first."""
+    """:func:`write_days` at several places. The later places get the days of this run alone from
+    the first, however many it holds.
+
+    ``days`` is a condition for them or a table of :func:`run_days`; without it they are taken from
+    ``df``, which then is read twice.
+    """
     first, *others = paths
-    write_days(df, first, **options)
+    if others and days is None:
+        days = run_days(df, ts)
+    write_days(df, first, ts=ts, **options)
     for path in others:
         written = df.sparkSession.read.parquet(first)
-        written = written if days is None else written.filter(days)
-        write_days(written.select(*df.columns), path, **options)
+        if isinstance(days, DataFrame):
+            mine = F.col(PARTITION_DAY).eqNullSafe(F.col("run_day"))
+            written = written.join(days, mine, "left_semi")
+        else:
+            written = written.filter(days)
+        write_days(written.select(*df.columns), path, ts=ts, **options)
 
 
 def convert_csv(spark: SparkSession, source: Paths, targets: Sequence[str]) -> None:
     """CSV files to Parquet, one ``source_file=<stem>`` folder per input file, in one job.
 
-    The text is parsed once; further targets copy the folders just written.
+    The text is parsed once; further targets copy the folders just written. Two input files of one
+    name would share a folder, so they are refused before anything is written.
     """
     first, *others = targets
+    files = stored(listed_files(spark, source), "input-files")
+    twice = files.groupBy("stem").agg(F.count("*").alias("n"), F.min("path").alias("path"))
+    clash = twice.filter("n > 1").orderBy("stem").first()
+    if clash:
+        raise ValueError(f"{clash['n']} input files are named {clash['stem']!r}, such as {clash['path']}")
     rows = scan_csv(spark, source, TRANSACTION_SCHEMA)
-    _write_files(rows.withColumn(PARTITION_FILE, file_stem(F.col("_metadata.file_name"))), first)
-    if others:
-        stems = sorted({PurePosixPath(name).stem for name in rows.inputFiles()})
-        stored = read_converted(spark, first).filter(F.col(PARTITION_FILE).isin(stems))
-        for path in others:
-            _write_files(stored, path)
+    _write_files(rows.withColumn(PARTITION_FILE, source_stem()), first)
+    for path in others:
+        written = read_converted(spark, first)
+        mine = written.join(files, F.col(PARTITION_FILE) == F.col("stem"), "left_semi")
+        _write_files(mine, path)
 
 
 def read_converted(spark: SparkSession, path: str) -> DataFrame:

@@ -165,3 +165,54 @@ def test_subtract_drops_the_other_copies(spark):
     train = spark.createDataFrame([(3,), (1,)], "v int")
     assert [r[0] for r in sp.test_by_subtract(rows, train).collect()] == [2]
     assert sorted(r[0] for r in sp.test_by_except_all(rows, train).collect()) == [1, 2, 2]
+
+
+@pytest.mark.parametrize("rows", [1, 7, 40, 41, 500])
+def test_large_daily_samples_are_cut_without_a_window_over_the_day(make, monkeypatch, rows):
+    df = make([{"s": i % 3 * DAY + i} for i in range(120)])
+    want = ids(sm.sample_rows_per_group(df, ["tx_time_days"], rows))
+    monkeypatch.setattr(sm, "_GROUP_LIMIT", 0)
+    got = sm.sample_rows_per_group(df, ["tx_time_days"], rows)
+    assert ids(got) == want and len(want) == min(rows, 40) * 3
+    plan = plan_of(got)
+    assert "Window" not in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_entities_without_a_limit(make, monkeypatch):
+    df = make([{"s": DAY * (i % 3), "customer_id": i % 50} for i in range(400)])
+
+    def drawn(per_day):
+        return sorted(map(tuple, sm.active_entities(df, "customer_id", per_day).collect()))
+
+    want = {k: drawn(k) for k in (2, 30, (0, 1), (3, 9))}
+    monkeypatch.setattr(sm, "_GROUP_LIMIT", 1)
+    assert {k: drawn(k) for k in want} == want
+
+
+def test_none_or_one_entity_a_day(make):
+    df = make([{"s": DAY * (i % 40), "terminal_id": i % 11} for i in range(400)])
+    got = sm.active_entities(df, "terminal_id", (0, 1), seed=1)
+    counts = {r[0]: r[1] for r in got.groupBy("tx_time_days").count().collect()}
+    assert set(counts.values()) == {1} and 10 <= len(counts) <= 30
+    expected = {d for d in range(40) if int(draw(1, "count", d)[:8], 16) % 2}
+    assert set(counts) == expected
+
+
+def test_rows_without_an_id_fall_on_both_sides(make):
+    df = make([{"s": i, "customer_id": i % 9, "transaction_id": None} for i in range(400)])
+    train, test = sp.train_test(df)
+    assert 280 < train.count() < 360 and train.count() + test.count() == 400
+    train, _ = sp.train_test(df, {0: 0.5})
+    assert 150 < train.count() < 250
+    narrow = df.select("transaction_id", "tx_amount")
+    assert sp.train_test(narrow)[0].count() in (0, 400)
+
+
+def test_matches_of_a_list_are_read_once(spark, make, monkeypatch):
+    """Cuts and days of the customer list come from one narrow table."""
+    names = []
+    stored = lb.stored
+    monkeypatch.setattr(lb, "stored", lambda df, name: names.append(name) or stored(df, name))
+    lists = listed(spark, [(0, 1)], "terminal_id"), listed(spark, [(0, 1)], "customer_id")
+    lb.label_by_lists(make([{}] * 4), *lists)
+    assert names == ["terminal-days", "customer-matches", "drawn-customer-days"]

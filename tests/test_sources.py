@@ -1,16 +1,18 @@
 import datetime as dt
+import hashlib
 import os
 
 import pytest
 from conftest import plan_of, rows_by_id
 from pyspark.sql import functions as F
 
+from cardwatch import session
 from cardwatch.functions.numeric import file_stem
 from cardwatch.operators.filters import between_days, trailing_days, with_lookback
 from cardwatch.operators.ordering import add_chronological_id
 from cardwatch.plans.jobs import convert_job, feature_job, label_job
 from cardwatch.schema import TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
-from cardwatch.session import scratch_path
+from cardwatch.session import clear_scratch, scratch, scratch_path, stored, use_utc
 from cardwatch.sources import readers, writers
 
 DAY = 86400
@@ -140,7 +142,7 @@ def test_label_job_by_lists(spark, make, tmp_path):
         [{"s": i * 7919 % (9 * DAY), "customer_id": i % 4, "terminal_id": i % 6} for i in range(200)]
     )
     writers.write_days(df, source)
-    label_job(spark, source, [target], by_lists=True)
+    label_job(spark, source, [target], by_lists=True, seed=1)
     stored = spark.read.parquet(target)
     assert stored.count() == 200
     assert {r[0] for r in stored.select("tx_fraud_scenario").distinct().collect()} == {0, 2, 3}
@@ -182,6 +184,103 @@ def test_file_stem(spark):
     assert got == ["2024-01-01", "x.tar", "plain", ".hidden", "name"]
 
 
+def digests(path):
+    return {f: hashlib.sha256(open(os.path.join(path, f), "rb").read()).hexdigest() for f in files(path)}
+
+
+@pytest.mark.parametrize("by_lists", [False, True])
+def test_second_label_day_leaves_the_first_as_it_is(spark, make, tmp_path, by_lists):
+    outputs = [str(tmp_path / "a"), str(tmp_path / "b")]
+    for day in (0, 1):
+        source = str(tmp_path / f"in{day}")
+        writers.write_days(make([{"s": day * DAY + i * 60, "customer_id": i % 4} for i in range(50)]), source)
+        label_job(spark, source, outputs, by_lists=by_lists)
+        if day == 0:
+            before = [digests(p) for p in outputs]
+    for path, old in zip(outputs, before):
+        new = digests(path)
+        assert len(old) == 1 and len(new) == 2 and old.items() <= new.items()
+        assert spark.read.parquet(path).count() == 100
+
+
+def test_copies_hold_the_days_of_the_run_alone(spark, make, tmp_path):
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    writers.write_days(make([{"s": d * DAY} for d in range(4)]), a)
+    run = make([{"s": 2 * DAY + 5}, {"s": None}, {"s": 9 * DAY}])
+    writers.write_day_copies(run, [a, b])
+    days = {f.split("/")[0] for f in files(b)}
+    assert days == {"tx_date=2024-01-03", "tx_date=2024-01-10", "tx_date=__HIVE_DEFAULT_PARTITION__"}
+    assert spark.read.parquet(a).count() == 6 and spark.read.parquet(b).count() == 3
+
+
+def test_convert_keeps_true_names_and_refuses_clashes(spark, tmp_path):
+    raw, out, copy = tmp_path / "raw", tmp_path / "out", tmp_path / "copy"
+    raw.mkdir()
+    names = ["a b", "50% off", "x+y", "a%20b", "é=1", "v1.2"]
+    for i, name in enumerate(names):
+        (raw / f"{name}.txt").write_text(f"{i},2024-01-01 10:00:00,5,6,7.5,0,0,0,0\n")
+    convert_job(spark, str(raw), [str(out), str(copy)])
+    for path in (out, copy):
+        got = writers.read_converted(spark, str(path)).select("transaction_id", "source_file").collect()
+        assert {r[0]: r[1] for r in got} == dict(enumerate(names))
+    (raw / "x+y.csv").write_text("9,2024-01-01 10:00:00,5,6,7.5,0,0,0,0\n")
+    with pytest.raises(ValueError, match=r"2 input files are named 'x\+y'"):
+        convert_job(spark, str(raw), [str(tmp_path / "new")])
+    assert not (tmp_path / "new").exists()
+
+
+def test_feature_job_reads_day_folders(spark, make, tmp_path):
+    df = make([{"s": i * 7919 % (30 * DAY), "customer_id": i % 4} for i in range(300)])
+    whole, root, a, b = (str(tmp_path / n) for n in ("in", "root", "a", "b"))
+    writers.write_days(df, whole)
+    for d in range(30):
+        day = (dt.date(2024, 1, 1) + dt.timedelta(days=d)).isoformat()
+        if d != 12:  # a missing day
+            writers.overwrite(between_days(df, day, day), f"{root}/{day}.parquet")
+    kept = spark.read.parquet(whole).filter("tx_date <> '2024-01-13'")
+    writers.write_days(kept.drop("tx_date"), f"{tmp_path}/less")
+    feature_job(spark, f"{tmp_path}/less", [a], "2024-01-20", "2024-01-21")
+    feature_job(spark, root, [b], "2024-01-20", "2024-01-21", day_folders=True)
+    one, two = spark.read.parquet(a), spark.read.parquet(b)
+    assert one.count() > 0 and one.exceptAll(two).count() == two.exceptAll(one).count() == 0
+    files_read = readers.scan_day_folders(spark, root, "2024-01-06", "2024-01-21").inputFiles()
+    assert len({os.path.dirname(f) for f in files_read}) == 15
+
+
+def tree(path):
+    return [os.path.join(root, f) for root, _, names in os.walk(path) for f in names]
+
+
+def test_jobs_leave_no_scratch_behind(spark, make, tmp_path, monkeypatch):
+    shared = str(tmp_path / "shared")
+    monkeypatch.setattr(session, "_shared_folder", lambda spark: shared)
+    monkeypatch.setattr(session, "_MADE", {})
+    source, outputs = str(tmp_path / "in"), [str(tmp_path / "a"), str(tmp_path / "b")]
+    writers.write_days(make([{"s": i * 7919 % (9 * DAY), "customer_id": i % 4} for i in range(90)]), source)
+    label_job(spark, source, outputs, by_lists=True)
+    feature_job(spark, outputs[0], [str(tmp_path / "c")], "2024-01-05", "2024-01-06")
+    assert tree(shared) == []
+    with pytest.raises(RuntimeError, match="in the middle"):
+        with scratch(spark) as folder:
+            stored(make([{}]), "half")
+            assert tree(folder)
+            raise RuntimeError("in the middle")
+    assert tree(shared) == []
+    kept = stored(make([{}]), "kept")
+    with scratch(spark):
+        assert stored(kept, "inner").count() == 1
+    assert kept.count() == 1 and tree(shared)
+    clear_scratch(spark)
+    assert tree(shared) == []
+
+
+def test_another_zone_is_told(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    with pytest.warns(UserWarning, match="Europe/Paris"):
+        use_utc(spark)
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
 def test_scratch_follows_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     path = scratch_path(spark, "x")

@@ -4,7 +4,12 @@ import random
 import pytest
 from conftest import plan_of
 
-from cardwatch.operators.spatial import customer_terminal_pairs, terminals_within_radius
+from cardwatch.operators import spatial
+from cardwatch.operators.spatial import (
+    customer_terminal_pairs,
+    terminal_counts_within_radius,
+    terminals_within_radius,
+)
 
 
 def places(spark, kind, points):
@@ -68,3 +73,43 @@ def test_radius_must_be_positive(spark):
         terminals_within_radius(
             places(spark, "customer", [(0.0, 0.0)]), places(spark, "terminal", [(1.0, 1.0)]), 0
         )
+
+
+@pytest.mark.parametrize("radius, cells", [(0.7, 4), (5, 16), (50, 2), (50, 16), (200, 16)])
+def test_counts_match_all_pairs(spark, radius, cells):
+    chance = random.Random(int(radius * 10) + cells)
+
+    def some(n):
+        # Whole numbers put many pairs at exactly the radius and many places on cell borders.
+        return [(chance.uniform(-20, 100), float(chance.randrange(100))) for _ in range(n)] + [
+            (float(chance.randrange(0, 100, 5)), float(chance.randrange(0, 100, 5))) for _ in range(n)
+        ]
+
+    customers, terminals = some(40), some(60)
+    df = places(spark, "customer", customers).withColumn("n", spatial.F.lit(5))
+    got = terminal_counts_within_radius(df, places(spark, "terminal", terminals), radius, cells)
+    assert got.columns == ["customer_id", "x_customer_id", "y_customer_id", "n", "nb_terminals"]
+    found = {r["customer_id"]: r["nb_terminals"] for r in got.collect()}
+    assert found == {c: len(t) for c, t in by_hand(customers, terminals, radius).items()}
+
+
+def test_counts_of_missing_places_and_no_terminals(spark):
+    customers = places(spark, "customer", [(None, 1.0), (2.0, 2.0)])
+    none = places(spark, "terminal", [])
+    assert [r["nb_terminals"] for r in terminal_counts_within_radius(customers, none, 9).collect()] == [0, 0]
+    some = places(spark, "terminal", [(2.0, 2.5), (None, None)])
+    got = terminal_counts_within_radius(customers, some, 9).orderBy("customer_id").collect()
+    assert [r["nb_terminals"] for r in got] == [0, 1]
+
+
+def test_few_pairs_are_compared_at_a_wide_radius(spark):
+    chance = random.Random(1)
+
+    def some(n):
+        return [(chance.uniform(0, 100), chance.uniform(0, 100)) for _ in range(n)]
+
+    customers, terminals = places(spark, "customer", some(200)), places(spark, "terminal", some(2000))
+    inside, edge = spatial._cell_parts(customers, terminals, 50, 32)
+    compared = edge.join(spatial._terminal_cells(terminals, 50 / 32), ["_tx", "_ty"]).count()
+    counted = inside.agg(spatial.F.sum("n")).first()[0]
+    assert compared < 0.1 * 200 * 2000 and counted > 5 * compared
