@@ -40,7 +40,6 @@ from cardwatch.llm.registry import query
 LENGTH = 200
 GRAM = 32
 SEGMENT = 1 << 20  # bytes worked on at a time
-LEAD = 48  # leading bytes that ranges are made of, which is what the sampled splitters hold
 CLASSES_PER_TASK = 40_000
 _BASE = 0x9E3779B97F4A7C15
 _RNG = np.random.default_rng(8)
@@ -296,6 +295,7 @@ def repeated_windows(
     member: np.ndarray,
     length: int,
     by_left: bool,
+    gram: int = GRAM,
 ):
     """Windows of the runs of one bucket that are found in another run of it, and those to compare
     across the bucket's boundaries.
@@ -304,28 +304,26 @@ def repeated_windows(
     ``member[o]`` tells which runs have a window that starts ``o`` bytes before the anchor. Such a
     window is the first ``o`` bytes of ``back`` and the first ``length - o`` of ``right``. Strings
     with a common prefix lie together in sorted order, so a number per prefix length comes from the
-    common prefixes of neighbours; two windows are equal when both numbers are. Yields (o, runs that
-    repeat, one run for each different window at a boundary).
+    common prefixes of neighbours; two windows are equal when both numbers are. Left contexts are
+    sorted behind their gram, as their ranges are, so only those of one gram are neighbours. Yields
+    (o, runs that repeat, one run for each different window at a boundary).
     """
     m = len(right)
-    r, l = _matrix(right, length), _matrix(back, len(member))
+    r = _matrix(right, length)
+    l = _matrix([x[:gram] + y for x, y in zip(right, back)], gram + len(member))
     r_order, l_order = multikey_order(r), multikey_order(l)
     r_common, l_common = _common(r, r_order), _common(l, l_order)
     ends = l_order[[0, -1]] if by_left else r_order[[0, -1]]
-    r_group, l_group, side = np.empty(m, np.int64), np.empty(m, np.int64), np.empty(m, np.int64)
+    r_group, l_group = np.empty(m, np.int64), np.empty(m, np.int64)
     for o in range(len(member)):
         at = np.flatnonzero(member[o])
         if not len(at):
             continue
         r_group[r_order] = np.cumsum(r_common < length - o)
-        l_group[l_order] = np.cumsum(l_common < o)
+        l_group[l_order] = np.cumsum(l_common < gram + o)
         key = r_group[at] * (m + 1) + l_group[at]
         _, first, which, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-        # Ranges are ordered by leading bytes alone, so only these can tell buckets apart.
-        if by_left:
-            side[l_order] = np.cumsum(l_common < min(o, LEAD))
-        else:
-            side[r_order] = np.cumsum(r_common < min(length - o, LEAD))
+        side = l_group if by_left else r_group
         yield o, at[count[which] > 1], at[first[np.isin(side[at[first]], side[ends])]]
 
 
@@ -336,12 +334,13 @@ def _bucket_results(runs: DataFrame, length: int, gram: int, parts: int, by_left
     """``row``, ``s``, ``e`` of windows that repeat in their bucket (``n`` is null), and the runs
     with windows that must be compared with those of other buckets, their offsets in ``os``.
 
-    Buckets are ranges of the first ``LEAD`` bytes of the suffix, then of the place of the run, so
-    that many equal suffixes may fall into several buckets. A window equal to one in another bucket
-    agrees, in those bytes of its right part, with the first or the last suffix of its own, since all
-    suffixes between the two begin alike.
-    ``by_left`` deals by the left context instead, and the same holds for the left part: passages
-    with one right context and many left ones are told apart there. ``os`` null stands for all.
+    Buckets are ranges of the suffix, then of the place of the run, so that many equal suffixes may
+    fall into several buckets. A window equal to one in another bucket agrees, in its right part,
+    with the first or the last suffix of its own, since all suffixes between the two begin alike.
+    ``by_left`` deals by the gram and the left context instead, and the same holds for the left
+    part: passages with one right context and many left ones are told apart there. ``os`` null
+    stands for all. What both passes leave open are the different windows that lie on a boundary of
+    each, a number that goes with the boundaries and not with the runs.
     """
     names = [c.split()[0] for c in _CLASS_SCHEMA.split(", ")] + ["e", "edge"]
 
@@ -364,7 +363,7 @@ def _bucket_results(runs: DataFrame, length: int, gram: int, parts: int, by_left
             member &= some
         rows, starts, open_ = [], [], [[] for _ in right]
         edge_rows, edge_starts, edges = [], [], []
-        for o, again, edge in repeated_windows(right, back, member, length, by_left):
+        for o, again, edge in repeated_windows(right, back, member, length, by_left, gram):
             at = again[n[again] == 1]
             rows.append(row[at])
             starts.append(s[at] + anchor[at] - o)
@@ -402,8 +401,10 @@ def _bucket_results(runs: DataFrame, length: int, gram: int, parts: int, by_left
         arrays = [pa.array(columns[c], k) if c in columns else pa.nulls(m, k) for c, k in zip(names, kinds)]
         return pa.RecordBatch.from_arrays(arrays, names)
 
-    lead = F.substring("back" if by_left else "suffix", 1, LEAD)
-    dealt = runs.repartitionByRange(parts, lead, "row", "s")
+    # Splitters are sampled from whole keys of up to ``length`` bytes: shorter ones cannot tell near
+    # copies apart, whose runs would then all lie on boundaries.
+    key = F.concat(F.substring("suffix", 1, gram), "back") if by_left else F.substring("suffix", 1, length)
+    dealt = runs.repartitionByRange(parts, key, "row", "s")
     return dealt.mapInArrow(run, _CLASS_SCHEMA + ", e bigint, edge binary")
 
 
