@@ -43,9 +43,13 @@ def vector_classes(rows: DataFrame) -> DataFrame:
 
 
 def _matrix(column) -> np.ndarray:
-    """Vectors of one length as doubles; float components keep their exact value."""
+    """Vectors of one length as doubles, each scaled by a power of two so that its largest
+    component lies in [0.5, 1): directions stay exact and no square overflows or vanishes."""
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
+    if not len(column):
+        return flat.reshape(0, 0)
+    rows = flat.reshape(len(column), -1)
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
 
 
 def _entries(classes: DataFrame, tables: int, bits: int, wide: bool) -> DataFrame:

@@ -21,7 +21,12 @@ LEVEL = 12
 BLOCK = 4096
 MIN_MARGIN = 0.01  # of the second smallest size; below it the choice is not accepted
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(r"[^\W\d_]+")
+
+
+def has_letter(text: str) -> bool:
+    """Whether a text has a letter; numerals such as ½, ① and Ⅷ are none."""
+    return any(any(map(str.isalpha, m.group())) for m in _LETTER.finditer(text))
 
 
 def normal(text: str) -> bytes:
@@ -104,7 +109,7 @@ class Compressors:
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """Language, score and margin. Of equal sizes the first language in order is taken."""
-        if not self.langs or text is None or not _LETTER.search(text):
+        if not self.langs or text is None or not has_letter(text):
             return UNKNOWN, 0.0, 0.0
         sizes = self.sizes(text)
         best = int(np.argmin(sizes))
@@ -122,7 +127,8 @@ def predict(docs: DataFrame, dictionaries: Mapping[str, bytes], *keep: str) -> D
     The language is the one whose dictionary makes the whole text smallest. ``accepted`` is false
     where the second smallest size is within ``MIN_MARGIN`` of it. A text that is null or has no
     letter gives ``und``, score 0, not accepted, and so does every text when nothing was learned.
-    The dictionaries are sent with the task: ``DICTIONARY_BYTES`` per language.
+    Numerals are no letters. Equal rows get equal results; an empty table gives no rows. The
+    dictionaries are sent with the task: ``DICTIONARY_BYTES`` per language.
     """
     data = columns_of(docs, *dict.fromkeys([*keep, "text"]))
     fields = [f for f in data.schema.fields if f.name in keep]

@@ -60,20 +60,34 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def other_candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Runs of key characters with a letter that no base span touches."""
+    """Runs of key characters with a letter that base spans do not cover: a run counts as a whole
+    where a letter or digit of it is left on either side of them."""
     out = []
-    ends = sorted((s, e) for s, _, e in taken)
+    covered = _joined_intervals(taken)
     k = 0
     for m in CANDIDATE.finditer(text):
         s, e = m.span()
         if not any(c.isalpha() for c in m.group()):
             continue
-        while k < len(ends) and ends[k][1] <= s:
+        while k < len(covered) and covered[k][1] <= s:
             k += 1
-        j = k
-        while j < len(ends) and ends[j][0] < e and ends[j][1] <= s:
+        left, at, j = "", s, k
+        while j < len(covered) and covered[j][0] < e:
+            left += text[at : max(at, covered[j][0])]
+            at = covered[j][1]
             j += 1
-        if j == len(ends) or ends[j][0] >= e:
+        left += text[at:e]
+        if any(c.isalnum() for c in left):
+            out.append((s, e))
+    return out
+
+
+def _joined_intervals(taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for s, e in sorted((s, e) for s, _, e in taken):
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
             out.append((s, e))
     return out
 
@@ -296,7 +310,9 @@ def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 def scan(docs: DataFrame, net: Network, *keep: str, redacted: bool = False) -> DataFrame:
     """``keep``, the counts per kind, ``base_sha256`` and ``spans`` for each row; with ``redacted``
-    the text without its secrets as ``redacted_text``. Null and empty texts have no spans."""
+    the text without its secrets as ``redacted_text``. Null and empty texts have no spans; equal
+    rows get equal results; an empty table gives no rows. Runs of digits alone and runs under 16
+    characters are no candidates of the network."""
     data = columns_of(docs, *dict.fromkeys([*keep, "text"]))
     fields = [f for f in data.schema.fields if f.name in keep]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)

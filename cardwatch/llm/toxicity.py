@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -11,11 +12,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import columns_of, id_hash_mod, read_table
+from cardwatch.llm.common import columns_of, id_hash_mod, read_table, stored
 from cardwatch.llm.registry import query
 
 FIT_ROWS_PER_CLASS = 1500  # labelled rows used for fitting, of each label
-FIT_LONGEST = 200_000  # characters of a text used for fitting; longer ones are left out of the fit
+FIT_WORDS = 5_000_000  # distinct words of all these texts, at most; texts are taken in hash order
 PARTS = 1 << 18
 GRAMS = (4, 5)
 STEPS = 150
@@ -84,10 +85,11 @@ class Toxicity:
         return float(-np.expm1(-sum(map(self.rate, sorted(words_of(text))))))
 
 
-def fit(texts: list[str], toxic: list[int], seed: int = 7) -> Toxicity:
+def fit(texts: Sequence[str | Collection[str]], toxic: Sequence[int], seed: int = 7) -> Toxicity:
     """Gradient descent on the log loss, classes weighted alike, plus ``SWAP_WEIGHT`` times the mean
     squared change of the score when an identity term of a text is swapped for another one or is
-    added to it. A fit without both labels gives rates of zero, so every score is 0.
+    added to it. A fit without both labels gives rates of zero, so every score is 0. Texts may be
+    given as their distinct words.
     """
     y = np.array(toxic, float)
     n = len(y)
@@ -96,7 +98,7 @@ def fit(texts: list[str], toxic: list[int], seed: int = 7) -> Toxicity:
     vocabulary: dict[str, int] = {}
     word_at, text_at = [], []
     for k, text in enumerate(texts):
-        for word in sorted(words_of(text)):
+        for word in sorted(words_of(text) if isinstance(text, str) else text):
             word_at.append(vocabulary.setdefault(word, len(vocabulary)))
             text_at.append(k)
     terms = np.array([vocabulary.setdefault(t, len(vocabulary)) for t in IDENTITY_TERMS])
@@ -160,11 +162,12 @@ class _Adam:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = FIT_ROWS_PER_CLASS):
-    """Texts and labels of about ``per_class`` labelled documents of each label.
+    """Distinct words and labels of about ``per_class`` labelled documents of each label.
 
     Ids are drawn by a hash of the id. Of an id with several labels the larger counts, of an id with
-    several texts the least text. Rows with a null id, label or text take no part. The table of
-    drawn ids, about twice ``per_class`` rows, is the only thing broadcast.
+    several texts the least text. Rows with a null id, label or text take no part. Texts of any
+    length become words where they are read. The table of drawn ids, about twice ``per_class`` rows,
+    is the only thing broadcast, and no more than ``FIT_WORDS`` words meet on the driver.
     """
     marked = (
         columns_of(labels, "doc_id", "toxic")
@@ -180,20 +183,31 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = FIT_ROW
         *[F.lit(x) for k, c in counts.items() for x in (k, int(min(1.0, per_class / c) * (1 << 32)))]
     )
     drawn = marked.where(F.col("h") <= limit[F.col("toxic")]).select("doc_id", "toxic")
-    texts = columns_of(docs, "doc_id", "text").where(F.length("text") <= FIT_LONGEST)
-    rows = (
-        texts.join(F.broadcast(drawn), "doc_id")
-        .groupBy("doc_id", "toxic")
-        .agg(F.min("text").alias("text"))
-        .orderBy("doc_id")
-        .collect()
-    )
-    return [r["text"] for r in rows], [r["toxic"] for r in rows]
+    texts = columns_of(docs, "doc_id", "text").where(F.col("text").isNotNull())
+    rows = texts.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    key = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            words = [sorted(words_of(t.as_py())) for t in batch.column("text")]
+            columns = [batch.column("doc_id"), batch.column("toxic"), pa.array(words, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "words"])
+
+    found = stored(rows.mapInArrow(run, f"doc_id {key}, toxic int, words array<string>"), "fit-words")
+    found = found.withColumn("h", F.xxhash64(F.lit(1), "doc_id"))
+    # About twice ``per_class`` rows: their sizes tell how many fit.
+    sizes = sorted(found.select("h", F.size("words").alias("n")).collect())
+    total = np.cumsum([r["n"] for r in sizes])
+    if len(total) and total[-1] > FIT_WORDS:
+        found = found.where(F.col("h") < sizes[int((total > FIT_WORDS).argmax())]["h"])
+    taken = found.orderBy("doc_id").collect()
+    return [r["words"] for r in taken], [r["toxic"] for r in taken]
 
 
 def score(docs: DataFrame, model: Toxicity, *keep: str) -> DataFrame:
     """``keep``, ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on) for every row, from the whole
-    text alone. A text that is null, empty or without words scores 0."""
+    text alone. A text that is null, empty or without words scores 0; equal texts score alike; an
+    empty table gives no rows."""
     data = columns_of(docs, *dict.fromkeys([*keep, "text"]))
     fields = [f for f in data.schema.fields if f.name in keep]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)

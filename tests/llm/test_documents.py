@@ -186,6 +186,39 @@ def test_suffix_removal_is_exact(table, monkeypatch, seed, segment, classes):
     assert found == {i: w for (i, _), w in zip(rows, want)}
 
 
+def test_boundary_rows_do_not_grow_with_near_copies(spark, table, monkeypatch):
+    """What both passes leave open goes with the boundaries; a run is written once a pass."""
+    rnd = random.Random(5)
+    base = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(2, 9))) for _ in range(150)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    stored, made = suffix_dedup.stored, {}
+
+    def kept(df, name):
+        made.setdefault(name, []).append(stored(df, name))
+        return made[name][-1]
+
+    monkeypatch.setattr(suffix_dedup, "stored", kept)
+    edges = {}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "32")
+        for k in (80, 640):
+            docs = []
+            for i in range(k):
+                words = list(base)
+                words[rnd.randrange(150)] = f"edit{i}"
+                docs.append((i, " ".join(words)))
+            made.clear()
+            suffix_dedup.repeated_spans(suffix_dedup.with_row_key(table(docs))).count()
+            right, left = made["windows"]
+            runs = made["unsure-runs"][0].count()
+            assert right.where("n IS NOT NULL").count() <= runs
+            assert right.count() <= 3 * runs
+            edges[k] = left.where("edge IS NOT NULL").count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert edges[640] < 2 * edges[80]
+
+
 def test_suffix_odd_rows_and_whole_characters(odd, empty):
     df = suffix_dedup.remove_repeats(odd, "doc_id")
     assert ids(df) == ALL_IDS
@@ -255,6 +288,54 @@ def test_network_finds_keys_in_text(network):
     assert secret_scan.all_spans([f"we use {w} for it now" for w in words], network) == [[], [], []]
 
 
+def test_candidates_beside_base_spans(network):
+    """What a base span leaves of a run is scored with it, so no part of a key stays."""
+    key = "xoxb-123456789012-0123456789abcdef01ZqT7vLmPwYs9KdRbNcXu"
+    text = f"use {key} now"
+    base = secret_scan.base_spans(text)
+    assert [k for _, k, _ in base] == [2]
+    assert secret_scan.other_candidates(text, base) == [(4, 4 + len(key))]
+    (spans,) = secret_scan.all_spans([text], network)
+    assert set(base) < set(spans) and (4, 3, 4 + len(key)) in spans
+    assert secret_scan.redact(text, spans) == f"use {secret_scan.REDACTED} now"
+    whole = "password=abcdefgh12345678ABCD"
+    assert secret_scan.other_candidates(whole, secret_scan.base_spans(whole)) == []
+    edges = "--0123456789abcdef0123=="
+    assert secret_scan.other_candidates(edges, secret_scan.base_spans(edges)) == []
+
+
+def plain_base(text):
+    """The contract's patterns by a search from every place."""
+    out = []
+    patterns = [
+        (r"(?ai)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 12, 2),
+        (r"AKIA[A-Z0-9]+", 18, 0),
+        (r"[0-9a-f]+", 16, 0),
+    ]
+    for kind, (pattern, least, group) in enumerate(patterns):
+        at = 0
+        while m := re.compile(pattern).search(text, at):
+            if len(m.group(group)) >= least:
+                out.append((m.start(), kind, m.end()))
+            at = m.end()
+    return sorted(out)
+
+
+def test_base_columns_of_all_documents(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    got = {r["doc_id"]: r for r in contract.queries()["op1_secret_scan"](spark, SMALL).collect()}
+    names = ("assign", "access", "hex", "model")
+    rows = docs.select("doc_id", "text").collect()
+    assert len(got) == len(rows)
+    for row in rows:
+        want, mine = plain_base(row["text"] or ""), got[row["doc_id"]]
+        assert [mine["n_assign"], mine["n_access"], mine["n_hex"]] == [sum(k == i for _, k, _ in want) for i in range(3)]
+        joined = ",".join(f"{names[k]}:{s}:{e}" for s, k, e in want)
+        assert mine["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        kept = [x for x in mine["spans"].split(",") if x and not x.startswith("model")]
+        assert ",".join(kept) == joined
+
+
 def test_secrets_are_found_and_redacted(table, odd, empty, network):
     key = "ghp_" + "aB3dE5fG7hJ9kL1mN2pQ4rS6tU8vW0xY1z3A"
     rows = secret_scan.scan(table([(1, f"use {key} now\ntoken = 0123456789abcdef01")]), network, "doc_id", redacted=True)
@@ -367,6 +448,40 @@ def test_language_odd_rows(table, odd, empty):
     assert {r["lang_pred"] for r in langid.predict(odd, {}, "doc_id").collect()} == {"und"}
 
 
+def test_numerals_are_no_letters(table):
+    texts = ["½ ²", "①", "Ⅷ", "٣ ४", "_ 1", "Ⅷ b", "日本", "ª"]
+    learned = {"en": b"the cat and the dog", "es": b"el perro y la casa"}
+    rows = langid.predict(table(list(enumerate(texts))), learned, "doc_id").collect()
+    got = {r["doc_id"]: r["lang_pred"] == "und" for r in rows}
+    assert got == dict(enumerate([True] * 5 + [False] * 3))
+    assert all(r["score"] == 0 for r in rows if r["lang_pred"] == "und")
+
+
+def test_languages_against_a_plain_version(table):
+    """The language is that of the smallest sum of block sizes under its dictionary."""
+    import zstandard
+
+    rnd = random.Random(6)
+    learned = {k: " ".join(rnd.choice(w) for _ in range(400)).encode() for k, w in {"a": WORDS[:5], "b": WORDS[4:]}.items()}
+    texts = [" ".join(rnd.choice(WORDS) for _ in range(n)) for n in (1, 5, 40, 3000)]
+
+    def size(text, content):
+        raw = zstandard.ZstdCompressionDict(b" " + content + b" " * 8, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        raw.precompute_compress(level=langid.LEVEL)
+        packer = zstandard.ZstdCompressor(
+            dict_data=raw, write_content_size=False, write_checksum=False, write_dict_id=False
+        )
+        data = " ".join(re.findall(r"[^\W\d_]+", text.lower())).encode()
+        return sum(len(packer.compress(data[i : i + 4096])) for i in range(0, len(data), 4096))
+
+    rows = langid.predict(table(list(enumerate(texts))), learned, "doc_id").collect()
+    for r in rows:
+        sizes = {k: size(texts[r["doc_id"]], content) for k, content in learned.items()}
+        assert r["lang_pred"] == min(sorted(sizes), key=sizes.get)
+        small, large = sorted(sizes.values())
+        assert r["accepted"] == ((large - small) / large >= langid.MIN_MARGIN)
+
+
 def test_language_of_long_texts_and_of_any_number(table):
     book = " ".join(f"el perro y la casa de los niños {w}" for w in ("verde", "blanca", "grande") * 400)
     assert len(book) > 16_000
@@ -381,6 +496,48 @@ def test_language_of_long_texts_and_of_any_number(table):
     assert len(langid.learn(many)) == 450
 
 
+def test_toxicity_learns_from_long_texts(spark, table):
+    """A class made of long texts is learnt; the bound is on rows and words alone."""
+    long = "".join(chr(97 + i % 26) + chr(97 + i // 26 % 26) + "x " for i in range(80_000))
+    rows = [(i, long + (" vile" if i % 2 else " mild")) for i in range(8)]
+    assert len(rows[0][1]) > 200_000
+    labels = spark.createDataFrame([(i, i % 2) for i in range(9)], "doc_id bigint, toxic int")
+    words, toxic = toxicity.training_sample(table(rows), labels)
+    assert len(words) == 8 and sum(toxic) == 4
+    assert all(("vile" in w) == bool(t) for w, t in zip(words, toxic))
+    model = toxicity.fit(words, toxic)
+    assert model.score("vile") > model.score("mild")
+    texts = [t for _, t in rows]
+    again = toxicity.fit(texts, toxic)
+    assert np.array_equal(model.weights, again.weights) and model.bias == again.bias
+
+
+def test_toxicity_words_are_bounded(spark, table, monkeypatch):
+    monkeypatch.setattr(toxicity, "FIT_WORDS", 100)
+    rows = [(i, " ".join(f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[j]}" for j in range(10))) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, toxic int")
+    words, _ = toxicity.training_sample(table(rows), labels)
+    assert sum(map(len, words)) == 100
+
+
+def test_toxicity_scores_against_a_plain_version(table):
+    texts = [f"{w} of the {v}" for w in ("scum", "fine") for v in ("muslims", "old dogs", "é ñ", "")] * 6
+    model = toxicity.fit(texts, [int(t.startswith("scum")) for t in texts])
+    odd_texts = [*texts[:8], "", "scum scum", "SCUM!", "1 2 3", "word " * 5000]
+    rows = toxicity.score(table(list(enumerate(odd_texts))), model, "doc_id").collect()
+    base = min(max(model.bias, -20.0), 5.0)
+    for r in rows:
+        total = 0.0
+        for word in set(re.findall(r"[^\W\d_]+", odd_texts[r["doc_id"]].lower())):
+            marked = f"<{word}>"
+            grams = {marked} | {marked[i : i + n] for n in (4, 5) for i in range(len(marked) - n + 1)}
+            z = model.bias + sum(
+                float(model.weights[zlib.crc32(g.encode()) % toxicity.PARTS]) for g in grams
+            ) / len(grams) ** 0.5
+            total += np.exp(min(max(z, base), 5.0)) - np.exp(base)
+        assert r["score"] == pytest.approx(1 - np.exp(-total), abs=1e-6)
+
+
 def test_toxicity_learns_words_and_ignores_groups(table, odd, empty):
     rnd = random.Random(5)
     plain = [prose(rnd, 40) for _ in range(240)]
@@ -409,30 +566,31 @@ def test_toxicity_sample_with_odd_labels(spark, odd):
         [(4, 1), (4, 0), (None, 1), (6, None), (7, 0), (99, 1)], "doc_id bigint, toxic int"
     )
     texts, marks = toxicity.training_sample(odd, labels)
-    assert list(zip(texts, marks)) == [("the same row", 1), ("word " * 30_000, 0)]
+    assert list(zip(texts, marks)) == [(["row", "same", "the"], 1), (["word"], 0)]
 
 
 # Packing
 
 
-def plain_pack(lengths, sizes, cost):
+def plain_pack(lengths, sizes, cost, attention):
     bins = []
     order = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
-    rest = sum(lengths)
-    for i in order:
+    for k, i in enumerate(order):
         n = lengths[i]
-        rest -= n
-        fits = [(b["room"], k) for k, b in enumerate(bins) if b["room"] >= n]
+        fits = [(b["room"], j) for j, b in enumerate(bins) if b["room"] >= n]
         if fits:
-            k = min(fits)[1]
+            j = min(fits)[1]
         else:
             def price(s):
-                held = n + min(rest, s - n)
-                return (min(x for x in sizes if x >= held) + cost) / held, s
-            k, size = len(bins), min((s for s in sizes if s >= n), key=price)
+                room = s - n
+                for other in order[k + 1 :]:
+                    room -= lengths[other] if lengths[other] <= room else 0
+                final = min(x for x in sizes if x >= s - room)
+                return (final + final * final / attention + cost) / (s - room), s
+            j, size = len(bins), min((s for s in sizes if s >= n), key=price)
             bins.append({"room": size, "items": []})
-        bins[k]["room"] -= n
-        bins[k]["items"].append(i)
+        bins[j]["room"] -= n
+        bins[j]["items"].append(i)
     return [(b["items"], min(s for s in sizes if s >= sum(lengths[i] for i in b["items"]))) for b in bins]
 
 
@@ -440,14 +598,29 @@ def plain_pack(lengths, sizes, cost):
 def test_packing_matches_the_plain_version(seed):
     rnd = random.Random(seed)
     lengths = [rnd.randint(1, 128) for _ in range(rnd.randint(0, 200))]
-    bins, offsets, sizes = packing.pack(np.array(lengths, np.int64), (32, 64, 128), 5)
-    want = plain_pack(lengths, (32, 64, 128), 5)
+    bins, offsets, sizes = packing.pack(np.array(lengths, np.int64), (32, 64, 128), 5, 300)
+    want = plain_pack(lengths, (32, 64, 128), 5, 300)
     got = [([], s) for s in sizes.tolist()]
     for i in np.lexsort((offsets, bins)):
         got[bins[i]][0].append(int(i))
     assert got == want
 
 
+def test_packing_opens_several_sizes():
+    """The price decides: no size is best for all lengths, and another price opens other sizes."""
+    rng = np.random.default_rng(2)
+    lengths = np.clip(rng.lognormal(7, 1, 2000), 1, 16000).astype(np.int64)
+    used = {}
+    for attention in (1 << 16, 1 << 40):
+        bins, _, sizes = packing.pack(lengths, attention=attention)
+        used[attention] = collections.Counter(sizes.tolist())
+        assert lengths.sum() / sizes.sum() > 0.98
+    assert len(used[1 << 16]) == 4 and min(used[1 << 16].values()) > 5
+    assert used[1 << 40][16384] > used[1 << 16][16384]
+    cost = {a: sum(packing.size_cost(s) * n for s, n in used[a].items()) for a in used}
+    assert cost[1 << 16] < 0.95 * cost[1 << 40]
+
+
 def test_packing_keeps_every_token(table, odd, empty):
     df = packing.best_fit(odd.select("doc_id", "text"), pieces_per_shard=3)
     rows = df.collect()

@@ -59,6 +59,16 @@ def test_links_and_components(spark, monkeypatch, block):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
 
 
+def test_very_large_and_small_components(spark):
+    """Finite components of any size link by their direction."""
+    base = np.array([3.0, -1.0, 2.0, 0.5])
+    rows = [(i, (base * 10.0**k).tolist(), 1) for i, k in enumerate((0, 200, -200, 307, -300))]
+    rows += [(9, (base[::-1] * 1e200).tolist(), 1), (10, [5e-324, 0.0, 0.0, 0.0], 1), (11, [1e-310, 0.0, 0.0, 0.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = {r["vec_id"]: r["component_id"] for r in embedding_dedup.near_duplicates(stored(df, "test-vectors")).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0, 9: 9, 10: 10, 11: 10}
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")
     assert embedding_dedup.near_duplicates(df).count() == 0
