@@ -14,7 +14,8 @@ from cardwatch.llm.registry import query
 
 CAPACITIES = (2048, 4096, 8192, 16384)
 PIECES_PER_SHARD = 2_000
-BIN_COST = 64  # what a bin costs besides its tokens, so that one large bin beats many small ones
+BIN_COST = 64  # what a bin costs besides its tokens
+ATTENTION = 1 << 16  # length at which attention costs as much a token as everything else
 
 
 def byte_tokens(text: str = "text") -> Column:
@@ -22,22 +23,31 @@ def byte_tokens(text: str = "text") -> Column:
     return (F.octet_length(F.coalesce(F.col(f"`{text}`"), F.lit(""))) + 1).cast("long")
 
 
+def size_cost(size: int, bin_cost: int = BIN_COST, attention: int = ATTENTION) -> float:
+    """What training on a bin of a size costs, in tokens: its places, a share that grows with the
+    square of its length, and a constant. Small bins are cheap a place, large ones waste less."""
+    return size + size * size / attention + bin_cost
+
+
 def pack(
-    lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES, bin_cost: int = BIN_COST
+    lengths: np.ndarray,
+    capacities: tuple[int, ...] = CAPACITIES,
+    bin_cost: int = BIN_COST,
+    attention: int = ATTENTION,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bin number and offset of each piece, and the capacity of each bin.
 
     Pieces come in falling length, ties in the given order. A piece goes into the open bin that it
-    leaves with the least room (of equals the oldest). Without such a bin, one is opened whose size
-    costs least: for each permitted size, its tokens and ``bin_cost``, less what the pieces still to
-    come can be expected to fill of it, per token of the piece. When all pieces are in, each bin is
-    cut down to the smallest permitted size that holds its contents.
+    leaves with the least room (of equals the oldest). Without such a bin, one is opened of the size
+    that costs least per token it will hold, see ``size_cost`` and ``expected_fill``. When all
+    pieces are in, each bin is cut down to the smallest permitted size that holds its contents.
     """
     sizes = sorted(capacities)
     n = len(lengths)
     order = np.argsort(-lengths, kind="stable")
     falling = lengths[order]
-    rest = np.append(np.cumsum(falling[::-1])[::-1], 0)
+    rising = (-falling).tolist()
+    costs = {size: size_cost(size, bin_cost, attention) for size in sizes}
     bins = np.empty(n, np.int64)
     offsets = np.empty(n, np.int64)
     filled: list[int] = []
@@ -50,7 +60,7 @@ def pack(
             free, b = room.pop(at)
         else:
             b = len(opened)
-            free = _least_cost_size(length, int(rest[k + 1]), sizes, bin_cost)
+            free = _least_cost_size(length, rising, k + 1, sizes, costs)
             opened.append(free)
             filled.append(0)
         bins[order[k]] = b
@@ -62,14 +72,28 @@ def pack(
     return bins, offsets, downsized
 
 
-def _least_cost_size(length: int, rest: int, sizes: list[int], bin_cost: int) -> int:
+def expected_fill(room: int, rising: list[int], start: int) -> int:
+    """How much of the room the pieces still to come fill, if the longest that fits goes in each
+    time. They are the lengths from ``start`` on, negated, in rising order."""
+    left, at = room, start
+    while left > 0:
+        at = bisect_left(rising, -left, at)
+        if at == len(rising):
+            break
+        left += rising[at]
+        at += 1
+    return room - left
+
+
+def _least_cost_size(
+    length: int, rising: list[int], start: int, sizes: list[int], costs: dict[int, float]
+) -> int:
     """The size whose cost per token that it will hold is least; of equals the smaller one."""
     best, best_cost = sizes[-1], float("inf")
     for size in sizes:
         if size >= length:
-            held = length + min(rest, size - length)
-            final = sizes[bisect_left(sizes, held)]
-            cost = (final + bin_cost) / held
+            held = length + expected_fill(size - length, rising, start)
+            cost = costs[sizes[bisect_left(sizes, held)]] / held
             if cost < best_cost:
                 best, best_cost = size, cost
     return best
@@ -97,6 +121,7 @@ def best_fit(
     capacities: tuple[int, ...] = CAPACITIES,
     pieces_per_shard: int = PIECES_PER_SHARD,
     bin_cost: int = BIN_COST,
+    attention: int = ATTENTION,
 ) -> DataFrame:
     """One row per piece: ``key``, ``piece``, ``piece_start``, ``length``, ``shard``, ``bin``,
     ``capacity`` and ``bin_offset``.
@@ -108,15 +133,17 @@ def best_fit(
     everything is under one bin of each size a shard. An empty table gives an empty result.
     """
     tokens = byte_tokens() if n_tokens is None else n_tokens
+    # Only the two columns that count are taken, so other columns may have any name.
     rows = with_row_key(docs.select(F.col(f"`{key}`").alias("key"), tokens.alias("n_tokens")))
     rows = rows.withColumn("n_tokens", F.greatest(F.lit(1), F.coalesce("n_tokens", F.lit(1))).cast("long"))
-    cut = stored(pieces(rows, max(capacities)), "pieces")
-    shards = max(1, -(-cut.count() // pieces_per_shard))
     full = max(capacities)
+    cut = stored(pieces(rows, full), "pieces")
+    # Whole pieces need no packing and do not count for the shards.
+    shards = max(1, -(-cut.where(F.col("length") < full).count() // pieces_per_shard))
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.sort_values([ROW, "piece"], kind="stable").reset_index(drop=True)
-        bins, offsets, sizes = pack(batch["length"].to_numpy(), capacities, bin_cost)
+        bins, offsets, sizes = pack(batch["length"].to_numpy(), capacities, bin_cost, attention)
         batch["bin"], batch["bin_offset"], batch["capacity"] = bins, offsets, sizes[bins]
         return batch[names]
 

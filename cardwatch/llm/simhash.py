@@ -139,7 +139,6 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     list at a time. A list holds distinct fingerprints only, at most 2^24 of them at three bits,
     however many texts there are.
     """
-    need = BYTES - max_bits
 
     def run(batches):
         held_slot, held_key, held = None, None, []
@@ -150,9 +149,10 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             fps = np.unique(np.concatenate(held).view(np.uint64))
             pairs = []
             for a, b in _links_in_lists(fps, max_bits):
+                # The list's key is made of the bytes that two texts must share, so none is short of
+                # the count; the bits remain to be verified.
                 x = np.array([a ^ b], np.uint64).view(np.uint8)
-                tally = int((x == 0).sum())  # positional bytes that the two share
-                if tally >= need and int(_POPCOUNT[x].sum()) <= max_bits:
+                if int(_POPCOUNT[x].sum()) <= max_bits:
                     pairs.append((a, b))
             if not pairs:
                 return [], []

@@ -19,14 +19,14 @@ from cardwatch.llm.registry import query
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_TOKENS = 1 << 18  # a shard is closed by the first document that reaches this
-ROUNDS = 6
 PAIRS_PER_ROUND = 512
+FRAME = 1 << 12  # symbols that are compressed together, and unpacked to read a document
 LEAST_COUNT = 4  # a rule costs three numbers, so rarer pairs stay
 BUCKETS = 1 << 18
 CACHED_CHUNKS = 900_000
 JOINED_CHUNKS = 2_000
 TEXTS_AT_ONCE = 64
-MAGIC = b"RPG1"
+MAGIC = b"RPG2"
 _SPACES = re.compile(r" \s")
 _ENCODERS: dict[str, "Encoder"] = {}
 FILES_SCHEMA = "shard_key bigint, n_documents int, n_tokens bigint, payload binary"
@@ -101,20 +101,19 @@ class Encoder:
         return out
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, first_symbol: int, rounds: int = ROUNDS):
+def compress(ids: np.ndarray, ends: np.ndarray, first_symbol: int):
     """Re-Pair in rounds: (sequence, last-of-document flags, rules left, rules right).
 
-    A round counts all pairs, gives the ``PAIRS_PER_ROUND`` most frequent ones a nonterminal each and replaces them from left to right; of two pairs that
-    overlap the left one is replaced. No pair reaches over the end of a document, so each document
-    is a run of symbols of its own. Rounds end when no pair is frequent.
+    A round counts all pairs, gives the ``PAIRS_PER_ROUND`` most frequent ones a nonterminal each and
+    replaces them from left to right; of two pairs that overlap the left one is replaced. No pair
+    reaches over the end of a document, so each document is a run of symbols of its own. Rounds end
+    when no pair is found ``LEAST_COUNT`` times.
     """
     seq, last = ids.astype(np.int64), ends.copy()
     left: list[np.ndarray] = []
     right: list[np.ndarray] = []
     symbols = first_symbol
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
+    while len(seq) > 1:
         a, b, open_ = seq[:-1], seq[1:], ~last[:-1]
         slot = (a * 40503 + b * 60493) & (BUCKETS - 1)
         counts = np.bincount(slot[open_], minlength=BUCKETS)
@@ -174,8 +173,9 @@ def pack_shard(documents: list[tuple[int | None, np.ndarray]], first_symbol: int
 
     magic, first nonterminal, counts of documents, rules and symbols (unsigned 32 bits each); the
     ids of the documents (64 bits, and a byte each that is 1 where the id is null); for each
-    document the number of symbols and of tokens (32 bits); for each rule its left symbol, right
-    symbol and expansion length (32 bits); the symbols (32 bits); the last two parts as one zstandard frame.
+    document the number of symbols and of tokens (32 bits); the ends of all zstandard frames that
+    follow, in bytes (32 bits). The first frame has for each rule its left symbol, right symbol and
+    expansion length (32 bits); each further frame has ``FRAME`` symbols (32 bits).
     """
     ids = np.concatenate([d for _, d in documents])
     ends = np.zeros(len(ids), bool)
@@ -187,11 +187,13 @@ def pack_shard(documents: list[tuple[int | None, np.ndarray]], first_symbol: int
     keys = np.array([0 if k is None else k for k, _ in documents], "<i8")
     null = np.array([k is None for k, _ in documents], np.uint8)
     rules = np.stack([left, right, lengths]).astype("<u4")
-    body = zstandard.compress(rules.tobytes() + seq.astype("<u4").tobytes(), 1)
+    packer, flat = zstandard.ZstdCompressor(level=1), seq.astype("<u4")
+    frames = [packer.compress(rules.tobytes())]
+    frames += [packer.compress(flat[i : i + FRAME].tobytes()) for i in range(0, len(flat), FRAME)]
+    frame_ends = np.cumsum([len(f) for f in frames]).astype("<u4")
     head = struct.pack("<4s4I", MAGIC, first_symbol, len(documents), len(left), len(seq))
-    return b"".join(
-        [head, keys.tobytes(), null.tobytes(), symbols.astype("<u4").tobytes(), tokens.astype("<u4").tobytes(), body]
-    )
+    counts = [symbols.astype("<u4").tobytes(), tokens.astype("<u4").tobytes()]
+    return b"".join([head, keys.tobytes(), null.tobytes(), *counts, frame_ends.tobytes(), *frames])
 
 
 class Shard:
@@ -208,16 +210,30 @@ class Shard:
         counts = np.frombuffer(payload, "<u4", 2 * docs, at + 9 * docs).astype(np.int64)
         self.tokens = counts[docs:]
         self._starts = np.concatenate([[0], np.cumsum(counts[:docs])])
-        body = zstandard.decompress(payload[at + 17 * docs :])
-        self._rules = np.frombuffer(body, "<u4", 3 * rules).reshape(3, rules).astype(np.int64)
-        self._symbols = np.frombuffer(body, "<u4", symbols, 12 * rules).astype(np.int64)
+        n_frames = 1 + -(-symbols // FRAME)
+        ends = np.frombuffer(payload, "<u4", n_frames, at + 17 * docs).astype(np.int64)
+        self._bounds = at + 17 * docs + 4 * n_frames + np.concatenate([[0], ends])
+        self._payload, self._unpacker = payload, zstandard.ZstdDecompressor()
+        self._rules = self._frame(0).reshape(3, rules)
+
+    def _frame(self, k: int) -> np.ndarray:
+        data = self._payload[self._bounds[k] : self._bounds[k + 1]]
+        return np.frombuffer(self._unpacker.decompress(data), "<u4").astype(np.int64)
+
+    def _symbols(self, start: int, end: int) -> np.ndarray:
+        """Symbols ``start`` to ``end``, from the frames that hold them alone."""
+        first = start // FRAME
+        frames = [self._frame(1 + k) for k in range(first, -(-end // FRAME))]
+        if not frames:
+            return np.zeros(0, np.int64)
+        return np.concatenate(frames)[start - first * FRAME : end - first * FRAME]
 
     def document(self, i: int) -> np.ndarray:
         """Ids of document ``i``: every symbol knows from its expansion length where it lands."""
-        return self._expand(self._symbols[self._starts[i] : self._starts[i + 1]])
+        return self._expand(self._symbols(self._starts[i], self._starts[i + 1]))
 
     def all_tokens(self) -> np.ndarray:
-        return self._expand(self._symbols)
+        return self._expand(self._symbols(0, self._starts[-1]))
 
     def _expand(self, seq: np.ndarray) -> np.ndarray:
         left, right, lengths = self._rules
