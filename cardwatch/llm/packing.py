@@ -170,7 +170,9 @@ def best_fit(
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where the tokens of each document go."""
+    """Where the tokens of each document go: a row per piece. A token is a UTF-8 byte, and each
+    document ends in one more; a null or empty text is that one token. Repeated rows and ids, also
+    null ones, are documents of their own."""
     return best_fit(columns_of(docs, "doc_id", "text"))
 
 

@@ -14,6 +14,8 @@ from cardwatch.llm.registry import query
 WHITE = " \t\n\x0b\f\r"
 WHITE_RUN = r"[ \t-\r]+"
 SYMBOLS = "[#*$%&|<>]"
+LATIN = "[A-Za-z]+"
+WIDE = r"[^\x00-\x7F]+"
 STOP_WORDS = (
     "the of and to in is that it for was on with as be by at this from are or an not "
     "le la les des et un une du en que qui dans pour par sur est pas "
@@ -24,11 +26,13 @@ STOP_WORDS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """``measure`` must lie between ``low`` and ``high``, both included; None sets no bound."""
+    """``measure`` must lie between ``low`` and ``high``, both included; None sets no bound. A
+    ``latin`` rule holds for texts with at least as many Latin letters as characters beyond ASCII."""
 
     measure: str
     low: float | None = None
     high: float | None = None
+    latin: bool = False
 
 
 BASE_RULES = (
@@ -36,9 +40,9 @@ BASE_RULES = (
     Rule("repeat_word_ratio", high=0.5),
 )
 RULES = (
-    Rule("mean_word_chars", low=2.0, high=12.0),
+    Rule("mean_word_chars", low=2.0, high=12.0, latin=True),
     Rule("symbol_word_ratio", high=0.1),
-    Rule("stop_word_ratio", low=0.02),
+    Rule("stop_word_ratio", low=0.02, latin=True),
     Rule("dup_line_ratio", high=0.5),
 )
 
@@ -48,10 +52,12 @@ def _broken(rules: tuple[Rule, ...], ratios: dict[str, tuple[Column, Column]]) -
     out = F.lit(False)
     for rule in rules:
         n, d = ratios[rule.measure]
+        broken = F.lit(False)
         if rule.low is not None:
-            out = out | (n < F.lit(rule.low) * d)
+            broken = broken | (n < F.lit(rule.low) * d)
         if rule.high is not None:
-            out = out | (n > F.lit(rule.high) * d)
+            broken = broken | (n > F.lit(rule.high) * d)
+        out = out | (broken & (F.col("n_latin") >= F.col("n_wide")) if rule.latin else broken)
     return out
 
 
@@ -110,6 +116,8 @@ def measure(docs: DataFrame, *keep: str) -> DataFrame:
         ).alias("n_repeat_words"),
         F.size(lines).cast("long").alias("n_lines"),
         F.size(F.filter(words, lambda w: w.isin(stop))).cast("long").alias("n_stop_words"),
+        (F.length(text) - F.length(F.regexp_replace(text, LATIN, ""))).cast("long").alias("n_latin"),
+        (F.length(text) - F.length(F.regexp_replace(text, WIDE, ""))).cast("long").alias("n_wide"),
     )
 
 
@@ -121,7 +129,9 @@ def judge(
 ) -> DataFrame:
     """All counts, ``base_failed`` and ``kept``; a row for each row, whatever is null in it.
 
-    A text without words fails the base rule on words. Empty tables give empty results.
+    A text without words fails the base rule on words. Empty tables give empty results. The rules on
+    stop words and on the length of words know four languages that are written with Latin letters
+    and blanks; texts in another script are judged by the other rules alone.
     """
     counts = measure(docs, *keep)
     words = F.col("n_words")
@@ -138,7 +148,7 @@ def judge(
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass every rule.
+    """Documents that pass every rule; null and empty texts do not, repeated rows do alike.
 
     The filter names a column that is not deterministic. Without it Spark would push the filter
     below the projection and with it a copy of the whole rule table, measures included.
@@ -156,10 +166,11 @@ def _sql() -> str:
             "stop_word_ratio": ("n_stop_words", "n_words"),
             "dup_line_ratio": ("n_dup_lines", "n_lines"),
         }[rule.measure]
+        free = "n_latin < n_wide OR " * rule.latin
         if rule.low is not None:
-            bounds.append(f"{n} >= {rule.low}::DOUBLE * {d}")
+            bounds.append(f"({free}{n} >= {rule.low}::DOUBLE * {d})")
         if rule.high is not None:
-            bounds.append(f"{n} <= {rule.high}::DOUBLE * {d}")
+            bounds.append(f"({free}{n} <= {rule.high}::DOUBLE * {d})")
     stops = ", ".join(f"'{w}'" for s in STOP_WORDS for w in sorted({s, s.capitalize(), s.upper()}))
     white = r"[\x20\x09-\x0D]"
     return f"""
@@ -173,7 +184,9 @@ p AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2])
 m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(x, '{white}', '', 'g'))::BIGINT AS word_chars,
              (length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
              (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(p.n, 0)::BIGINT AS n_repeat_words,
-             len(l)::BIGINT AS n_lines, len(list_filter(w, lambda v: v IN ({stops})))::BIGINT AS n_stop_words
+             len(l)::BIGINT AS n_lines, len(list_filter(w, lambda v: v IN ({stops})))::BIGINT AS n_stop_words,
+             (length(x) - length(regexp_replace(x, '[A-Za-z]+', '', 'g')))::BIGINT AS n_latin,
+             (length(x) - length(regexp_replace(x, '[^\x00-\x7F]+', '', 'g')))::BIGINT AS n_wide
       FROM s LEFT JOIN p USING (r))
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND {' AND '.join(bounds)} AS kept

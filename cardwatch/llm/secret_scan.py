@@ -346,7 +346,7 @@ def trained() -> Network:
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with the secrets in their texts redacted."""
+    """All documents, with the secrets in their texts redacted; null and empty texts stay."""
     found = scan(docs, trained(), *DOCUMENT_COLUMNS, redacted=True)
     changed = F.length("spans") > 0
     return found.select(

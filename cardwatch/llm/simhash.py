@@ -208,7 +208,8 @@ def near_duplicates(
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id, of equal ids the first row."""
+    """One document of each group: the one with the smallest id, of equal ids the first row; of a
+    group without ids the first row. Null and empty texts are one group. An empty table stays so."""
     found = near_duplicates(docs)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)).alias("first")
     group = F.coalesce(F.col("component_id"), F.col("fp"))

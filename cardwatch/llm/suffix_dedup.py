@@ -543,7 +543,10 @@ def remove_repeats(docs: DataFrame, *keep: str, length: int = LENGTH, gram: int
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without their repeated passages; of some nothing but an empty text is left."""
+    """All documents, without their repeated passages; of some nothing but an empty text is left.
+
+    A null text comes out empty; of repeated rows all copies lose what repeats.
+    """
     found = remove_repeats(docs, *DOCUMENT_COLUMNS)
     changed = F.col("n_removed") > 0
     return found.select(

@@ -29,7 +29,11 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``: each is written as Parquet to the shared folder and the next
-    one reads it back, so a lost executor repeats no more than its stage."""
+    one reads it back, so a lost executor repeats no more than its stage.
+
+    The result has a row for each piece of each document that is left, and none for an empty table.
+    What a stage does with nulls, ties and repeated rows is said at its function.
+    """
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")

@@ -639,6 +639,54 @@ def test_packing_keeps_every_token(table, odd, empty):
 # Pipeline
 
 
+def plain_pipeline(rows):
+    """(doc_id, bytes) of what the first four stages leave of (doc_id, text), one rule at a time."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    judged = con.execute(f"SELECT doc_id FROM ({contract.oracle_sql()['op7_quality_rules']}) WHERE kept").fetchall()
+    good = {r[0] for r in judged}
+    rows = sorted(r for r in rows if r[0] in good)
+    prints = [plain_fingerprint(t) for _, t in rows]
+    roots = groups(rows, lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 3)
+    rows = [r for i, r in enumerate(rows) if roots[i] == i]
+    texts = [t.encode() for _, t in rows]
+    seen = collections.Counter(t[i : i + 200] for t in texts for i in range(len(t) - 199))
+    out = []
+    for (doc_id, _), t in zip(rows, texts):
+        gone = bytearray(len(t))
+        for i in range(len(t) - 199):
+            if seen[t[i : i + 200]] > 1:
+                gone[i : i + 200] = b"\1" * 200
+        spans = [m.span() for m in re.finditer(b"\1+", bytes(gone))]
+        left = suffix_dedup.without(t, list(suffix_dedup.whole_characters(t, spans))).decode()
+        (secrets,) = secret_scan.all_spans([left], secret_scan.trained())
+        out.append((doc_id, len(secret_scan.redact(left, secrets).encode())))
+    return out
+
+
+def test_pipeline_against_a_plain_version(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    want = plain_pipeline([tuple(r) for r in docs])
+    packed = corpus_pipeline.run(spark, SMALL).groupBy("doc_id").sum("length").collect()
+    assert sorted(map(tuple, packed)) == [(i, n + 1) for i, n in want]
+    assert 50 < len(want) < len(docs)
+
+
+def test_other_scripts_are_not_held_to_latin_rules(table):
+    rnd = random.Random(3)
+
+    def text(letters):
+        return " ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(3, 8))) for _ in range(120))
+
+    rows = [(1, text("абвгдежзиклмнопрст")), (2, text("αβγδεζηθικλμν")), (3, text("bcdfghjkl")), (4, text("0123456789"))]
+    rows += [(5, text("абвгд") + " ###" * 60)]
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.judge(table(rows), "doc_id").collect()}
+    assert got == {1: True, 2: True, 3: False, 4: False, 5: False}
+
+
 def test_pipeline_stages_keep_columns_and_clean_documents(spark, odd, empty):
     import corpus_pipeline
 
