@@ -83,3 +83,34 @@ def test_components_of_paths_and_stars(spark):
     want = {i: 100 for i in range(100, 161)} | {i: 200 for i in [*range(200, 240), 999]} | {7: 7, 8: 7}
     assert found == want
     assert connected_components(df.limit(0)).count() == 0
+
+
+def test_joined_roots():
+    rng = np.random.default_rng(3)
+    for n, k in ((1, 0), (50, 20), (400, 380), (300, 3000)):
+        root = np.arange(n)
+        a, b = rng.integers(n, size=(2, k))
+        for part in np.array_split(np.arange(k), 3):
+            embedding_dedup._join(root, a[part], b[part])
+        want = np.arange(n)
+        for _ in range(n):
+            for x, y in zip(a, b):
+                want[want == max(want[x], want[y])] = min(want[x], want[y])
+            if (want[a] == want[b]).all():
+                break
+        assert root.tolist() == want.tolist()
+
+
+def test_recall_of_the_tables():
+    """Pairs just above the threshold meet in a table as often as the docstring says."""
+    rng = np.random.default_rng(4)
+    found = 0
+    for _ in range(20):
+        u = rng.standard_normal((500, 64))
+        u /= np.linalg.norm(u, axis=1, keepdims=True)
+        w = rng.standard_normal((500, 64))
+        w -= (w * u).sum(axis=1, keepdims=True) * u
+        w /= np.linalg.norm(w, axis=1, keepdims=True)
+        v = 0.931 * u + math.sqrt(1 - 0.931**2) * w
+        found += (embedding_dedup.signatures(u) == embedding_dedup.signatures(v)).any(axis=1).sum()
+    assert found >= 0.998 * 10_000
