@@ -119,7 +119,10 @@ def assembled_rows(
     rows = with_folds(df, folds, id_column=id_column, seed=seed)
     for stage in before:
         rows = stage.transform(rows)
-    vectors = rows.select("features", F.col(label).cast("double").alias(label), "fold", id_column)
+    # The classes are named in the column, so that no fit has to look for them.
+    classes = {"ml_attr": {"type": "nominal", "name": label, "vals": ["0.0", "1.0"]}}
+    marked = F.col(label).cast("double").alias(label, metadata=classes)
+    vectors = rows.select("features", marked, "fold", id_column)
     return stored(vectors, "assembled"), before
 
 
