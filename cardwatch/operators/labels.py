@@ -6,8 +6,12 @@ for a number of days.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from cardwatch.functions.numeric import hash_draw
 from cardwatch.operators.filters import over_limit
@@ -147,13 +151,14 @@ def label_by_lists(
     The lists turn into tables per entity and day, written once; the transactions themselves are
     matched with these and need no shuffle while the lists are small enough to broadcast.
     """
-    terminal_days = stored(
-        covered_days(terminals, "terminal_id", TERMINAL_SCENARIO_DAYS)
-        .select("_entity", "_day")
-        .distinct(),
-        "terminal-days",
-    )
-    customer_days = drawn_customer_days(df, customers, seed=seed)
+    covered = covered_days(terminals, "terminal_id", TERMINAL_SCENARIO_DAYS)
+    covered = covered.select("_entity", "_day").distinct()
+    # The two lists have nothing to do with one another, so their short jobs run side by side.
+    with ThreadPoolExecutor(1) as pool:
+        write = inheritable_thread_target(df.sparkSession)(copy_context().run)
+        pending = pool.submit(write, stored, covered, "terminal-days")
+        customer_days = drawn_customer_days(df, customers, seed=seed)
+        terminal_days = pending.result()
     on_terminal = F.when(terminal_days["_entity"].isNotNull(), 1).otherwise(0)
     on_customer = F.when(is_drawn(customer_days["cuts"], seed=seed), 1).otherwise(0)
     flags = {
