@@ -29,7 +29,7 @@ DRAWS = 16
 FOLDS = 10
 
 # Fits that run side by side; each is a row of short jobs that leaves most of a cluster idle.
-PARALLELISM = 8
+PARALLELISM = 16
 # Labelled rows the draws of a search are compared on, about; ``None`` takes all. The chosen draw is
 # fitted on all rows.
 SEARCH_ROWS = 3_000
