@@ -127,28 +127,37 @@ def _grams(text: np.ndarray, words: np.ndarray, shapes: np.ndarray):
     return np.concatenate([t for t, _ in found]), _slots(np.concatenate([v for _, v in found]))
 
 
-def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, feature) of whole texts, ordered by text; a null text counts as empty.
+def feature_blocks(texts: pa.Array):
+    """(first text, end, numbers of the texts, features): the distinct features of whole texts,
+    ordered by text, for some neighbouring texts at a time; a null text counts as empty.
 
     Texts are read in blocks of ``BLOCK_BYTES``: many short ones, or a part of a long one. The next
     part starts a few tokens earlier, so that no n-gram is lost. A word longer than a block counts as
     one word a block.
     """
+    if not len(texts):
+        return
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     _, offsets, data = texts.buffers()
     offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
-    keys, at = [], 0
+    at = 0
     while at < len(texts):
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BLOCK_BYTES, side="right")) - 1)
         start, stop = int(offsets[at]), int(offsets[end])
         if stop - start <= BLOCK_BYTES:
-            keys.append(_block_keys(data[start:stop], offsets[at:end] - start, at))
+            keys = _block_keys(data[start:stop], offsets[at:end] - start, at)
         else:
-            keys.append(_long_keys(data[start:stop], at))
+            keys = _long_keys(data[start:stop], at)
+        yield at, end, keys >> BITS, keys & ((1 << BITS) - 1)
         at = end
-    keys = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-    return keys >> BITS, keys & ((1 << BITS) - 1)
+
+
+def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(text, feature) of all blocks."""
+    none = np.zeros(0, np.int64)
+    found = [(text, slots) for _, _, text, slots in feature_blocks(texts)]
+    return np.concatenate([none, *(t for t, _ in found)]), np.concatenate([none, *(s for _, s in found)])
 
 
 def _block_keys(data, first, number):
@@ -367,8 +376,9 @@ def score(docs: DataFrame, model: QualityModel, *keep: str) -> DataFrame:
     def run(batches):
         scorer = QualityModel(ratio, weights, *rest)
         for batch in batches:
-            text, slots = features(batch.column("text"))
-            scores = scorer.score(text, slots, batch.num_rows)
+            scores = np.zeros(batch.num_rows)
+            for at, end, text, slots in feature_blocks(batch.column("text")):
+                scores[at:end] = scorer.score(text - at, slots, end - at)
             columns = [batch.column(f.name) for f in fields]
             columns += [pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, names)

@@ -73,6 +73,7 @@ def sets(texts):
 
 def test_features_against_a_plain_version():
     assert sets(TEXTS) == [plain_features(t) for t in TEXTS]
+    assert len(qm.features(pa.array([], pa.string()))[0]) == 0
     part = pa.array(TEXTS, pa.string()).slice(3, 5)
     assert set(qm.features(part)[1]) == set().union(*[plain_features(t) for t in TEXTS[3:8]])
 
