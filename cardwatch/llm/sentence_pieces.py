@@ -5,16 +5,21 @@ from __future__ import annotations
 import heapq
 import re
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import columns_of, read_table
+from cardwatch.llm.common import columns_of, read_table, stored
 from cardwatch.llm.registry import query
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"  # fixed value: the mark that stands for a blank
 BLOCK_BYTES = 8 << 20  # texts whose words are looked up together
+_STEP_BYTES = 1 << 20  # texts whose words are in Python at a time
+_ROWS_AT_ONCE = 128  # texts that are decoded together
 BITS = 62  # words of more characters are folded outside of Spark's expressions
 UNKNOWN_PENALTY = 10.0
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}\n\t]+|{SPACE}+|[\n\t]")
@@ -63,26 +68,18 @@ def _in_blocks(batches):
 
 def lattice(words: DataFrame, table: DataFrame, pieces: Pieces) -> DataFrame:
     """``word`` and ``edges``: the substrings of up to the longest piece that are pieces, and every
-    single character, as (s, e, score, ids). A character that is no piece has the ids of its bytes.
+    single character, as (s, e, score, id). A character that is no piece has the id -1.
 
     ``words`` holds distinct words, dealt by word; the join keeps that, so grouping needs no
     shuffle. The piece table is broadcast: its size is that of the model.
     """
-    spans = F.expr(
-        "flatten(transform(sequence(0, char_length(word) - 1), s -> transform(sequence(1,"
-        f" least({pieces.longest}, char_length(word) - s)), k -> struct(s AS s, s + k AS e))))"
-    )
-    cut = words.select("word", F.explode(spans).alias("x")).select("word", "x.s", "x.e")
+    starts = F.expr("explode(sequence(0, char_length(word) - 1))").alias("s")
+    ends = F.expr(f"explode(sequence(s + 1, least(s + {pieces.longest}, char_length(word))))").alias("e")
+    cut = words.select("word", starts).select("word", "s", ends)
     cut = cut.withColumn("piece", F.expr("substring(word, s + 1, e - s)"))
     found = cut.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR e = s + 1")
-    bytes_ = F.expr(
-        "transform(sequence(1, octet_length(piece)), i -> element_at(byte_ids,"
-        " 1 + CAST(conv(substring(hex(encode(piece, 'UTF-8')), 2 * i - 1, 2), 16, 10) AS int)))"
-    )
-    ids = F.when(F.col("id").isNotNull(), F.array("id")).otherwise(bytes_)
     score = F.coalesce("score", F.lit(pieces.least_score - UNKNOWN_PENALTY))
-    edge = F.struct("s", "e", score.alias("score"), ids.alias("ids"), F.col("id").isNotNull().alias("known"))
-    found = found.withColumn("byte_ids", F.array(*[F.lit(b) for b in pieces.byte_ids]))
+    edge = F.struct("s", "e", score.alias("score"), F.coalesce("id", F.lit(-1)).alias("id"))
     return found.select("word", edge.alias("edge")).groupBy("word").agg(F.collect_list("edge").alias("edges"))
 
 
@@ -125,7 +122,7 @@ def merge_fold() -> Column:
         f" AND bit_count(a & {_between()}) = 1, a & ~{_between()}, a)"
     )
     ordered = (
-        "transform(array_sort(transform(filter(edges, x -> x.known AND x.e > x.s + 1),"
+        "transform(array_sort(transform(filter(edges, x -> x.id >= 0 AND x.e > x.s + 1),"
         " x -> struct(-x.score AS r, x.s AS s, x.e AS e))), x -> struct(x.s AS s, x.e AS e))"
     )
     return F.expr(
@@ -135,12 +132,19 @@ def merge_fold() -> Column:
     )
 
 
-def _taken() -> Column:
-    """Ids of the edges that span neighbouring boundaries, from left to right."""
+def _taken(byte_ids: list[int]) -> Column:
+    """Ids of the edges that span neighbouring boundaries, from left to right; those of the bytes of
+    a character that is no piece."""
+    known = ", ".join(map(str, byte_ids))
+    bytes_ = (
+        "transform(sequence(1, octet_length(substring(word, x.s + 1, 1))), i -> element_at(array("
+        + known
+        + "), 1 + CAST(conv(substring(hex(encode(substring(word, x.s + 1, 1), 'UTF-8')), 2 * i - 1, 2), 16, 10) AS int)))"
+    )
     return F.expr(
         "flatten(transform(array_sort(transform(filter(edges, x -> (bits & shiftleft(1L, x.s)) != 0"
         f" AND (bits & shiftleft(1L, x.e)) != 0 AND (bits & {_between()}) = 0),"
-        " x -> struct(x.s AS s, x.ids AS ids))), x -> x.ids))"
+        f" x -> struct(x.s AS s, x.id AS id))), x -> IF(x.id >= 0, array(x.id), {bytes_})))"
     )
 
 
@@ -205,7 +209,7 @@ def encode_words(words: DataFrame, pieces: Pieces, unigram: bool) -> DataFrame:
     table = spark.createDataFrame(pieces.rows, "piece string, id int, score double")
     short = lattice(words.where(F.length("word") <= BITS), table, pieces)
     short = short.withColumn("bits", viterbi_fold() if unigram else merge_fold())
-    return short.select("word", _taken().alias("ids"))
+    return short.select("word", _taken(pieces.byte_ids).alias("ids"))
 
 
 def encode(docs: DataFrame, model_path: str, *keep: str, unigram: bool = False) -> DataFrame:
@@ -242,11 +246,13 @@ def encode(docs: DataFrame, model_path: str, *keep: str, unigram: bool = False)
         return pa.RecordBatch.from_arrays([key, pa.array(list(held), pa.string())], ["block", "word"])
 
     def dealt(batches):
+        packer = zstandard.ZstdCompressor(level=1)
         for block, batch, _ in _in_blocks(batches):
             key = [part << 32 | block for part in batch.column("part").to_pylist()]
-            columns = [pa.array(key, pa.int64()), batch.column("text")]
+            packed = [packer.compress((t or "").encode()) for t in batch.column("text").to_pylist()]
+            columns = [pa.array(key, pa.int64()), pa.array(packed, pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                columns + [batch.column(f.name) for f in fields], ["block", "text", *(f"k{i}" for i in range(len(fields)))]
+                columns + [batch.column(f.name) for f in fields], ["block", "z", *(f"k{i}" for i in range(len(fields)))]
             )
 
     by_word = rows.select("text", "part").mapInArrow(distinct, "block bigint, word string").repartition("word")
@@ -255,23 +261,45 @@ def encode(docs: DataFrame, model_path: str, *keep: str, unigram: bool = False)
     known = encode_words(words, pieces, unigram)
     named = by_word.join(known, "word").select("block", "word", "ids")
     kept = "".join(f", k{i} {f.dataType.simpleString()}" for i, f in enumerate(fields))
-    texts = rows.mapInArrow(dealt, "block bigint, text string" + kept)
+    texts = rows.mapInArrow(dealt, "block bigint, z binary" + kept)
 
     def put_together(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids = dict(zip(right.column("word").to_pylist(), right.column("ids").to_pylist()))
-
-        def look_up(word):
-            if word not in ids:  # a long one
-                ids[word] = (
-                    viterbi_long(word, pieces, scores) if unigram else merge_long(word, scores, pieces.byte_ids)
-                )
-            return ids[word]
-
-        found = [[i for w in words_of(t) for i in look_up(w)] for t in left.column("text").to_pylist()]
+        known, ids = right.column("word").combine_chunks(), right.column("ids").combine_chunks()
+        unpacker = zstandard.ZstdDecompressor()
+        parts, words, ends, size = [], [], [], 0
+
+        def flush():
+            # Words become row numbers of the block's table, and these the ids of the words.
+            at = pc.index_in(pa.array(words, pa.string()), known)
+            missing = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
+            if len(missing):  # long words, folded here
+                long = [words[i] for i in missing]
+                folded = [
+                    viterbi_long(w, pieces, scores) if unigram else merge_long(w, scores, pieces.byte_ids) for w in long
+                ]
+                table = pa.concat_arrays([ids, pa.array(folded, ids.type)])
+                at = at.fill_null(0).to_numpy().astype(np.int64)
+                at[missing] = len(ids) + np.arange(len(missing))
+                taken = table.take(pa.array(at))
+            else:
+                taken = ids.take(at)
+            counts = np.append(0, np.cumsum(pc.list_value_length(taken).to_numpy(zero_copy_only=False)))
+            offsets = pa.array(counts[np.array([0, *ends])].astype(np.int32))
+            parts.append(pa.ListArray.from_arrays(offsets, taken.flatten()))
+
+        for z in left.column("z"):
+            text = unpacker.decompress(z.as_py()).decode()
+            words += words_of(text)
+            ends.append(len(words))
+            size += len(text)
+            if size >= _STEP_BYTES:
+                flush()
+                words, ends, size = [], [], 0
+        if ends:
+            flush()
         columns = [left.column(f"k{i}") for i in range(len(fields))]
-        return pa.Table.from_arrays(
-            [*columns, pa.array(found, pa.list_(pa.int32()))], [*(f"k{i}" for i in range(len(fields))), "ids"]
-        )
+        found = pa.chunked_array(parts, pa.list_(pa.int32()))
+        return pa.Table.from_arrays([*columns, found], [*(f"k{i}" for i in range(len(fields))), "ids"])
 
     out = texts.groupBy("block").cogroup(named.groupBy("block")).applyInArrow(put_together, kept[2:] + ", ids array<int>")
     return out.toDF(*(f.name for f in fields), "ids")
@@ -290,21 +318,28 @@ def decode(encoded: DataFrame, model_path: str, *keep: str) -> DataFrame:
         data[i] = piece.replace(SPACE, " ").encode()
     for b, i in enumerate(pieces.byte_ids):
         data[i] = bytes([b])
+    nothing = len(data)  # stands for ids outside the table
     rows = columns_of(encoded, *keep, "ids")
     fields = [f for f in rows.schema.fields if f.name in keep]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "text string"])
 
     def run(batches):
+        table = pa.array([*data, b""], pa.binary())
         for batch in batches:
-            texts = []
-            for ids in batch.column("ids").to_pylist():
-                if ids is None:
-                    texts.append(None)
-                    continue
-                text = b"".join([data[i] for i in ids if 0 <= i < len(data)]).decode("utf-8", "replace")
-                texts.append(text[1:] if text.startswith(" ") else text)
-            columns = [batch.column(f.name) for f in fields] + [pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields] + ["text"])
+            for start in range(0, batch.num_rows, _ROWS_AT_ONCE):
+                part = batch.slice(start, _ROWS_AT_ONCE)
+                lists = part.column("ids")
+                ids = pc.fill_null(lists.flatten(), nothing).to_numpy()
+                ids = np.where((ids < 0) | (ids > nothing), nothing, ids)
+                counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+                offsets = pa.array(np.append(0, np.cumsum(counts)).astype(np.int32))
+                joined = pc.binary_join(pa.ListArray.from_arrays(offsets, table.take(pa.array(ids))), b"")
+                texts = [
+                    x.as_py().decode("utf-8", "replace").removeprefix(" ") if known else None
+                    for x, known in zip(joined, lists.is_valid().to_pylist())
+                ]
+                columns = [part.column(f.name) for f in fields] + [pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields] + ["text"])
 
     return rows.mapInArrow(run, schema)
 
@@ -315,7 +350,8 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path(MODEL)
-    encoded = encode(read_table(spark, folder, "documents"), path, "doc_id")
+    # Written, so that no task needs the memory of both directions.
+    encoded = stored(encode(read_table(spark, folder, "documents"), path, "doc_id"), "piece-ids")
     ids = encoded.withColumn("ids_sha256", F.sha2(F.array_join("ids", ","), 256)).withColumn("n_tokens", F.size("ids").cast("long"))
     decoded = decode(ids, path, "doc_id", "n_tokens", "ids_sha256")
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))

@@ -482,6 +482,18 @@ def test_languages_against_a_plain_version(table):
         assert r["accepted"] == ((large - small) / large >= langid.MIN_MARGIN)
 
 
+def test_decoding_of_odd_ids(spark):
+    path = public_tokenizers.path(sentence_pieces.MODEL)
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    fine = model.encode("the end é 日")
+    byte = model.piece_to_id("<0xFF>")
+    rows = [(1, None), (2, []), (3, [-1, 10**6, None, *fine]), (4, [byte]), (5, fine * 400)] + [(6, fine)] * 300
+    df = spark.createDataFrame(rows, "doc_id bigint, ids array<int>").repartition(2)
+    got = sorted(map(tuple, sentence_pieces.decode(df, path, "doc_id").collect()))
+    want = {1: None, 2: "", 3: "the end é 日", 4: "\ufffd", 5: (" the end é 日" * 400)[1:], 6: "the end é 日"}
+    assert got == sorted((i, want[i]) for i, _ in rows)
+
+
 def test_language_of_long_texts_and_of_any_number(table):
     book = " ".join(f"el perro y la casa de los niños {w}" for w in ("verde", "blanca", "grande") * 400)
     assert len(book) > 16_000
@@ -512,6 +524,29 @@ def test_toxicity_learns_from_long_texts(spark, table):
     assert np.array_equal(model.weights, again.weights) and model.bias == again.bias
 
 
+def test_swaps_lower_false_positives_on_held_out_mentions(monkeypatch):
+    """Where labels go with mentions of groups, clean held-out texts that get one stay clean."""
+    folder = "/root/testdata/sf0.1"
+    rows = duckdb.sql(
+        f"SELECT doc_id, text, toxic FROM '{folder}/documents.parquet' JOIN '{folder}/labels.parquet' USING (doc_id) "
+        "WHERE text IS NOT NULL ORDER BY doc_id"
+    ).fetchall()
+    rnd = random.Random(2)
+    terms = toxicity.IDENTITY_TERMS
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0 and len(r[1]) < 4000]
+    fit = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 and len(r[1]) < 4000]
+    fit = [r for r in fit if r[2]] + [r for r in fit if not r[2]][:800]
+    texts = [t + " " + rnd.choice(terms) * (rnd.random() < (0.6 if y else 0.03)) for _, t, y in fit]
+    wrong, found = {}, {}
+    for weight in (0.0, toxicity.SWAP_WEIGHT):
+        monkeypatch.setattr(toxicity, "SWAP_WEIGHT", weight)
+        model = toxicity.fit(texts, [r[2] for r in fit])
+        wrong[weight] = np.mean([model.score(f"{t} {rnd.choice(terms)}") >= 0.5 for _, t, y in held if not y])
+        found[weight] = np.mean([model.score(t) >= 0.5 for _, t, y in held if y])
+    assert wrong[5.0] < 0.03 and wrong[0.0] > 2 * wrong[5.0]
+    assert found[5.0] > 0.8
+
+
 def test_toxicity_words_are_bounded(spark, table, monkeypatch):
     monkeypatch.setattr(toxicity, "FIT_WORDS", 100)
     rows = [(i, " ".join(f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[j]}" for j in range(10))) for i in range(40)]
