@@ -2,37 +2,94 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.functions.numeric import distance
+from cardwatch.session import stored
 
 DEFAULT_RADIUS = 5.0
 # Cells of a wide radius, from its centre to its edge.
 CELLS = 16
+# Customers, and terminals, that are compared with one another in one go.
+BLOCK_ROWS = 4_096
+_CELL = ["_cell_x", "_cell_y"]
 
 
 def terminals_within_radius(
-    customers: DataFrame, terminals: DataFrame, radius: float = DEFAULT_RADIUS
+    customers: DataFrame,
+    terminals: DataFrame,
+    radius: float = DEFAULT_RADIUS,
+    *,
+    form: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Customers with ``available_terminals`` (sorted ids) and ``nb_terminals``.
 
     A terminal is available at a distance strictly below ``radius``; a customer without any keeps
-    an empty list. Both sides are cut into square cells of the radius, each terminal stands in its
-    own cell and the eight around it, and the join is an equi-join on the cell, which Spark may
-    broadcast or shuffle by the sizes it sees.
+    an empty list. Customers at the same place share one list: it is made once, given its ``form``
+    (text, for example) once, and joined to them. A place with many customers is dealt in blocks,
+    and the number of tasks follows the rows to be compared.
     """
-    return _per_customer(customers, _pairs(customers, terminals, radius))
+    others = [c for c in customers.columns if c != "customer_id"]
+    place = F.struct(F.col("x_customer_id").alias("_x"), F.col("y_customer_id").alias("_y"))
+    # Rows of one id are one customer, who may be at several places, or twice at one.
+    placed = customers.groupBy("customer_id").agg(
+        *[F.any_value(c).alias(c) for c in others],
+        F.sort_array(F.collect_list(place)).alias("_places"),
+    )
+    shared = stored(placed.groupBy("_places").agg(F.count("*").alias("_weight")), "places")
+    met, tasks = _meetings(
+        shared.select("_places", "_weight", F.inline("_places")), ["_places"], terminals, radius
+    )
+    lists = (
+        met.select(F.inline("_customers"), "_terminals")
+        .groupBy("_places")
+        .agg(
+            F.sort_array(F.flatten(F.collect_list("_terminals"))).alias("available_terminals"),
+            # Counted by itself, so that Spark can leave out lists nobody reads.
+            F.sum(F.size("_terminals")).alias("nb_terminals"),
+        )
+    )
+    listed = F.col("available_terminals")
+    none = F.array().cast(lists.schema["available_terminals"].dataType)
+    if form:
+        lists, none = lists.withColumn("available_terminals", form(listed)), form(none)
+    many = F.col("_weight") > BLOCK_ROWS
+    blocks = stored(shared.filter(many).select("_places", _blocks("_weight", "_blocks")), "blocks")
+    number = F.coalesce("_blocks", F.lit(1))
+    block = F.pmod(F.xxhash64("customer_id"), number).alias("_block")
+    key = ["_places", "_block"]
+    lists = lists.join(blocks, "_places", "left").select(
+        "_places", "available_terminals", "nb_terminals", _each(number, "_block")
+    )
+    placed = placed.join(blocks, "_places", "left").select(*placed.columns, block)
+    return (
+        placed.repartition(tasks, *key)
+        .join(lists.repartition(tasks, *key), key, "left")
+        .select(
+            *customers.columns,
+            F.coalesce(listed, none).alias("available_terminals"),
+            F.coalesce("nb_terminals", F.lit(0)).cast("long").alias("nb_terminals"),
+        )
+    )
 
 
 def customer_terminal_pairs(
     customers: DataFrame, terminals: DataFrame, radius: float = DEFAULT_RADIUS
 ) -> DataFrame:
     """The pairs themselves: ``(customer_id, terminal_id)``."""
-    return (
-        _pairs(customers, terminals, radius)
-        .select("customer_id", "terminal_id")
-        .filter(F.col("terminal_id").isNotNull())
+    rows = customers.select(
+        "customer_id",
+        F.lit(1).alias("_weight"),
+        F.col("x_customer_id").alias("_x"),
+        F.col("y_customer_id").alias("_y"),
+    )
+    met, _ = _meetings(rows, ["customer_id"], terminals, radius)
+    return met.select(F.inline("_customers"), "_terminals").select(
+        "customer_id", F.explode("_terminals").alias("terminal_id")
     )
 
 
@@ -120,51 +177,80 @@ def _cell(value: Column, radius: float) -> Column:
     return F.floor(value / (radius * (1 + 1e-9)))
 
 
-def _pairs(customers, terminals, radius):
+def _meetings(customers, ids, terminals, radius):
+    """``_customers`` (structs of the columns ``ids``) at one place and ``_terminals`` (ids) at one
+    place in reach of it; and the number of tasks that suits as many pairs as the ``_weight`` of the
+    customers makes.
+
+    Both sides are cut into square cells of the radius, each terminal stands in its own cell and the
+    eight around it, and the join is an equi-join on the cell. Rows at one place are compared once.
+    Where more than ``BLOCK_ROWS`` of a side meet in a cell, that side is dealt in blocks, every two
+    blocks meet by themselves, and so no task has more than a few times the square of that to do.
+    """
     if radius <= 0:
         raise ValueError("radius must be positive")
-    left = customers.select(
-        "*",
-        _cell(F.col("x_customer_id"), radius).alias("_cell_x"),
-        _cell(F.col("y_customer_id"), radius).alias("_cell_y"),
-    )
+    left = customers.withColumns(
+        {"_cell_x": _cell(F.col("_x"), radius), "_cell_y": _cell(F.col("_y"), radius)}
+    ).dropna(subset=_CELL)
     step = F.array(*[F.lit(i) for i in (-1, 0, 1)])
     right = (
-        terminals.select(
+        terminals.filter(F.col("terminal_id").isNotNull())
+        .select(
             "terminal_id",
-            "x_terminal_id",
-            "y_terminal_id",
+            F.col("x_terminal_id").alias("_at_x"),
+            F.col("y_terminal_id").alias("_at_y"),
             F.explode(step).alias("_step_x"),
         )
         .select("*", F.explode(step).alias("_step_y"))
         .select(
             "terminal_id",
-            "x_terminal_id",
-            "y_terminal_id",
-            (_cell(F.col("x_terminal_id"), radius) + F.col("_step_x")).alias("_near_x"),
-            (_cell(F.col("y_terminal_id"), radius) + F.col("_step_y")).alias("_near_y"),
+            "_at_x",
+            "_at_y",
+            (_cell(F.col("_at_x"), radius) + F.col("_step_x")).alias("_cell_x"),
+            (_cell(F.col("_at_y"), radius) + F.col("_step_y")).alias("_cell_y"),
         )
+        .dropna(subset=_CELL)
     )
-    apart = distance(
-        F.col("x_customer_id"),
-        F.col("y_customer_id"),
-        F.col("x_terminal_id"),
-        F.col("y_terminal_id"),
+    numbers = left.groupBy(*_CELL).agg(F.count("*").alias("_left"), F.sum("_weight").alias("_weight"))
+    cells = stored(
+        numbers.join(right.groupBy(*_CELL).agg(F.count("*").alias("_right")), _CELL), "cells"
     )
-    near = (
-        (F.col("_cell_x") == F.col("_near_x"))
-        & (F.col("_cell_y") == F.col("_near_y"))
-        & (apart < radius)
+    many = (F.col("_left") > BLOCK_ROWS) | (F.col("_right") > BLOCK_ROWS)
+    hot = cells.filter(many).select(*_CELL, _blocks("_left", "_lefts"), _blocks("_right", "_rights"))
+    hot = stored(hot, "hot-cells")
+    lefts, rights = F.coalesce("_lefts", F.lit(1)), F.coalesce("_rights", F.lit(1))
+    own, near = F.xxhash64(*ids, "_x", "_y"), F.xxhash64("terminal_id", "_at_x", "_at_y")
+    left = (
+        left.join(hot, _CELL, "left")
+        .withColumns({"_l": F.pmod(own, lefts), "_blocks": rights})
+        .groupBy(*_CELL, "_l", "_blocks", "_x", "_y")
+        .agg(F.collect_list(F.struct(*ids)).alias("_customers"))
+        .select(*_CELL, "_l", _each(F.col("_blocks"), "_r"), "_x", "_y", "_customers")
+    )
+    right = (
+        right.join(hot, _CELL, "left")
+        .withColumns({"_r": F.pmod(near, rights), "_blocks": lefts})
+        .groupBy(*_CELL, "_r", "_blocks", "_at_x", "_at_y")
+        .agg(F.collect_list("terminal_id").alias("_terminals"))
+        .select(*_CELL, "_r", _each(F.col("_blocks"), "_l"), "_at_x", "_at_y", "_terminals")
     )
-    return left.join(right, near, "left")
+    key = [*_CELL, "_l", "_r"]
+    tasks = _tasks(cells, "_left")
+    apart = distance(F.col("_x"), F.col("_y"), F.col("_at_x"), F.col("_at_y"))
+    met = left.repartition(tasks, *key).join(right.repartition(tasks, *key), key)
+    return met.filter(apart < radius).select("_customers", "_terminals"), _tasks(cells, "_weight")
 
 
-def _per_customer(customers, pairs):
-    others = [c for c in customers.columns if c != "customer_id"]
-    listed = pairs.groupBy("customer_id").agg(
-        *[F.any_value(c).alias(c) for c in others],
-        F.sort_array(F.collect_list("terminal_id")).alias("available_terminals"),
-        # Counted by itself, so that Spark can leave out lists nobody reads.
-        F.count("terminal_id").alias("nb_terminals"),
-    )
-    return listed.select(*customers.columns, "available_terminals", "nb_terminals")
+def _blocks(rows: str, name: str) -> Column:
+    return F.ceil(F.col(rows) / BLOCK_ROWS).alias(name)
+
+
+def _each(number: Column, name: str) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), number - 1)).alias(name)
+
+
+def _tasks(cells: DataFrame, rows: str) -> int:
+    """One for every two full blocks that meet, and no fewer than a shuffle has."""
+    work = F.sum(F.col(rows).cast("double") * F.col("_right"))
+    full = (cells.agg(work).first()[0] or 0) / BLOCK_ROWS**2
+    return max(math.ceil(full), int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -206,8 +206,7 @@ GROUP BY ALL"""
 
 def _flat(listed):
     """The list as text, which every engine compares alike."""
-    text = F.array_join(F.col("available_terminals").cast("array<string>"), ",")
-    return listed.withColumn("available_terminals", text)
+    return F.array_join(listed.cast("array<string>"), ",")
 
 
 @query(
@@ -216,8 +215,8 @@ def _flat(listed):
     f"FROM ({_radius_sql(5)})",
 )
 def terminals_within_radius(spark, sf):
-    return _flat(
-        spatial.terminals_within_radius(customer_places(spark, sf), terminal_places(spark, sf))
+    return spatial.terminals_within_radius(
+        customer_places(spark, sf), terminal_places(spark, sf), form=_flat
     )
 
 

@@ -113,3 +113,27 @@ def test_few_pairs_are_compared_at_a_wide_radius(spark):
     compared = edge.join(spatial._terminal_cells(terminals, 50 / 32), ["_tx", "_ty"]).count()
     counted = inside.agg(spatial.F.sum("n")).first()[0]
     assert compared < 0.1 * 200 * 2000 and counted > 5 * compared
+
+
+def crowd(monkeypatch):
+    """Blocks of four rows; places that many share, and ids that are missing or repeated."""
+    monkeypatch.setattr(spatial, "BLOCK_ROWS", 4, raising=False)
+    customers = [(1.0, 1.0)] * 40 + [(float(i), 2.0) for i in range(20)] + [(90.0, 90.0), (None, 1.0)]
+    terminals = [(2.0, 1.0)] * 30 + [(8.0, float(i)) for i in range(10)]
+    return customers, terminals
+
+
+def test_pairs_of_a_crowded_cell_are_dealt_in_blocks(spark, monkeypatch):
+    customers, terminals = crowd(monkeypatch)
+    left = places(spark, "customer", customers)
+    left = left.unionByName(left.filter("customer_id = 3")).unionByName(
+        left.filter("customer_id = 4").withColumn("customer_id", spatial.F.lit(None).cast("long"))
+    )
+    got = customer_terminal_pairs(left, places(spark, "terminal", terminals))
+    near = by_hand([c for c in customers if c[0] is not None], terminals, 5)
+    want = [(c, t) for c, found in near.items() for t in found]
+    want += [p for p in want if p[0] == 3] + [(None, t) for c, t in want if c == 4]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    parts = got.groupBy(spatial.F.spark_partition_id()).count().collect()
+    # Before, all pairs of a cell came out of one task.
+    assert got.rdd.getNumPartitions() > 100 and max(r["count"] for r in parts) < len(want) / 5
