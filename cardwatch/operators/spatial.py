@@ -40,13 +40,18 @@ def terminals_within_radius(
         *[F.any_value(c).alias(c) for c in others],
         F.sort_array(F.collect_list(place)).alias("_places"),
     )
-    shared = stored(placed.groupBy("_places").agg(F.count("*").alias("_weight")), "places")
+    # The key is text, as Spark deals rows anew for a join by fractions.
+    placed = placed.withColumn("_spot", F.col("_places").cast("string"))
+    shared = placed.groupBy("_spot").agg(
+        F.any_value("_places").alias("_places"), F.count("*").alias("_weight")
+    )
+    shared = stored(shared, "places")
     met, tasks = _meetings(
-        shared.select("_places", "_weight", F.inline("_places")), ["_places"], terminals, radius
+        shared.select("_spot", "_weight", F.inline("_places")), ["_spot"], terminals, radius
     )
     lists = (
         met.select(F.inline("_customers"), "_terminals")
-        .groupBy("_places")
+        .groupBy("_spot")
         .agg(
             F.sort_array(F.flatten(F.collect_list("_terminals"))).alias("available_terminals"),
             # Counted by itself, so that Spark can leave out lists nobody reads.
@@ -58,14 +63,14 @@ def terminals_within_radius(
     if form:
         lists, none = lists.withColumn("available_terminals", form(listed)), form(none)
     many = F.col("_weight") > BLOCK_ROWS
-    blocks = stored(shared.filter(many).select("_places", _blocks("_weight", "_blocks")), "blocks")
+    blocks = stored(shared.filter(many).select("_spot", _blocks("_weight", "_blocks")), "blocks")
     number = F.coalesce("_blocks", F.lit(1))
     block = F.pmod(F.xxhash64("customer_id"), number).alias("_block")
-    key = ["_places", "_block"]
-    lists = lists.join(blocks, "_places", "left").select(
-        "_places", "available_terminals", "nb_terminals", _each(number, "_block")
+    key = ["_spot", "_block"]
+    lists = lists.join(blocks, "_spot", "left").select(
+        "_spot", "available_terminals", "nb_terminals", _each(number, "_block")
     )
-    placed = placed.join(blocks, "_places", "left").select(*placed.columns, block)
+    placed = placed.join(blocks, "_spot", "left").select(*customers.columns, "_spot", block)
     return (
         placed.repartition(tasks, *key)
         .join(lists.repartition(tasks, *key), key, "left")

@@ -137,3 +137,21 @@ def test_pairs_of_a_crowded_cell_are_dealt_in_blocks(spark, monkeypatch):
     parts = got.groupBy(spatial.F.spark_partition_id()).count().collect()
     # Before, all pairs of a cell came out of one task.
     assert got.rdd.getNumPartitions() > 100 and max(r["count"] for r in parts) < len(want) / 5
+
+
+def test_customers_at_one_place_share_a_list(spark, monkeypatch):
+    customers, terminals = crowd(monkeypatch)
+    left = places(spark, "customer", customers).unionByName(places(spark, "customer", customers[:3]))
+    left = left.unionByName(places(spark, "customer", [(8.0, 9.0)]))
+    got = terminals_within_radius(
+        left, places(spark, "terminal", terminals), form=lambda ids: spatial.F.array_join(ids, ",")
+    )
+    near = by_hand([(0.0, -90.0) if c[0] is None else c for c in customers], terminals, 5)
+    for c in range(3):  # rows of one id count each, also those at another place
+        near[c] = sorted(near[c] * 2)
+    near[0] = sorted(near[0] + by_hand([(8.0, 9.0)], terminals, 5)[0])
+    found = {r["customer_id"]: (r["available_terminals"], r["nb_terminals"]) for r in got.collect()}
+    assert found == {c: (",".join(map(str, t)), len(t)) for c, t in near.items()}
+    # Before, all customers of a cell were listed by one task.
+    parts = got.filter("nb_terminals > 0").groupBy(spatial.F.spark_partition_id()).count().collect()
+    assert got.rdd.getNumPartitions() > 100 and max(r["count"] for r in parts) < len(customers) / 3
