@@ -167,3 +167,25 @@ def test_registered_forests_have_the_default_size(spark, monkeypatch, name):
     with pytest.raises(Asked):
         getattr(model_queries, name)(spark, SMALL)
     assert seen == [((), {})]
+
+
+def test_rows_of_a_fit_are_dealt_by_their_number(spark, data, monkeypatch):
+    monkeypatch.setattr(ml, "FIT_ROWS", 20, raising=False)
+    sizes, real = [], RandomForestClassifier.fit
+
+    def fit(self, rows, *args):
+        held = rows.groupBy(F.spark_partition_id()).count().collect()
+        sizes.append([r["count"] for r in held])
+        return real(self, rows, *args)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", fit)
+    pipeline = ml.forest_pipeline(maxDepth=2, numTrees=2)
+    grid = ml.forest_grid(pipeline, 1, seed=3, **SHORT)
+    # Before, the partitions were those of the files, here one.
+    ml.search(data.coalesce(1), pipeline, grid, folds=2)
+    assert sum(sizes[-1]) == 300 and max(sizes[-1]) < 60
+    model = ml.fit(pipeline, data.coalesce(1))
+    assert sum(sizes[-1]) == 300 and max(sizes[-1]) < 60
+    assert ml.score(model, data).count() == 300
+    ml.fit(pipeline, data.withColumn("transaction_id", F.lit(None).cast("long")).coalesce(1))
+    assert sum(sizes[-1]) == 300 and max(sizes[-1]) < 60
