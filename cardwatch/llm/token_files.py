@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import struct
 import zlib
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +23,10 @@ FRAME = 1 << 12  # symbols that are compressed together, and unpacked to read a
 LEAST_COUNT = 4  # a rule costs three numbers, so rarer pairs stay
 BUCKETS = 1 << 18
 CACHED_CHUNKS = 900_000
-JOINED_CHUNKS = 2_000
+JOINED_CHUNKS = 500
 TEXTS_AT_ONCE = 64
 MAGIC = b"RPG2"
+BLANK = "Ġ"  # how a vocabulary of bytes writes a blank
 _SPACES = re.compile(r" \s")
 _ENCODERS: dict[str, "Encoder"] = {}
 FILES_SCHEMA = "shard_key bigint, n_documents int, n_tokens bigint, payload binary"
@@ -37,9 +37,9 @@ class Encoder:
 
     The vocabulary never joins a character and a blank after it, so a text is cut before each blank
     and every distinct chunk is encoded once and remembered; chunks that are new are encoded many at
-    a time, joined to one text, and told apart by the offsets of their tokens. Texts in which white
-    space follows a blank, or that end in one, where a cut could fall inside a run of white space,
-    are encoded in one piece.
+    a time, joined to one text, and told apart by the tokens that begin with a blank, as the first of
+    a chunk does and no other. Texts in which white space follows a blank, or that end in one, where
+    a cut could fall inside a run of white space, are encoded in one piece.
     """
 
     def __init__(self, path: str):
@@ -47,6 +47,9 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        words = self._tokenizer.get_vocab()
+        self._opens = np.zeros(max(words.values()) + 1, bool)
+        self._opens[[i for word, i in words.items() if word.startswith(BLANK)]] = True
         self._ids: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
@@ -63,12 +66,17 @@ class Encoder:
     def _remember(self, chunks: list[str]) -> None:
         for i in range(0, len(chunks), JOINED_CHUNKS):
             part = chunks[i : i + JOINED_CHUNKS]
-            found = self._tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
-            ids = np.array(found.ids, np.uint32).tobytes()
-            starts = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
-            ends = np.searchsorted(starts, np.cumsum([len(c) + 1 for c in part]))
-            at = 0
-            for chunk, end in zip(part, (4 * ends).tolist()):
+            text = " " + " ".join(part)
+            found = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+            ids = np.array(found.ids, np.uint32)
+            starts = np.flatnonzero(self._opens[ids])
+            ends = np.append(starts[1:], len(ids))
+            if len(starts) != len(part):  # a vocabulary that writes blanks in another way
+                whole = self._tokenizer.encode(text, add_special_tokens=False)
+                starts = np.array(whole.offsets, np.int64).reshape(-1, 2)[:, 0]
+                ends = np.searchsorted(starts, np.cumsum([len(c) + 1 for c in part]))
+            ids, ends, at = ids.tobytes(), (4 * ends).tolist(), 0
+            for chunk, end in zip(part, ends):
                 self._ids[chunk] = ids[at:end]
                 at = end
 
@@ -80,23 +88,23 @@ class Encoder:
         cut = [None if t.endswith(" ") or _SPACES.search(t) else t.split(" ") for t in texts]
         firsts = [parts.pop(0) if parts else "" for parts in cut]
         rest = [parts or [] for parts in cut]
-        new: set[str] = set()
-        for chunks in rest:
-            new.update(filterfalse(self._ids.__contains__, chunks))
+        found = [list(map(self._ids.get, chunks)) for chunks in rest]
+        missing = [[i for i, ids in enumerate(got) if ids is None] for got in found]
+        new = {chunks[i] for chunks, places in zip(rest, missing) for i in places}
         if len(self._ids) + len(new) > CACHED_CHUNKS // 2:
             # What has not been used for half of the cache is forgotten.
             self._ids, self._older = {}, self._ids
-            new.update(*rest)
         for chunk in new & self._older.keys():
             self._ids[chunk] = self._older[chunk]
         self._remember([c for c in new if c not in self._ids])
-        known = self._ids.__getitem__
         out = []
-        for text, parts, first, chunks in zip(texts, cut, firsts, rest):
+        for text, parts, first, chunks, got, places in zip(texts, cut, firsts, rest, found, missing):
             if parts is None:
                 ids = self._whole(text)
             else:
-                ids = (self._whole(first) if first else b"") + b"".join(map(known, chunks))
+                for i in places:
+                    got[i] = self._ids[chunks[i]]
+                ids = (self._whole(first) if first else b"") + b"".join(got)
             out.append(np.frombuffer(ids, np.uint32))
         return out
 
@@ -114,11 +122,12 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_symbol: int):
     right: list[np.ndarray] = []
     symbols = first_symbol
     while len(seq) > 1:
-        a, b, open_ = seq[:-1], seq[1:], ~last[:-1]
+        a, b = seq[:-1], seq[1:]
         slot = (a * 40503 + b * 60493) & (BUCKETS - 1)
-        counts = np.bincount(slot[open_], minlength=BUCKETS)
-        floor = _top(counts[counts >= LEAST_COUNT])
-        maybe = np.flatnonzero(open_ & (counts[slot] >= floor))
+        slot[np.flatnonzero(last[:-1])] = BUCKETS  # pairs over an end have a slot of their own
+        counts = np.bincount(slot, minlength=BUCKETS + 1)
+        counts[BUCKETS] = 0
+        maybe = np.flatnonzero((counts >= _top(counts[counts >= LEAST_COUNT]))[slot])
         if not len(maybe):
             break
         pairs, which, exact = np.unique(
