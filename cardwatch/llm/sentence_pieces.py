@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import heapq
 import re
+import zlib
+from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -12,17 +15,20 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import columns_of, read_table, stored
+from cardwatch.llm.common import columns_of, read_table
 from cardwatch.llm.registry import query
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"  # fixed value: the mark that stands for a blank
-BLOCK_BYTES = 8 << 20  # texts whose words are looked up together
-_STEP_BYTES = 1 << 20  # texts whose words are in Python at a time
+BLOCK_BYTES = 16 << 20  # texts whose words are looked up together
+_STEP_BYTES = 1 << 19  # texts whose word numbers are packed together
+_WORDS_AT_ONCE = 1 << 19  # words whose ids are packed together
 _ROWS_AT_ONCE = 128  # texts that are decoded together
 BITS = 62  # words of more characters are folded outside of Spark's expressions
 UNKNOWN_PENALTY = 10.0
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}\n\t]+|{SPACE}+|[\n\t]")
+# Letters and other characters apart, for models without a piece that has both.
+_RUNS = re.compile(f"{SPACE}*[^\\W\\d_¹²³¼-¾]+|{SPACE}*(?:[^\\w{SPACE}\n\t]|[\\d_¹²³¼-¾])+|{SPACE}+|[\n\t]")
 
 
 class Pieces:
@@ -44,48 +50,102 @@ class Pieces:
         self.byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         if any(SPACE in p.lstrip(SPACE) or len(p) > 1 and set(p) & set("\n\t") for p, _, _ in self.rows):
             raise ValueError("pieces of this model reach over words")
+        # Both patterns end a word between two characters for what these two are, so one that leaves
+        # all pieces whole cuts no piece anywhere.
+        self.pattern = _RUNS if all(len(_RUNS.findall(p)) == 1 for p, _, _ in self.rows) else _WORDS
+        ranks = {s: i for i, s in enumerate(sorted({s for _, _, s in self.rows}, reverse=True))}
+        self.ranked = [(p, i, s, ranks[s]) for p, i, s in self.rows]
+        if len(ranks) >= 1 << 20:
+            raise ValueError("more scores than an edge has bits for")
 
 
-def words_of(text: str | None) -> list[str]:
+def words_of(text: str | None, pattern: re.Pattern = _WORDS) -> list[str]:
     """Words of a text, no piece reaches from one into the next; null and empty texts have none."""
-    return _WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
+    return pattern.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
-def _in_blocks(batches):
-    """(block, batch rows): rows in order, a new block after about ``BLOCK_BYTES`` of text."""
-    block, size = 0, 0
-    for batch in batches:
-        start = 0
-        texts = batch.column("text").to_pylist()
-        for i, text in enumerate(texts):
-            size += len(text or "")
-            if size >= BLOCK_BYTES:
-                yield block, batch.slice(start, i + 1 - start), True
-                start, block, size = i + 1, block + 1, 0
-        if start < len(texts):
-            yield block, batch.slice(start), False
-
-
-def lattice(words: DataFrame, table: DataFrame, pieces: Pieces) -> DataFrame:
-    """``word`` and ``edges``: the substrings of up to the longest piece that are pieces, and every
-    single character, as (s, e, score, id). A character that is no piece has the id -1.
-
-    ``words`` holds distinct words, dealt by word; the join keeps that, so grouping needs no
-    shuffle. The piece table is broadcast: its size is that of the model.
+class _Block(dict):
+    """The distinct words of a block of texts, numbered as they come.
+
+    A text is split at blanks; the words of a chunk, which are looked up by chunk, never reach over
+    the blank before it. Texts in which that blank is not the only one, or that have the mark
+    itself, are chunks of their own.
+    """
+
+    def __init__(self, pattern: re.Pattern):
+        self._pattern = pattern
+        self.words: dict[str, int] = {}
+        self._ends, self._numbers = array("i", [0]), array("i")
+        self.size = 0
+
+    def __missing__(self, chunk: str) -> int:
+        words = self.words
+        if chunk.isalpha():
+            word = SPACE + chunk
+            self._numbers.append(words.setdefault(word, len(words)))
+        else:
+            for word in self._pattern.findall(SPACE + chunk.replace(" ", SPACE)):
+                self._numbers.append(words.setdefault(word, len(words)))
+        self._ends.append(len(self._numbers))
+        self[chunk] = number = len(self)
+        return number
+
+    def chunks(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        self.size += len(text)
+        if "  " in text or " " in (text[0], text[-1]) or SPACE in text:
+            return [text]
+        return text.split(" ")
+
+    def numbers(self, texts: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Word numbers of all texts one after the other, and how many each text has."""
+        ends, numbers = np.array(self._ends), np.array(self._numbers)
+        chunks = np.fromiter(chain.from_iterable(texts), np.int64)
+        counts = ends[chunks + 1] - ends[chunks]
+        total = np.append(0, np.cumsum(counts))
+        places = np.arange(total[-1]) + np.repeat(ends[chunks] - total[:-1], counts)
+        sizes = total[np.append(0, np.cumsum([len(t) for t in texts], dtype=np.int64))]
+        return numbers[places], np.diff(sizes)
+
+    def key(self, part: int, block: int) -> int:
+        """Of the place of a block and of its words in their order, so that a table whose rows come
+        in another order when it is read again is found out."""
+        if part >= 1 << 20 or block >= 1 << 11:
+            raise ValueError("more blocks than their key has bits for")
+        return part << 43 | block << 32 | zlib.crc32("\0".join(self.words).encode())
+
+
+def _packed(x: str) -> str:
+    """An edge as one number, which sorts by rank, start and end."""
+    return f"(shiftleft(CAST({x}rank AS bigint), 43) | shiftleft(CAST({x}s AS bigint), 37) | shiftleft(CAST({x}e AS bigint), 31) | {x}id)"
+
+
+_S, _E, _ID = "CAST(shiftright(x, 37) & 63 AS int)", "CAST(shiftright(x, 31) & 63 AS int)", "CAST(x & 2147483647L AS int)"
+UNKNOWN = (1 << 31) - 1  # id of an edge of a character that is no piece
+
+
+def lattice(words: DataFrame, table: DataFrame, pieces: Pieces, scores: bool = False) -> DataFrame:
+    """The columns of ``words`` and ``edges``: the substrings of ``word`` of up to the longest piece
+    that are pieces, and every single character. An edge is packed (:func:`_packed`), or with
+    ``scores`` a struct of s, e, rank, id and score.
+
+    ``words`` holds distinct words, dealt by ``h``; the join keeps that, so grouping needs no
+    shuffle. Words are grouped by two hashes of 64 bits, and one edge of each brings its columns
+    along. The piece table is broadcast: its size is that of the model.
     """
     starts = F.expr("explode(sequence(0, char_length(word) - 1))").alias("s")
     ends = F.expr(f"explode(sequence(s + 1, least(s + {pieces.longest}, char_length(word))))").alias("e")
-    cut = words.select("word", starts).select("word", "s", ends)
+    cut = words.select("*", starts).select("*", ends)
     cut = cut.withColumn("piece", F.expr("substring(word, s + 1, e - s)"))
     found = cut.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR e = s + 1")
+    found = found.withColumns({"id": F.expr(f"coalesce(id, {UNKNOWN})"), "rank": F.expr("coalesce(rank, 0)")})
     score = F.coalesce("score", F.lit(pieces.least_score - UNKNOWN_PENALTY))
-    edge = F.struct("s", "e", score.alias("score"), F.coalesce("id", F.lit(-1)).alias("id"))
-    return found.select("word", edge.alias("edge")).groupBy("word").agg(F.collect_list("edge").alias("edges"))
-
-
-def _between() -> str:
-    """The boundaries strictly inside an edge ``x``, as bits."""
-    return "(shiftleft(1L, x.e) - shiftleft(2L, x.s))"
+    edge = F.struct("s", "e", "rank", "id", score.alias("score")) if scores else F.expr(_packed(""))
+    carried = [c for c in words.columns if c not in ("h", "g")]
+    first = [F.expr(f"IF(s = 0 AND e = 1, `{c}`, NULL)").alias(c) for c in carried]
+    grouped = found.select("h", "g", edge.alias("edge"), *first).groupBy("h", "g")
+    return grouped.agg(F.collect_list("edge").alias("edges"), *[F.first(c, ignorenulls=True).alias(c) for c in carried])
 
 
 def viterbi_fold() -> Column:
@@ -117,13 +177,11 @@ def merge_fold() -> Column:
     left; an edge is taken when both its ends are boundaries and just one lies between them, that
     is, when it joins two neighbours. The second sweep takes what only a later merge made possible.
     """
-    step = (
-        f"(a, x) -> IF((a & shiftleft(1L, x.s)) != 0 AND (a & shiftleft(1L, x.e)) != 0"
-        f" AND bit_count(a & {_between()}) = 1, a & ~{_between()}, a)"
-    )
+    step = "(a, x) -> IF((a & x.ends) = x.ends AND bit_count(a & x.inner) = 1, a & ~x.inner, a)"
+    ends = f"(shiftleft(1L, {_S}) | shiftleft(1L, {_E}))"
     ordered = (
-        "transform(array_sort(transform(filter(edges, x -> x.id >= 0 AND x.e > x.s + 1),"
-        " x -> struct(-x.score AS r, x.s AS s, x.e AS e))), x -> struct(x.s AS s, x.e AS e))"
+        f"transform(sort_array(filter(edges, x -> {_E} > {_S} + 1)),"
+        f" x -> struct({ends} AS ends, (shiftleft(1L, {_E}) - shiftleft(2L, {_S})) AS inner))"
     )
     return F.expr(
         "element_at(transform(array("
@@ -137,14 +195,18 @@ def _taken(byte_ids: list[int]) -> Column:
     a character that is no piece."""
     known = ", ".join(map(str, byte_ids))
     bytes_ = (
-        "transform(sequence(1, octet_length(substring(word, x.s + 1, 1))), i -> element_at(array("
+        f"transform(sequence(1, octet_length(substring(word, {_S} + 1, 1))), i -> element_at(array("
         + known
-        + "), 1 + CAST(conv(substring(hex(encode(substring(word, x.s + 1, 1), 'UTF-8')), 2 * i - 1, 2), 16, 10) AS int)))"
+        + f"), 1 + CAST(conv(substring(hex(encode(substring(word, {_S} + 1, 1), 'UTF-8')), 2 * i - 1, 2), 16, 10) AS int)))"
     )
+    span = f"(shiftleft(2L, {_E}) - shiftleft(1L, {_S}))"
+    spans = f"(b & {span}) = (shiftleft(1L, {_S}) | shiftleft(1L, {_E}))"
+    path = f"sort_array(transform(filter(edges, x -> {spans}), x -> x & {(1 << 43) - 1}L))"
+    # Bound by transform, as Spark else puts the whole fold in the place of the name, once an edge.
+    path = f"element_at(transform(array(bits), b -> {path}), 1)"
     return F.expr(
-        "flatten(transform(array_sort(transform(filter(edges, x -> (bits & shiftleft(1L, x.s)) != 0"
-        f" AND (bits & shiftleft(1L, x.e)) != 0 AND (bits & {_between()}) = 0),"
-        f" x -> struct(x.s AS s, x.id AS id))), x -> IF(x.id >= 0, array(x.id), {bytes_})))"
+        f"element_at(transform(array({path}), p -> IF(exists(p, x -> {_ID} = {UNKNOWN}),"
+        f" flatten(transform(p, x -> IF({_ID} != {UNKNOWN}, array({_ID}), {bytes_}))), transform(p, x -> {_ID}))), 1)"
     )
 
 
@@ -203,22 +265,84 @@ def viterbi_long(word: str, pieces: Pieces, scores: dict[str, tuple[int, float]]
     return out
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """The lowest bytes of all numbers, then the next ones: most of the higher are zero."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
+
+
+def _pack_ids(batches):
+    """(block, z): the word numbers of a block in their order and the ids of the words."""
+    packer = zstandard.ZstdCompressor(level=3)
+
+    def packed(held):
+        table = pa.Table.from_batches(held)
+        blocks, numbers = table.column("block").to_numpy(), table.column("number").to_numpy()
+        order = np.lexsort((numbers, blocks))
+        blocks, numbers = blocks[order], numbers[order].astype(np.int64)
+        ids = table.column("ids").combine_chunks().take(pa.array(order))
+        ends = np.append(0, np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False), dtype=np.int64))
+        flat = ids.flatten().to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+        out = []
+        for a, b in zip(cuts, cuts[1:]):
+            parts = [[b - a], np.diff(numbers[a:b], prepend=0), np.diff(ends[a : b + 1]), flat[ends[a] : ends[b]]]
+            out.append(packer.compress(_planes(np.concatenate(parts))))
+        return pa.RecordBatch.from_arrays([pa.array(blocks[cuts[:-1]], pa.int64()), pa.array(out, pa.binary())], ["block", "z"])
+
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if size >= _WORDS_AT_ONCE:
+            yield packed(held)
+            held, size = [], 0
+    if held:
+        yield packed(held)
+
+
+def _unpack_ids(data: bytes) -> tuple[np.ndarray, pa.Array]:
+    values = _from_planes(data)
+    n = values[0]
+    numbers, lengths, flat = np.split(values[1:], [n, 2 * n])
+    ends = pa.array(np.append(0, np.cumsum(lengths)).astype(np.int32))
+    return np.cumsum(numbers), pa.ListArray.from_arrays(ends, pa.array(flat.astype(np.int32)))
+
+
+def _hashes() -> list[Column]:
+    return [F.xxhash64("word").alias("h"), F.xxhash64(F.lit(1), F.reverse("word")).alias("g")]
+
+
 def encode_words(words: DataFrame, pieces: Pieces, unigram: bool) -> DataFrame:
-    """``word`` and ``ids`` of distinct words of at most ``BITS`` characters, dealt by word."""
+    """The columns of ``words`` and ``ids``, for distinct words of at most ``BITS`` characters."""
     spark = words.sparkSession
-    table = spark.createDataFrame(pieces.rows, "piece string, id int, score double")
-    short = lattice(words.where(F.length("word") <= BITS), table, pieces)
+    table = spark.createDataFrame(pieces.ranked, "piece string, id int, score double, rank int")
+    short = words.where(F.length("word") <= BITS)
+    if "h" not in words.columns:
+        short = short.select("*", *_hashes())
+    short = lattice(short, table, pieces, scores=unigram)
     short = short.withColumn("bits", viterbi_fold() if unigram else merge_fold())
-    return short.select("word", _taken(pieces.byte_ids).alias("ids"))
+    if unigram:
+        short = short.withColumn("edges", F.expr(f"transform(edges, x -> {_packed('x.')})"))
+    return short.withColumn("ids", _taken(pieces.byte_ids)).drop("h", "g", "bits", "edges")
 
 
 def encode(docs: DataFrame, model_path: str, *keep: str, unigram: bool = False) -> DataFrame:
     """``keep`` and ``ids`` for every row; null and empty texts have no ids.
 
-    The words of a block of rows (about 8 MB of text) are made distinct; the distinct words of all
-    blocks are cut into a lattice and folded once each; every block gets its words' ids back and
-    puts its texts together. A word is moved once per block and not once per occurrence, so a word
-    that is in every text costs one row a block.
+    The words of a block of rows (about 16 MB of text) are made distinct and numbered; the distinct
+    words of all blocks are cut into a lattice and folded once each; every block gets the ids of its
+    word numbers back, and its texts, which are moved as numbers, are put together from them. A word
+    is moved once per block and not once per occurrence, so a word that is in every text costs one
+    row a block.
+
+    ``docs`` is read twice and must give its rows in the same order, as tables read from files do;
+    else an error is raised.
 
     ``unigram`` models take the path with the best sum of scores. The scores of other models are
     merge ranks: their sum means nothing, and the fold replays the merges.
@@ -227,81 +351,108 @@ def encode(docs: DataFrame, model_path: str, *keep: str, unigram: bool = False)
     scores = {p: (i, s) for p, i, s in pieces.rows}
     rows = columns_of(docs, *dict.fromkeys([*keep, "text"])).withColumn("part", F.spark_partition_id())
     fields = [f for f in rows.schema.fields if f.name in keep]
+    pattern = pieces.pattern
 
     def distinct(batches):
-        held: set[str] = set()
-        part = 0
-        for block, batch, closes in _in_blocks(batches):
-            part = batch.column("part")[0].as_py()
+        part, number, block, seen = 0, 0, _Block(pattern), {}
+
+        def emit():
+            for chunk in seen:
+                block[chunk]
+            words = list(block.words)
+            place = pa.array(np.arange(len(words)), pa.int32())
+            key = pa.array([block.key(part, number)] * len(words), pa.int64())
+            table = pa.RecordBatch.from_arrays([key, place, pa.array(words, pa.string())], ["block", "number", "word"])
+            return table.filter(pa.array([len(w) <= BITS for w in words], pa.bool_()))
+
+        for batch in batches:
+            if batch.num_rows:
+                part = batch.column("part")[0].as_py()
             for text in batch.column("text").to_pylist():
-                held.update(w for w in words_of(text) if len(w) <= BITS)
-            if closes:
-                yield emit(part, block, held)
-                held = set()
-        if held:
-            yield emit(part, block, held)
-
-    def emit(part, block, held):
-        key = pa.array([part << 32 | block] * len(held), pa.int64())
-        return pa.RecordBatch.from_arrays([key, pa.array(list(held), pa.string())], ["block", "word"])
-
-    def dealt(batches):
-        packer = zstandard.ZstdCompressor(level=1)
-        for block, batch, _ in _in_blocks(batches):
-            key = [part << 32 | block for part in batch.column("part").to_pylist()]
-            packed = [packer.compress((t or "").encode()) for t in batch.column("text").to_pylist()]
-            columns = [pa.array(key, pa.int64()), pa.array(packed, pa.binary())]
-            yield pa.RecordBatch.from_arrays(
-                columns + [batch.column(f.name) for f in fields], ["block", "z", *(f"k{i}" for i in range(len(fields)))]
-            )
-
-    by_word = rows.select("text", "part").mapInArrow(distinct, "block bigint, word string").repartition("word")
-    # The least block is read so that both sides of the join have the same columns and one shuffle.
-    words = by_word.groupBy("word").agg(F.min("block").alias("b")).where("b IS NOT NULL").select("word")
+                seen.update(dict.fromkeys(block.chunks(text)))
+                if block.size >= BLOCK_BYTES:
+                    yield emit()
+                    number, block, seen = number + 1, _Block(pattern), {}
+        if seen:
+            yield emit()
+
+    def numbered(batches):
+        part, number, block = 0, 0, _Block(pattern)
+        texts, kept, held, size = [], [], [], 0
+        packer = zstandard.ZstdCompressor(level=3)
+
+        def pack():
+            numbers, counts = block.numbers(texts)
+            columns = [pa.concat_arrays([k[i] for k in kept]) for i in range(len(fields))]
+            held.append((packer.compress(_planes(numbers)), counts.tolist(), columns))
+
+        def emit():
+            key = block.key(part, number)
+            long = [(n, w) for w, n in block.words.items() if len(w) > BITS]
+            for i, (z, counts, columns) in enumerate(held):
+                at, words = zip(*long) if long and not i else ((), ())
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns]
+                made = [
+                    pa.array([key], pa.int64()), pa.array([z], pa.binary()), pa.array([counts], pa.list_(pa.int64())),
+                    pa.array([list(at)], pa.list_(pa.int32())), pa.array([list(words)], pa.list_(pa.string())),
+                ]
+                yield pa.RecordBatch.from_arrays(made + lists, names)
+
+        for batch in batches:
+            if batch.num_rows:
+                part = batch.column("part")[0].as_py()
+            start = 0
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                texts.append(list(map(block.__getitem__, block.chunks(text))))
+                size += len(text or "")
+                full = block.size >= BLOCK_BYTES
+                if full or size >= _STEP_BYTES or len(texts) >= 4096 or i + 1 == batch.num_rows:
+                    kept.append([batch.column(f.name).slice(start, i + 1 - start) for f in fields])
+                    start = i + 1
+                    if full or size >= _STEP_BYTES or len(texts) >= 4096:
+                        pack()
+                        texts, kept, size = [], [], 0
+                if full:
+                    yield from emit()
+                    number, block, held = number + 1, _Block(pattern), []
+        if texts:
+            pack()
+        yield from emit()
+
+    names = ["block", "z", "counts", "long_at", "long", *(f"k{i}" for i in range(len(fields)))]
+    by_word = rows.select("text", "part").mapInArrow(distinct, "block bigint, number int, word string")
+    # Dealt by the hash, which is made again behind the shuffle instead of being moved.
+    by_word = by_word.repartition(_hashes()[0]).select(*_hashes(), "word", F.struct("block", "number").alias("place"))
+    words = by_word.groupBy("h", "g").agg(F.first("word").alias("word"), F.collect_list("place").alias("places"))
     known = encode_words(words, pieces, unigram)
-    named = by_word.join(known, "word").select("block", "word", "ids")
-    kept = "".join(f", k{i} {f.dataType.simpleString()}" for i, f in enumerate(fields))
-    texts = rows.mapInArrow(dealt, "block bigint, z binary" + kept)
+    named = known.select(F.explode("places").alias("place"), "ids").select("place.block", "place.number", "ids")
+    named = named.mapInArrow(_pack_ids, "block bigint, z binary")
+    kept_types = "".join(f", k{i} array<{f.dataType.simpleString()}>" for i, f in enumerate(fields))
+    texts = rows.mapInArrow(numbered, "block bigint, z binary, counts array<bigint>, long_at array<int>, long array<string>" + kept_types)
 
     def put_together(left: pa.Table, right: pa.Table) -> pa.Table:
-        known, ids = right.column("word").combine_chunks(), right.column("ids").combine_chunks()
         unpacker = zstandard.ZstdDecompressor()
-        parts, words, ends, size = [], [], [], 0
-
-        def flush():
-            # Words become row numbers of the block's table, and these the ids of the words.
-            at = pc.index_in(pa.array(words, pa.string()), known)
-            missing = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
-            if len(missing):  # long words, folded here
-                long = [words[i] for i in missing]
-                folded = [
-                    viterbi_long(w, pieces, scores) if unigram else merge_long(w, scores, pieces.byte_ids) for w in long
-                ]
-                table = pa.concat_arrays([ids, pa.array(folded, ids.type)])
-                at = at.fill_null(0).to_numpy().astype(np.int64)
-                at[missing] = len(ids) + np.arange(len(missing))
-                taken = table.take(pa.array(at))
-            else:
-                taken = ids.take(at)
-            counts = np.append(0, np.cumsum(pc.list_value_length(taken).to_numpy(zero_copy_only=False)))
-            offsets = pa.array(counts[np.array([0, *ends])].astype(np.int32))
-            parts.append(pa.ListArray.from_arrays(offsets, taken.flatten()))
-
-        for z in left.column("z"):
-            text = unpacker.decompress(z.as_py()).decode()
-            words += words_of(text)
-            ends.append(len(words))
-            size += len(text)
-            if size >= _STEP_BYTES:
-                flush()
-                words, ends, size = [], [], 0
-        if ends:
-            flush()
-        columns = [left.column(f"k{i}") for i in range(len(fields))]
+        long = dict(zip(left.column("long_at").combine_chunks().flatten().to_pylist(), left.column("long").combine_chunks().flatten().to_pylist()))
+        folded = [viterbi_long(w, pieces, scores) if unigram else merge_long(w, scores, pieces.byte_ids) for w in long.values()]
+        numbers, ids = zip(*(_unpack_ids(unpacker.decompress(z.as_py())) for z in right.column("z"))) if right.num_rows else ((), ())
+        ids = pa.concat_arrays([*ids, pa.array(folded, pa.list_(pa.int32()))])
+        ids = ids.take(pa.array(np.argsort(np.concatenate([*numbers, np.array(list(long), np.int64)]))))
+        lengths = pc.list_value_length(ids).to_numpy(zero_copy_only=False)
+        parts = []
+        for z, counts in zip(left.column("z"), left.column("counts")):
+            numbers = _from_planes(unpacker.decompress(z.as_py()))
+            if len(numbers) and numbers.max() >= len(ids):
+                raise ValueError("the rows of the table came in another order when it was read again")
+            ends = np.append(0, np.cumsum(lengths[numbers]))[np.append(0, np.cumsum(counts.values.to_numpy()))]
+            parts.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), ids.take(pa.array(numbers)).flatten()))
+        columns = [pa.chunked_array([c.flatten() for c in left.column(f"k{i}").chunks]) for i in range(len(fields))]
+        if not parts:
+            raise ValueError("the rows of the table came in another order when it was read again")
         found = pa.chunked_array(parts, pa.list_(pa.int32()))
         return pa.Table.from_arrays([*columns, found], [*(f"k{i}" for i in range(len(fields))), "ids"])
 
-    out = texts.groupBy("block").cogroup(named.groupBy("block")).applyInArrow(put_together, kept[2:] + ", ids array<int>")
+    out_types = "".join(f"k{i} {f.dataType.simpleString()}, " for i, f in enumerate(fields))
+    out = texts.groupBy("block").cogroup(named.groupBy("block")).applyInArrow(put_together, out_types + "ids array<int>")
     return out.toDF(*(f.name for f in fields), "ids")
 
 
@@ -350,8 +501,7 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path(MODEL)
-    # Written, so that no task needs the memory of both directions.
-    encoded = stored(encode(read_table(spark, folder, "documents"), path, "doc_id"), "piece-ids")
+    encoded = encode(read_table(spark, folder, "documents"), path, "doc_id")
     ids = encoded.withColumn("ids_sha256", F.sha2(F.array_join("ids", ","), 256)).withColumn("n_tokens", F.size("ids").cast("long"))
     decoded = decode(ids, path, "doc_id", "n_tokens", "ids_sha256")
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))

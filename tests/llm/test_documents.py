@@ -406,6 +406,36 @@ def test_pieces_match_the_library_and_decode(odd, empty):
     assert sentence_pieces.encode(empty, path, "doc_id").count() == 0
 
 
+def test_words_are_cut_where_no_piece_reaches_over(spark, table, monkeypatch):
+    path = public_tokenizers.path(sentence_pieces.MODEL)
+    pieces = sentence_pieces.Pieces(path)
+    assert sentence_pieces.words_of("a word,%%% x2", pieces.pattern) == ["▁a", "▁word", ",%%%", "▁x", "2"]
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    odd = ["a  b", " a", "a ", "  ", "a▁ b", "▁", "x,y.\nZ_1\t9é²", "word,%%% word###\nword", "Ⅷ٣a ́b", "=" * 70 + "a"]
+    docs = table([(i, t) for i, t in enumerate(odd * 3)], 2)
+    monkeypatch.setattr(sentence_pieces, "BLOCK_BYTES", 40)
+    got = sentence_pieces.encode(docs, path, "doc_id").collect()
+    assert len(got) == 3 * len(odd)
+    for r in got:
+        text = odd[r["doc_id"] % len(odd)]
+        assert r["ids"] == [i for w in sentence_pieces.words_of(text) for i in whole(w, pieces)], text
+        if "▁" not in text:
+            assert r["ids"] == model.encode(text), text
+
+
+def whole(word, pieces):
+    scores = {p: (i, s) for p, i, s in pieces.rows}
+    return sentence_pieces.merge_long(word, scores, pieces.byte_ids)
+
+
+def test_the_fold_is_evaluated_once_a_word(spark):
+    pieces = sentence_pieces.Pieces(public_tokenizers.path(sentence_pieces.MODEL))
+    words = spark.createDataFrame([("▁word",)], "word string")
+    for unigram in (False, True):
+        plan = sentence_pieces.encode_words(words, pieces, unigram)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("shiftleft(2, char_length" if not unigram else "sequence((size") <= 1, plan
+
+
 def test_viterbi_takes_the_best_sum(spark, table):
     path = public_tokenizers.path(sentence_pieces.MODEL)
     pieces = sentence_pieces.Pieces(path)
