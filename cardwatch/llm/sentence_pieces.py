@@ -23,7 +23,7 @@ SPACE = "▁"  # fixed value: the mark that stands for a blank
 BLOCK_BYTES = 16 << 20  # texts whose words are looked up together
 _STEP_BYTES = 1 << 19  # texts whose word numbers are packed together
 _WORDS_AT_ONCE = 1 << 19  # words whose ids are packed together
-_ROWS_AT_ONCE = 128  # texts that are decoded together
+_ROWS_AT_ONCE = 128  # texts that are in Python or decoded at a time
 BITS = 62  # words of more characters are folded outside of Spark's expressions
 UNKNOWN_PENALTY = 10.0
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}\n\t]+|{SPACE}+|[\n\t]")
@@ -78,14 +78,13 @@ class _Block(dict):
         self._ends, self._numbers = array("i", [0]), array("i")
         self.size = 0
 
-    def __missing__(self, chunk: str) -> int:
+    def add(self, chunk: str) -> None:
         words = self.words
-        if chunk.isalpha():
-            word = SPACE + chunk
+        for word in [SPACE + chunk] if chunk.isalpha() else self._pattern.findall(SPACE + chunk.replace(" ", SPACE)):
             self._numbers.append(words.setdefault(word, len(words)))
-        else:
-            for word in self._pattern.findall(SPACE + chunk.replace(" ", SPACE)):
-                self._numbers.append(words.setdefault(word, len(words)))
+
+    def __missing__(self, chunk: str) -> int:
+        self.add(chunk)
         self._ends.append(len(self._numbers))
         self[chunk] = number = len(self)
         return number
@@ -265,6 +264,13 @@ def viterbi_long(word: str, pieces: Pieces, scores: dict[str, tuple[int, float]]
     return out
 
 
+def _few_rows(batches):
+    """Batches of ``_ROWS_AT_ONCE`` rows, so that no more texts are Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, _ROWS_AT_ONCE):
+            yield batch.slice(start, _ROWS_AT_ONCE)
+
+
 def _planes(numbers: np.ndarray) -> bytes:
     """The lowest bytes of all numbers, then the next ones: most of the higher are zero."""
     return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
@@ -358,16 +364,15 @@ def encode(docs: DataFrame, model_path: str, *keep: str, unigram: bool = False)
 
         def emit():
             for chunk in seen:
-                block[chunk]
+                block.add(chunk)
             words = list(block.words)
             place = pa.array(np.arange(len(words)), pa.int32())
             key = pa.array([block.key(part, number)] * len(words), pa.int64())
             table = pa.RecordBatch.from_arrays([key, place, pa.array(words, pa.string())], ["block", "number", "word"])
             return table.filter(pa.array([len(w) <= BITS for w in words], pa.bool_()))
 
-        for batch in batches:
-            if batch.num_rows:
-                part = batch.column("part")[0].as_py()
+        for batch in _few_rows(batches):
+            part = batch.column("part")[0].as_py()
             for text in batch.column("text").to_pylist():
                 seen.update(dict.fromkeys(block.chunks(text)))
                 if block.size >= BLOCK_BYTES:
@@ -398,9 +403,8 @@ def encode(docs: DataFrame, model_path: str, *keep: str, unigram: bool = False)
                 ]
                 yield pa.RecordBatch.from_arrays(made + lists, names)
 
-        for batch in batches:
-            if batch.num_rows:
-                part = batch.column("part")[0].as_py()
+        for batch in _few_rows(batches):
+            part = batch.column("part")[0].as_py()
             start = 0
             for i, text in enumerate(batch.column("text").to_pylist()):
                 texts.append(list(map(block.__getitem__, block.chunks(text))))
