@@ -1,3 +1,5 @@
+import threading
+
 import pytest
 from conftest import SMALL
 from pyspark.ml.classification import RandomForestClassifier
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 from cardwatch.operators import model as ml
 from cardwatch.operators.features import feature_table
 from cardwatch.plans import model_queries
+from cardwatch.plans.jobs import training_job
 from cardwatch.schema import model_inputs
 
 SHORT = {"maxDepth": lambda r: r.randrange(1, 4), "numTrees": lambda r: r.randrange(2, 5)}
@@ -189,3 +192,57 @@ def test_rows_of_a_fit_are_dealt_by_their_number(spark, data, monkeypatch):
     assert ml.score(model, data).count() == 300
     ml.fit(pipeline, data.withColumn("transaction_id", F.lit(None).cast("long")).coalesce(1))
     assert sum(sizes[-1]) == 300 and max(sizes[-1]) < 60
+
+
+def test_training_compares_draws_on_all_train_rows(spark, tmp_path, monkeypatch):
+    seen, real = [], ml.validation_scores
+
+    def validation_scores(vectors, *args, **options):
+        scores = real(vectors, *args, **options)
+        seen.append((vectors.count(), scores.count(), scores.distinct().count()))
+        return scores
+
+    monkeypatch.setattr(ml, "validation_scores", validation_scores)
+    columns = [(F.rand(i) * 5).alias(name) for i, name in enumerate(model_inputs())]
+    at = F.expr("timestamp'2024-01-01' + make_interval(0, 0, 0, id % 3)").alias("tx_datetime")
+    fraud = (F.rand(99) < 0.3).cast("long").alias("tx_fraud")
+    # More train rows than the draws were compared on before.
+    rows = spark.range(5000).select(F.col("id").alias("transaction_id"), at, fraud, *columns)
+    rows.write.parquet(str(tmp_path / "features"))
+    record = training_job(
+        spark, str(tmp_path / "features"), str(tmp_path / "model"), "2024-01-01", "2024-01-03",
+        draws=2, folds=2, **SHORT,
+    ).first()
+    n = record["train_size"]
+    assert n > 3900 and seen == [(n, 2 * n, 2 * n)]
+
+
+def test_large_fits_do_not_all_run_at_once(spark, data, monkeypatch):
+    assert [ml.side_by_side(t, 8) for t in (1, 4, 8, 50, 5000)] == [9, 3, 2, 2, 2]
+    assert ml.side_by_side(1, 100) == 16 and ml.side_by_side(50, 8, parallelism=1) == 1
+    monkeypatch.setattr(ml, "FIT_ROWS", 20)
+    running, most, lock, real = [0], [0], threading.Lock(), RandomForestClassifier.fit
+
+    def fit(self, *args):
+        with lock:
+            running[0] += 1
+            most[0] = max(most[0], running[0])
+        try:
+            return real(self, *args)
+        finally:
+            with lock:
+                running[0] -= 1
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", fit)
+    pipeline = ml.forest_pipeline()
+    fitted = ml.search(data, pipeline, ml.forest_grid(pipeline, 3, seed=3, **SHORT), folds=3)
+    assert most[0] == 2 and len(fitted.avgMetrics) == 3
+
+
+def test_forests_with_kept_nodes_are_the_same(spark, data):
+    forest = ml.forest_pipeline(maxDepth=6, numTrees=7).getStages()[-1]
+    vectors, _ = ml.assembled_rows(data, ml.forest_pipeline())
+    rows = ml.dealt(vectors, 3)
+    plain, kept = forest.fit(rows), ml._with_kept_nodes(forest).fit(rows)
+    trees = [[t.toDebugString.split("\n", 1)[1] for t in m.trees] for m in (plain, kept)]
+    assert trees[0] == trees[1] and kept.getCacheNodeIds() and sum(t.depth for t in kept.trees) > 20
